@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from kinlink.llm.compression import op10_quality_classifier
 from kinlink.llm.langid import op1_language_id
+from kinlink.llm.packing import op7_packing
 from kinlink.llm.simhash import op9_simhash_near_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op7_packing": op7_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
