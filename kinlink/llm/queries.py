@@ -6,9 +6,11 @@ from kinlink.llm.compression import op10_quality_classifier
 from kinlink.llm.langid import op1_language_id
 from kinlink.llm.packing import op7_packing
 from kinlink.llm.simhash import op9_simhash_near_dedup
+from kinlink.llm.suffixes import op2_suffix_array_dedup
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op7_packing": op7_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
