@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinlink.llm.arrow import map_rows
+from kinlink.llm.groups import Labels, whole_groups
 from kinlink.operators.graph import min_label_components
 from kinlink.sources.stash import stash
 
@@ -124,27 +125,6 @@ class BKForest:
                 asked, node = asked[follow], child[follow]
 
 
-class _Forest:
-    """Union-find over row numbers, smallest label first."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        label = self.label
-        while True:
-            la, lb = label[a], label[b]
-            if (la == lb).all():
-                return
-            low, high = np.minimum(la, lb), np.maximum(la, lb)
-            np.minimum.at(label, high, low)
-            while True:
-                up = label[label]
-                if (up == label).all():
-                    break
-                label[:] = up
-
-
 def _shard(table: pa.Table, radius: int) -> pa.Table:
     """Whole groups of a shard: ``tree`` rows build the trees, ``ask`` rows search them.
 
@@ -154,31 +134,13 @@ def _shard(table: pa.Table, radius: int) -> pa.Table:
     tree, ask = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("tree", "ask"))
     values = np.unique(fp)
     at = np.searchsorted(values, fp)
-    forest, joined = BKForest(fp[tree], group[tree]), _Forest(len(values))
+    forest, joined = BKForest(fp[tree], group[tree]), Labels(len(values))
     for asked, found in forest.search(fp[ask], group[ask], radius):
         joined.link(at[ask[asked]], at[tree[found]])
     member = np.flatnonzero(joined.label != np.arange(len(values)))
     return pa.table({"a": values[joined.label[member]].view(np.int64), "b": values[member].view(np.int64)})
 
 
-def _whole_groups(batches, rows: int):
-    """Tables of about ``rows`` rows, cut between groups; the input is sorted by group."""
-    held, n = [], 0
-    for b in batches:
-        held.append(pa.Table.from_batches([b]))
-        n += b.num_rows
-        if n < rows:
-            continue
-        table = pa.concat_tables(held).combine_chunks()
-        group = table.column("grp").to_numpy()
-        cut = int(np.searchsorted(group, group[-1]))
-        if cut:
-            yield table.slice(0, cut)
-        held, n = [table.slice(cut)], table.num_rows - cut
-    if n:
-        yield pa.concat_tables(held).combine_chunks()
-
-
 def _bits(value, low: int, width: int):
     return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << width) - 1))
 
@@ -215,7 +177,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFr
     keyed = dealt.select("fp", F.xxhash64("grp", "x.t", "x.q").alias("grp"), (F.col("x.t") == F.col("own")).alias("tree"), (F.col("x.q") == F.col("own")).alias("ask"))
 
     def run(batches):
-        for table in _whole_groups(batches, 4 * leaf):
+        for table in whole_groups(batches, 4 * leaf):
             yield from _shard(table, radius).to_batches()
 
     shards = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
