@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,23 +35,39 @@ LEAF = 20_000
 PIECE = 1 << 16
 
 
-def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint of a whole text: A-Z lower-cased, words split at ASCII white space, repeats included."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    if len(words) < size:
-        return xxhash.xxh64_intdigest(b" ".join(words), seed)
-    ones, n = np.zeros(BITS, np.int64), len(words) - size + 1
-    digest = xxhash.xxh64_intdigest
+def words_of(text: str | None) -> list[bytes]:
+    """Words split at ASCII white space, A-Z lower-cased."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shingle_hashes(words: list[bytes], size: int, seed: int = SEED):
+    """XXH64 of the shingles, repeats included, a bounded piece at a time."""
+    if words and len(words) < size:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(words), seed)], np.uint64)
+    n, digest = len(words) - size + 1, xxhash.xxh64_intdigest
     for at in range(0, n, PIECE):
         end = min(at + PIECE, n)
         shingles = map(b" ".join, zip(*(words[at + i : end + i] for i in range(size))))
-        hashes = np.fromiter((digest(s, seed) for s in shingles), np.uint64, end - at)
-        ones += np.unpackbits(hashes.byteswap().view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        yield np.fromiter((digest(s, seed) for s in shingles), np.uint64, end - at)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.byteswap().view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
+    """The fingerprint of a whole text."""
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in shingle_hashes(words_of(text), size, seed):
+        ones += bit_counts(hashes)
+        n += len(hashes)
+    return majority(ones, n) if n else 0
+
+
 def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE) -> DataFrame:
     """Rows (key, fp): the fingerprint as a signed long."""
 
@@ -193,6 +210,132 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", radi
     return printed.join(labels.select("fp", F.col("label").alias("component")), "fp").select(key, "fp", "component")
 
 
+KEPT_SHINGLE = 5
+KEPT_SIMILARITY = 0.8
+KEPT_RADIUS = 16
+MINIMA = 8
+
+
+def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
+    x = (x ^ np.uint64(0x9E3779B97F4A7C15 * (seed + 1) & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (x ^ (x >> np.uint64(31))) * np.uint64(0x165667B19E3779F9)
+
+
+def _described(size: int):
+    def run(batches):
+        for b in batches:
+            prints, minima = [], []
+            for text in b.column(2).to_pylist():
+                ones, n, low = np.zeros(BITS, np.int64), 0, np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
+                for hashes in shingle_hashes(words_of(text), size):
+                    ones += bit_counts(hashes)
+                    n += len(hashes)
+                    low = np.minimum(low, [_mixed(hashes, i).min() for i in range(MINIMA)])
+                prints.append(majority(ones, n) if n else 0)
+                minima.append(low.view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(minima, pa.list_(pa.int64()))], names=["key", "digest", "fp", "minima"])
+
+    return run
+
+
+def _nearest(table: pa.Table, radius: int) -> pa.Table:
+    """Rows (a, b, apart): each text's nearest earlier and nearest later text of its group; rows come in order."""
+    fp, group, node = table.column("fp").to_numpy().view(np.uint64), table.column("grp").to_numpy(), table.column("node").to_numpy()
+    n = len(fp)
+    order = np.lexsort((np.arange(n), fp, group))
+    fresh = np.r_[True, (fp[order][1:] != fp[order][:-1]) | (group[order][1:] != group[order][:-1])]
+    head = order[fresh]  # the first row of each fingerprint of a group
+    pairs = [(order[~fresh], order[:-1][~fresh[1:]])] if n > 1 else []
+    forest = BKForest(fp[head], group[head])
+    best = {side: np.full(n, np.iinfo(np.int64).max) for side in ("earlier", "later")}
+
+    def offer(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> None:
+        for side, keep in (("earlier", b < a), ("later", b > a)):
+            np.minimum.at(best[side], a[keep], apart[keep] * (n + 1) + b[keep])
+
+    for a, b in pairs:
+        offer(a, b, np.zeros(len(a), np.int64))
+        offer(b, a, np.zeros(len(a), np.int64))
+    for asked, found in forest.search(fp[head], group[head], radius):
+        a, b = head[asked], head[found]
+        keep = a != b
+        a, b = a[keep], b[keep]
+        offer(a, b, np.bitwise_count(fp[a] ^ fp[b]).astype(np.int64))
+    out = []
+    for values in best.values():
+        a = np.flatnonzero(values != np.iinfo(np.int64).max)
+        out.append((node[a], node[values[a] % (n + 1)], values[a] // (n + 1)))
+    a, b, apart = (np.concatenate(c) for c in zip(*out))
+    return pa.table({"a": pa.array(a), "b": pa.array(b), "apart": pa.array(apart)})
+
+
+def _packed(batches):
+    press = zstandard.ZstdCompressor(level=1)
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([press.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(2).to_pylist()], pa.binary())], names=["key", "digest", "packed"])
+
+
+def shingle_set(text: str | None, size: int) -> set[bytes]:
+    words = words_of(text)
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+
+def jaccard(a: str | None, b: str | None, size: int = KEPT_SHINGLE) -> float:
+    """Exact similarity of the shingle sets; two texts without words are alike."""
+    x, y = shingle_set(a, size), shingle_set(b, size)
+    return len(x & y) / len(x | y) if x or y else 1.0
+
+
+def _verified(size: int, similarity: float):
+    def run(batches):
+        opened = zstandard.ZstdDecompressor()
+        for b in batches:
+            texts = [[opened.decompress(t).decode("utf-8", "surrogatepass") for t in b.column(i).to_pylist()] for i in (2, 3)]
+            yield b.select(["a", "b"]).filter(pa.array([jaccard(x, y, size) >= similarity for x, y in zip(*texts)], pa.bool_()))
+
+    return run
+
+
+def keep_first(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = KEPT_SHINGLE, similarity: float = KEPT_SIMILARITY, radius: int = KEPT_RADIUS, leaf: int = LEAF) -> DataFrame:
+    """The rows of ``df``, all columns: of each group of texts whose shingle sets are alike, the row with the smallest key.
+
+    A radius that finds a similarity of 0.8 is too wide for bit blocks, so the shards are those of shared minima: texts
+    that have one of ``MINIMA`` minimum shingle hashes in common meet, and the shard's BK-tree proposes each text's nearest
+    earlier and later one. Proposals are decided by the exact similarity, and groups are their components. Rows that
+    repeat key and text count as one document and stay or go together.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    docs = df.select(F.col(key).alias("key"), F.unhex(F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))).alias("digest"), F.col(text).alias("text"))
+    described = map_rows(docs, _described(size), f"key {kind}, digest binary, fp long, minima array<long>")
+    nodes = described.groupBy("digest").agg(F.min("key").alias("first"), F.min(F.struct("fp", "minima")).alias("x"))
+    nodes = stash(nodes.select("digest", "first", "x.fp", "x.minima").withColumn("node", F.monotonically_increasing_id()), "nodes").df
+    keyed = nodes.select("node", "first", "fp", F.posexplode("minima")).select("node", "first", "fp", F.xxhash64("pos", "col").alias("grp"))
+    sized = keyed.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp", F.ceil(F.col("n") / leaf).cast("int").alias("parts"))
+    member = keyed.join(sized, "grp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least(p, F.col("own")).alias("t"), F.greatest(p, F.col("own")).alias("q")))
+    dealt = member.withColumn("x", F.explode(others)).select("node", "first", "fp", F.xxhash64("grp", "x.t", "x.q").alias("grp"))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        for table in whole_groups(batches, 2 * leaf):
+            yield from _nearest(table, radius).to_batches()
+
+    met = dealt.repartition(tasks, "grp").sortWithinPartitions("grp", "first", "node").select("node", "fp", "grp").mapInArrow(run, "a long, b long, apart long")
+    met = stash(met, "met").df.join(nodes.select(F.col("node").alias("a"), F.col("first").alias("fa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("first").alias("fb")), "b")
+    near = met.groupBy("a", (F.col("fa") < F.col("fb")).alias("later")).agg(F.min(F.struct("apart", "b")).alias("x"))
+    pairs = stash(near.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct(), "pairs").df
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "digest", "first"), "node")
+    packed = map_rows(docs, _packed, f"key {kind}, digest binary, packed binary")
+    texts = packed.join(asked, (packed["digest"] == asked["digest"]) & packed["key"].eqNullSafe(asked["first"])).groupBy("node").agg(F.any_value("packed").alias("packed"))
+    texts = stash(texts, "texts").df
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("pa")), "a").join(texts.select(F.col("node").alias("b"), F.col("packed").alias("pb")), "b").select("a", "b", "pa", "pb")
+    edges = stash(map_rows(both, _verified(size, similarity), "a long, b long"), "links").df
+    labels = min_label_components(nodes, edges, "node", "a", "b", "first")
+    kept = nodes.join(labels, "node").where(F.col("first").eqNullSafe(F.col("label"))).select(F.col("first").alias("__first"), F.col("digest").alias("__digest"))
+    mine = F.unhex(F.md5(F.encode(F.coalesce(df[text], F.lit("")), "UTF-8")))
+    return df.join(kept, df[key].eqNullSafe(kept["__first"]) & (mine == kept["__digest"]), "left_semi")
+
+
 def op9_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Query op9: three-word shingles, links at 3 or fewer bits."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
