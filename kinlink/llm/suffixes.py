@@ -10,8 +10,8 @@ removed; overlaps count and all strings are judged on the input.
 3. The distinct regions of a key go to a shard. A shard sorts the suffixes of its bytes by Larsson-Sadakane
    refinement, takes common prefixes by Kasai's walk and marks windows next to which a common prefix of ``length``
    bytes or more lies.
-4. A key with more bytes than ``shard_bytes`` is dealt to several shards. Each gives the sorted digests of its windows, and
-   these are merged by binary search, one range of digests a task.
+4. A key with more bytes than ``shard_bytes`` is dealt to several shards. Each gives the sorted digests of its distinct windows,
+   and these are merged by binary search, one part of the digests a task.
 5. Marked windows go back to all texts that hold the region; removed runs are their union.
 
 Defined cases: null is the empty text; texts shorter than ``length`` lose nothing; repeated rows and null keys each get
@@ -134,7 +134,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return order, rank
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int = 4096) -> np.ndarray:
+def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int = 32768) -> np.ndarray:
     """Length, up to ``most``, of the common prefix of each suffix in order with the one before it.
 
     Kasai's walk goes through the text and starts each comparison one byte short of the last; here many stretches of the
@@ -220,59 +220,79 @@ def _shard(length: int):
     return run
 
 
-def _sorted_run(length: int):
-    """For a dealt key: the windows' digests of a shard in order, one row a distinct window, and what repeats within."""
+def _dealt_shard(length: int):
+    """For a dealt key: rows that mark what repeats within a shard, digest null, and the sorted run of its windows.
+
+    The run has one row for each distinct window; only a window that is alone in its shard says where it lies.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         keys, prints, sizes, parts = (table.column(c).to_pylist() for c in ("key", "region", "n", "bytes"))
         flags, where = repeated_windows(parts, sizes, length)
+        marks = _intervals(keys, prints, sizes, flags)
         data = memoryview(b"".join(parts))
         digests = np.array([xxhash.xxh3_64_intdigest(data[i : i + length]) for i in where.tolist()], np.uint64)
-        by = np.argsort(digests, kind="stable")
-        low = np.cumsum(sizes) - np.asarray(sizes)
+        digests, first = np.unique(digests, return_index=True)
         source = np.repeat(np.arange(len(sizes)), sizes)
-        return pa.table(
+        low, alone = np.cumsum(sizes) - np.asarray(sizes), ~flags[first]
+        n, shard = len(digests), table.column("shard")[0].as_py()
+        at = pa.array(np.where(alone, first - low[source[first]], 0), mask=~alone)
+        runs = pa.table(
             {
-                "key": pa.array(np.asarray(keys, np.int64)[source[by]]),
-                "region": pa.array(np.asarray(prints, np.int64)[source[by]]),
-                "at": pa.array((np.arange(len(where)) - low[source])[by]),
-                "digest": pa.array(digests[by].view(np.int64)),
-                "shard": pa.array(np.full(len(where), table.column("shard")[0].as_py(), np.int64)),
-                "twice": pa.array(flags[by]),
+                "key": pa.array(np.asarray(keys, np.int64)[source[first]]),
+                "region": pa.array(np.asarray(prints, np.int64)[source[first]]),
+                "at": at,
+                "n": pa.array(np.ones(n, np.int64)),
+                "digest": pa.array(digests.view(np.int64)),
+                "shard": pa.array(np.full(n, shard, np.int64)),
             }
         )
+        nulls = pa.nulls(marks.num_rows, pa.int64())
+        return pa.concat_tables([marks.append_column("digest", nulls).append_column("shard", nulls), runs.select([*marks.column_names, "digest", "shard"])])
 
     return run
 
 
-def merge_runs(table: pa.Table) -> np.ndarray:
-    """Which windows of several shards' sorted runs repeat: each run is looked up in the merged others by binary search."""
-    digest, shard = table.column("digest").to_numpy().view(np.uint64), table.column("shard").to_numpy()
-    twice = table.column("twice").to_numpy(zero_copy_only=False).copy()
+def merge_runs(digest: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Which windows of several shards' sorted runs occur in another run: each run is looked up in the merged others by binary search."""
     merged = np.empty(0, np.uint64)
-    runs = [np.flatnonzero(shard == s) for s in np.unique(shard)]
-    runs = [r[np.argsort(digest[r], kind="stable")] for r in runs]
     met: list[np.ndarray] = []
-    for r in runs:
-        values = digest[r]
+    for s in np.unique(shard):
+        values = np.unique(digest[shard == s])
         at = np.searchsorted(merged, values)
-        hit = np.zeros(len(r), bool)
+        hit = np.zeros(len(values), bool)
         inside = at < len(merged)
         hit[inside] = merged[at[inside]] == values[inside]
-        met.append(np.unique(values[hit]))
-        fresh = np.unique(values[~hit])
+        met.append(values[hit])
+        fresh = values[~hit]
         merged = np.insert(merged, np.searchsorted(merged, fresh), fresh)
     both = np.unique(np.concatenate(met)) if met else merged
     at = np.searchsorted(both, digest)
     inside = at < len(both)
-    twice[inside] |= both[at[inside]] == digest[inside]
-    return twice
+    out = np.zeros(len(digest), bool)
+    out[inside] = both[at[inside]] == digest[inside]
+    return out
 
 
 def _merge_group(table: pa.Table) -> pa.Table:
-    hit = merge_runs(table)
-    table = table.filter(pa.array(hit)).select(["key", "region", "at"])
-    return table.append_column("n", pa.array(np.ones(table.num_rows, np.int64)))
+    hit = merge_runs(table.column("digest").to_numpy().view(np.uint64), table.column("shard").to_numpy())
+    hit &= table.column("at").is_valid().to_numpy()
+    return table.filter(pa.array(hit)).select(["key", "region", "at", "n"])
+
+
+def _join_marks(batches):
+    """Marks of a region, gathered and joined into maximal runs."""
+    for b in batches:
+        out = []
+        for marks in b.column(2).to_pylist():
+            runs: list[list[int]] = []
+            for low, high in sorted((m["at"], m["at"] + m["n"]) for m in marks):
+                if runs and low <= runs[-1][1]:
+                    runs[-1][1] = max(runs[-1][1], high)
+                else:
+                    runs.append([low, high])
+            out.append([{"at": low, "n": high - low} for low, high in runs])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())])))], names=["key", "region", "marks"])
 
 
 def _texts(batches):
@@ -381,11 +401,14 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
     pieces = stash(map_rows(texts.join(wanted, "text_id").select("packed", "wanted"), _cut_out(length), "key long, region long, n long, shard long, dealt boolean, bytes binary"), "pieces").df
     marks = "key long, region long, at long, n long"
     here = pieces.where("not dealt").groupBy("shard").applyInArrow(_shard(length), marks)
-    runs = pieces.where("dealt").groupBy("shard").applyInArrow(_sorted_run(length), "key long, region long, at long, digest long, shard long, twice boolean")
+    runs = stash(pieces.where("dealt").groupBy("shard").applyInArrow(_dealt_shard(length), f"{marks}, digest long, shard long"), "runs").df
     ranges = F.ceil(F.lit(max(total, 1)) / shard_bytes).cast("long")
-    across = runs.withColumn("range", F.pmod(F.col("digest"), ranges)).groupBy("range").applyInArrow(_merge_group, marks)
-    marked = stash(whole.unionByName(here).unionByName(across), "marks").df
-    placed = found.select("text_id", "key", "region", "lo").join(marked, ["key", "region"]).groupBy("text_id").agg(F.collect_list(F.struct((F.col("lo") + F.col("at")).alias("at"), "n")).alias("marks"))
+    across = runs.where("digest is not null").withColumn("range", F.pmod(F.xxhash64("digest"), ranges)).groupBy("range").applyInArrow(_merge_group, marks)
+    marked = whole.unionByName(here).unionByName(runs.where("digest is null").select("key", "region", "at", "n")).unionByName(across)
+    gathered = marked.groupBy("key", "region").agg(F.collect_list(F.struct("at", "n")).alias("marks"))  # at most a region's windows
+    marked = stash(gathered.mapInArrow(_join_marks, "key long, region long, marks array<struct<at:long,n:long>>"), "marks").df
+    moved = F.transform("marks", lambda m: F.struct((F.col("lo") + m["at"]).alias("at"), m["n"].alias("n")))
+    placed = found.select("text_id", "key", "region", "lo").join(marked, ["key", "region"]).groupBy("text_id").agg(F.flatten(F.collect_list(moved)).alias("marks"))
     judged = map_rows(
         texts.join(placed, "text_id", "left").select("digest", "packed", "marks"),
         _judge(length, with_text),
