@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from kinlink.sources.stash import stash
 
-TOLERANCE = 1e-9
-MOST_ROUNDS = 60
+TOLERANCE = 1e-6
+MOST_ROUNDS = 8
 CLIP_ROUNDS = 30
 TEMPERATURE = 0.5
 BUDGET = 0.5
@@ -63,33 +63,41 @@ def _aims(cells: DataFrame, dimension: str, targets: DataFrame) -> DataFrame:
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """Cells with ``weight``: shares that meet the targets of every dimension within ``tolerance``, as near as the rounds allow.
 
-    The state is one factor for each category of each dimension; a cell's weight is its tokens times its factors. A step
-    reads the cells once, with partial sums by category, and writes a small table of factors.
+    The state is one factor for each category of each dimension; a cell's weight is its tokens times its factors. A
+    round reads the cells with partial sums by category, one dimension after another, and writes one small table of factors.
     """
     cells = cells.where("tokens > 0")
-    aims = {d: stash(_aims(cells, d, t), "aims").df for d, t in targets.items()}
-    factors = {d: stash(aim.select(d, F.lit(1.0).alias(f"__{d}"), F.lit(None).cast("double").alias("off")), "factors") for d, aim in aims.items()}
+    aim = None
+    for d, t in targets.items():
+        own = _aims(cells, d, t).select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "aim")
+        aim = own if aim is None else aim.unionAll(own)
+    aim = stash(aim, "aims").df
+    held = stash(aim.select("dimension", "value", "aim", F.lit(1.0).alias("factor"), F.lit(None).cast("double").alias("off")), "factors")
 
-    def weighed() -> DataFrame:
+    def of(state: DataFrame, d: str) -> DataFrame:
+        return state.where(F.col("dimension") == d).select(F.col("value").alias(d), "aim", F.col("factor").alias(f"__{d}"))
+
+    def weighed(factors: dict[str, DataFrame]) -> DataFrame:
         now, weight = cells, F.col("tokens").cast("double")
-        for d, held in factors.items():
-            now, weight = now.join(held.df.drop("off"), d), weight * F.col(f"__{d}")
+        for d, factor in factors.items():
+            now, weight = now.join(factor.select(d, f"__{d}"), d), weight * F.col(f"__{d}")
         return now.withColumn("weight", weight)
 
     for _ in range(most_rounds):
-        for d, aim in aims.items():
-            sums = weighed().groupBy(d).agg(F.sum("weight").alias("sum"), F.first(f"__{d}").alias("old")).join(aim, d)
-            after = stash(sums.select(d, (F.col("old") * F.col("aim") / F.col("sum")).alias(f"__{d}"), F.abs(F.col("sum") - F.col("aim")).alias("off")), "factors")
-            factors[d].drop()
-            factors[d] = after
+        factors, after = {d: of(held.df, d) for d in targets}, None
+        for d in targets:
+            sums = weighed(factors).groupBy(d).agg(F.sum("weight").alias("sum")).join(factors[d], d)
+            new = sums.select(d, "aim", (F.col(f"__{d}") * F.col("aim") / F.col("sum")).alias(f"__{d}"), F.abs(F.col("sum") - F.col("aim")).alias("off"))
+            factors[d] = new
+            part = new.select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "aim", F.col(f"__{d}").alias("factor"), "off")
+            after = part if after is None else after.unionAll(part)
+        after = stash(after, "factors")
+        held.drop()
+        held = after
         # how far each margin was just before it was met
-        off = [held.df.select("off") for held in factors.values()]
-        seen = off[0]
-        for o in off[1:]:
-            seen = seen.unionAll(o)
-        if (seen.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        if tolerance and (held.df.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
             break
-    return weighed().drop(*(f"__{d}" for d in factors))
+    return weighed({d: of(held.df, d) for d in targets}).drop(*(f"__{d}" for d in targets))
 
 
 def calibrate(raked: DataFrame, budget: float = BUDGET, rounds: int = CLIP_ROUNDS) -> DataFrame:
@@ -107,13 +115,13 @@ def calibrate(raked: DataFrame, budget: float = BUDGET, rounds: int = CLIP_ROUND
     return rate.withColumn("probability", F.least(F.lit(1.0), F.col("rate") * c)).drop("rate")
 
 
-def mix(df: DataFrame, dimensions: dict[str, Column], targets: dict[str, DataFrame] | None = None, text: str = "text", key: str = "doc_id", temperature: float = TEMPERATURE, budget: float = BUDGET, seed: int = 0) -> DataFrame:
+def mix(df: DataFrame, dimensions: dict[str, Column], targets: dict[str, DataFrame] | None = None, text: str = "text", key: str = "doc_id", temperature: float = TEMPERATURE, budget: float = BUDGET, seed: int = 0, tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """Rows (key, the dimensions, tokens, probability, kept). ``dimensions`` maps names to columns of ``df``."""
     named = {d: F.coalesce(c.cast("string"), F.lit("")).alias(d) for d, c in dimensions.items()}
     slim = stash(df.select(F.col(key), *named.values(), token_count(text).alias("tokens")), "slim").df
     cells = stash(slim.groupBy(*named).agg(F.sum("tokens").alias("tokens")), "cells").df
     targets = targets or {}
-    raked = rake(cells, {d: targets.get(d, tempered_targets(cells, d, temperature)) for d in named})
+    raked = rake(cells, {d: targets.get(d, tempered_targets(cells, d, temperature)) for d in named}, tolerance, most_rounds)
     chances = stash(calibrate(raked, budget).select(*named, "probability"), "chances").df
     out = slim.join(chances, list(named), "left").withColumn("probability", F.coalesce("probability", F.lit(1.0)))
     return out.select(key, *named, "tokens", "probability", (draw(key, seed) < F.col("probability")).alias("kept"))
@@ -132,7 +140,7 @@ def sample(df: DataFrame, **settings) -> DataFrame:
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     """Query op4: documents raked to tempered source, language and topic margins; half of the tokens are drawn."""
-    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), dimensions())
+    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), dimensions(), tolerance=0.0)  # all rounds, as the SQL has them
     return out.withColumn("probability", F.round("probability", 4))
 
 
@@ -171,7 +179,7 @@ mixed AS MATERIALIZED (
 """
 
 
-def mixing_sql(docs: str = "documents", rounds: int = 25) -> str:
+def mixing_sql(docs: str = "documents", rounds: int = MOST_ROUNDS) -> str:
     aims = ",\n".join(
         f"aim_{d} AS MATERIALIZED (SELECT {d} AS v, sqrt(CAST(sum(tokens) AS DOUBLE)) / sum(sqrt(CAST(sum(tokens) AS DOUBLE))) OVER () AS aim FROM c0 GROUP BY {d})" for d in ("source", "lang", "topic")
     )
