@@ -7,15 +7,20 @@ merged, the emptiest filling the fullest, so that one partial window is left; th
 one a partition, are merged in groups of ``merge`` partitions, and what is then left is cut at powers of two.
 
 Defined cases: a null or empty text is the single end id; repeated rows are packed once each; null keys are kept;
-an empty table gives no pieces; extra columns are ignored; texts are read whole, long ones in pieces cut at spaces.
+an empty table gives no pieces; extra columns are ignored; texts are read whole.
 """
 
 from __future__ import annotations
 
+import functools
+import json
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,52 +34,93 @@ OPEN = 64
 LEAST_CUT = 16
 MERGE = 64
 END_ID = 2
-CACHE = 300_000
+CACHE = 400_000
 PIECE = 4 << 20
 GROUPS_FROM = 1 << 30
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself where it prints, else the next from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in prints else chr(next(rest)) for b in range(256)]
+
+
+def _letters_and_numbers(end: int) -> tuple[str, str]:
+    kinds = [unicodedata.category(chr(c))[0] for c in range(end)]
+    return tuple("".join(chr(c) for c in range(end) if kinds[c] == k) for k in "LN")
+
+
 class WordTokenizer:
-    """Ids of whole texts, a space-separated chunk at a time.
+    """Ids of whole texts, with the ids of words kept.
 
-    For tokenizers that drop white space, chunks are independent, so the ids of a chunk are kept and reused. The cache is
-    emptied when it holds ``CACHE`` chunks.
+    A tokenizer that composes, folds white space, lower-cases and then splits at ``WORDS`` treats each word alone. For texts of
+    Latin letters, where composing changes nothing, the same split is made here, and only words that are not known are
+    encoded. Other texts, and other tokenizers, go through the tokenizer whole. Known words are kept in two
+    generations of at most ``CACHE`` each; the older is dropped when the younger is full.
     """
 
+    WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    LATIN_END = 0x180
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            stated = json.load(f)
+        steps = [n["type"] for n in (stated["normalizer"] or {}).get("normalizers", [])]
+        splits = (stated["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.alone = steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in splits] == ["Split", "ByteLevel"] and splits[0]["pattern"] == {"Regex": self.WORDS}
+        self.special = [t["content"] for t in stated.get("added_tokens", [])]
+        letters, numbers = _letters_and_numbers(self.LATIN_END)
+        self.words = re.compile(self.WORDS.replace(r"\p{L}", re.escape(letters)).replace(r"\p{N}", re.escape(numbers)))
+        self.other = re.compile(f"[^\t-\r -~\xa0-{chr(self.LATIN_END - 1)}]")
+        self.byte_letters = _byte_letters()
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         for text in texts:
             if not text:
                 yield b""
-                continue
-            parts, at = [], 0
-            while at < len(text):
-                end = text.find(" ", at + PIECE)
-                end = len(text) if end < 0 else end
-                parts.append(self._piece(text[at:end]))
-                at = end
-            yield b"".join(parts)
-
-    def _piece(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if new:
-            if len(known) > CACHE:
-                known.clear()
-                known[""] = b""
-                new = list(dict.fromkeys(c for c in chunks if c))
-            import numpy as np
-
-            for chunk, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[chunk] = np.array(encoded.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, chunks))
+            elif not self.alone or self.other.search(text) or any(t in text for t in self.special):
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                parts, at = [], 0
+                while at < len(text):
+                    end = text.find(" ", at + PIECE)
+                    end = len(text) if end < 0 else end
+                    parts.append(self._plain(text[at:end]))
+                    at = end
+                yield b"".join(parts)
+
+    def _plain(self, text: str) -> bytes:
+        words = self.words.findall(text.lower())
+        try:
+            return b"".join(map(self.young.__getitem__, words))
+        except KeyError:
+            return b"".join(map(self._word, words))
+
+    def _word(self, word: str) -> bytes:
+        found = self.young.get(word)
+        if found is None:
+            found = self.old.get(word)
+            if found is None:
+                spelt = "".join(map(self.byte_letters.__getitem__, word.encode()))
+                found = np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], "<u4").tobytes()
+            if len(self.young) >= CACHE:
+                self.old, self.young = self.young, {}
+            self.young[word] = found
+        return found
+
+
+@functools.cache
+def tokenizer_at(path: str) -> WordTokenizer:
+    """One tokenizer a worker, so that tasks share its known words."""
+    return WordTokenizer(path)
 
 
 def _u32(n: int) -> bytes:
@@ -190,7 +236,7 @@ def pack(df: DataFrame, tokenizer_path: str, text: str = "text", key: str = "doc
         return pa.schema([first, *((n, long) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), ("ids", pa.binary())])
 
     def run(batches):
-        tokenizer, packer, schema = WordTokenizer(tokenizer_path), Packer(window, open_windows, TaskContext.get().partitionId() << 32), None
+        tokenizer, packer, schema = tokenizer_at(tokenizer_path), Packer(window, open_windows, TaskContext.get().partitionId() << 32), None
         for b in batches:
             schema = schema or schema_of(b.schema.field(0).with_name(key))
             out = []
