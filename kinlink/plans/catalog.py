@@ -1,17 +1,450 @@
-"""The registered queries of the linkage engine and their SQL."""
+"""The registered queries of the linkage engine and their SQL for DuckDB."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinlink.functions import hashes, similarity
+from kinlink.functions.preprocess import case_normalize, stop_words, trim, vector_value
+from kinlink.operators import blocking, model, registry
+from kinlink.operators.graph import connected_components
+from kinlink.plans import evidence
+
+Query = Callable[[SparkSession, str], DataFrame]
+STOP = r"\b(the|and|of)\b"
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+# --- inputs: pairs of rows whose keys follow one another, and null or blank sides made from the key
+
+_PARTS = "SELECT p_partkey AS id, CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN '' ELSE concat(p_name, ' ', CAST(p_partkey % 7 AS {s}), '-', p_brand) END AS v, p_size AS i, p_retailprice AS d FROM part"
+_CUSTOMERS = "SELECT c_custkey AS id, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS d, CAST(CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS {f}) AS f, CAST(floor(c_acctbal) AS INT) AS i, CAST(floor(c_acctbal * 1000) AS BIGINT) AS l, c_acctbal < 0 AS b FROM customer"
+
+
+def _pairs(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
+    base = spark.sql(sql.format(s="STRING", f="FLOAT").replace(f"FROM {table}", "FROM {df}"), df=_read(spark, sf_dir, table))
+    left = base.select("id", *(F.col(c).alias(f"l_{c}") for c in base.columns if c != "id"))
+    right = base.select((F.col("id") - 1).alias("id"), *(F.col(c).alias(f"r_{c}") for c in base.columns if c != "id"))
+    return left.join(right, "id")
+
+
+_PART_SQL = "(WITH b AS ({0}) SELECT x.id, x.v AS l_v, y.v AS r_v, x.i AS l_i, y.i AS r_i, x.d AS l_d, y.d AS r_d FROM b x JOIN b y ON y.id = x.id + 1)".format(_PARTS.format(s="VARCHAR"))
+_CUSTOMER_SQL = "(WITH b AS ({0}) SELECT x.id, x.d AS l_d, y.d AS r_d, x.f AS l_f, y.f AS r_f, x.i AS l_i, y.i AS r_i, x.l AS l_l, y.l AS r_l FROM b x JOIN b y ON y.id = x.id + 1)".format(_CUSTOMERS.format(f="FLOAT"))
+
+
+def _score(function: Callable[[Column, Column], Column], table: str, sql: str, column: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        pairs = _pairs(spark, sf_dir, table, sql)
+        return pairs.select("id", F.round(function(F.col(f"l_{column}"), F.col(f"r_{column}")), 6).alias("score"))
+
+    return run
+
+
+_BLANK = "l_v IS NULL OR r_v IS NULL OR l_v = '' OR r_v = ''"
+
+
+def _gated(body: str) -> str:
+    return f"CASE WHEN {_BLANK} THEN 1.0 ELSE {body} END"
+
+
+def _set_sql(pattern: str, lower: bool) -> tuple[str, str]:
+    f = (lambda c: f"lower({c})") if lower else (lambda c: c)
+    l, r = (f"list_distinct(regexp_extract_all({f(c)}, '{pattern}'))" for c in ("l_v", "r_v"))
+    return f"len(list_intersect({l}, {r}))::DOUBLE", f"len(list_distinct(list_concat({l}, {r})))"
+
+
+def _similarity_sql() -> dict[str, str]:
+    both, union = _set_sql(r"[\p{L}]+|[\p{N}]+", True)
+    nboth, nunion = _set_sql("[0-9]+", False)
+    product = similarity.PRODUCT_CODE.replace("'", "''")
+    codes = lambda c: f"list_distinct(list_transform(regexp_extract_all(coalesce({c}, ''), '{product}'), lambda t: replace(t, ' ', '')))"
+    pl, pr = codes("l_v"), codes("r_v")
+    punion = f"len(list_distinct(list_concat({pl}, {pr})))"
+    part = {
+        "SimilarityFunctionExact": "CASE WHEN l_v IS NULL OR r_v IS NULL OR l_v = r_v THEN 1.0 ELSE 0.0 END",
+        "StringSimilarityFunction": _gated("CASE WHEN l_v = r_v THEN 1.0 ELSE 0.0 END"),
+        "CheckNullFunction": "CASE WHEN l_v IS NOT NULL AND r_v IS NOT NULL THEN 1.0 ELSE 0.0 END",
+        "CheckBlankOrNullFunction": f"CASE WHEN {_BLANK} THEN 0.0 ELSE 1.0 END",
+        "JaccSimFunction": _gated(f"CASE WHEN {union} = 0 THEN 0.0 ELSE {both} / {union} END"),
+        "NumbersJaccardFunction": f"CASE WHEN {_BLANK} OR {nunion} = 0 THEN 0.0 ELSE {nboth} / {nunion} END",
+        "ProductCodeFunction": f"CASE WHEN {punion} = 0 THEN 1.0 ELSE len(list_intersect({pl}, {pr}))::DOUBLE / {punion} END",
+        "PinCodeMatchTypeFunction": _gated("CASE WHEN split_part(l_v, '-', 1) = split_part(r_v, '-', 1) THEN 1.0 ELSE 0.0 END"),
+        "OnlyAlphabetsExactSimilarity": _gated("CASE WHEN regexp_replace(l_v, '[0-9.]', '', 'g') = regexp_replace(r_v, '[0-9.]', '', 'g') THEN 1.0 ELSE 0.0 END"),
+    }
+    wrap = lambda v, bits: f"((({v}) + {2 ** (bits - 1)}::HUGEINT) % {2**bits}::HUGEINT + {2**bits}::HUGEINT) % {2**bits}::HUGEINT - {2 ** (bits - 1)}::HUGEINT"
+
+    def ratio(c: str, bits: int) -> str:
+        total, apart = (wrap(f"l_{c}::HUGEINT {op} r_{c}::HUGEINT", bits) for op in "+-")
+        size = f"CASE WHEN {apart} = -{2 ** (bits - 1)}::HUGEINT THEN ({apart})::DOUBLE ELSE abs(({apart})::DOUBLE) END"
+        return f"CASE WHEN l_{c} IS NULL OR r_{c} IS NULL OR {total} = 0 THEN 0.0 ELSE 2.0 * ({size}) / ({total})::DOUBLE END"
+
+    floating = lambda c, apart: f"CASE WHEN l_{c} IS NULL OR r_{c} IS NULL THEN 1.0 ELSE 1.0 - ({apart}) / (1.0::DOUBLE + l_{c}::DOUBLE + r_{c}::DOUBLE) END"
+    customer = {
+        "IntegerSimilarityFunction": ratio("i", 32),
+        "LongSimilarityFunction": ratio("l", 64),
+        "DoubleSimilarityFunction": floating("d", "abs(l_d - r_d)"),
+        "FloatSimilarityFunction": floating("f", "abs(l_f - r_f)::DOUBLE"),
+    }
+    out = {k: f"SELECT id, round(({v})::DOUBLE, 6) AS score FROM {_PART_SQL}" for k, v in part.items()}
+    out |= {k: f"SELECT id, round(({v})::DOUBLE, 6) AS score FROM {_CUSTOMER_SQL}" for k, v in customer.items()}
+    out["DateSimilarityFunction"] = (
+        "WITH b AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS v FROM orders), p AS (SELECT x.id, (x.v - DATE '1970-01-01')::BIGINT * 86400000 AS l, (y.v - DATE '1970-01-01')::BIGINT * 86400000 AS r FROM b x JOIN b y ON y.id = x.id + 1) "
+        "SELECT id, round(CASE WHEN l IS NULL OR r IS NULL THEN 1.0 ELSE 1.0 - abs((l - r)::DOUBLE / (l + r + 1)::DOUBLE) END::DOUBLE, 6) AS score FROM p"
+    )
+    out["ArrayDoubleSimilarityFunction"] = (
+        "WITH b AS (SELECT vec_id AS id, CASE WHEN vec_id % 23 = 0 THEN NULL ELSE embedding::DOUBLE[] END AS v FROM embeddings) "
+        "SELECT x.id, round(CASE WHEN x.v IS NULL OR y.v IS NULL THEN 0.0 ELSE least(1.0, abs(list_dot_product(x.v, y.v) / (sqrt(list_dot_product(x.v, x.v)) * sqrt(list_dot_product(y.v, y.v))))) END::DOUBLE, 6) AS score FROM b x JOIN b y ON y.id = x.id + 1"
+    )
+    return out
+
+
+def _date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 11 != 0, F.to_date("o_orderdate")).alias("v"))
+    other = base.select((F.col("id") - 1).alias("id"), F.col("v").alias("w"))
+    return base.join(other, "id").select("id", F.round(similarity.date(F.col("v"), F.col("w")), 6).alias("score"))
+
+
+def _array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 23 != 0, F.col("embedding").cast("array<double>")).alias("v"))
+    other = base.select((F.col("id") - 1).alias("id"), F.col("v").alias("w"))
+    return base.join(other, "id").select("id", F.round(similarity.array_double(F.col("v"), F.col("w")), 6).alias("score"))
+
+
+def _similarity_queries() -> dict[str, Query]:
+    customer = {"IntegerSimilarityFunction": "i", "LongSimilarityFunction": "l", "DoubleSimilarityFunction": "d", "FloatSimilarityFunction": "f"}
+    out: dict[str, Query] = {}
+    for name, function in similarity.SIMILARITIES.items():
+        if name in customer:
+            out[name] = _score(function, "customer", _CUSTOMERS, customer[name])
+        elif name == "DateSimilarityFunction":
+            out[name] = _date
+        elif name == "ArrayDoubleSimilarityFunction":
+            out[name] = _array
+        else:
+            out[name] = _score(function, "part", _PARTS, "v")
+    return out
+
+
+# --- blocking hashes
+
+_KIND = {"Dbl": ("d", "DOUBLE"), "Float": ("f", "FLOAT"), "Int": ("i", "INTEGER"), "Long": ("l", "BIGINT")}
+
+
+def _hash_input(name: str) -> tuple[str, str, str]:
+    """Table, its SQL and the column that a hash is applied to."""
+    if name.startswith("truncate"):
+        return "customer", _CUSTOMERS, "d" if "Double" in name else "f"
+    if name == "round":
+        return "customer", _CUSTOMERS, "d"
+    if name.startswith("identity"):
+        k = name.removeprefix("identity")
+        return ("part", _PARTS, "v") if k == "String" else ("customer", _CUSTOMERS, {"Integer": "i", "Long": "l", "Boolean": "b"}[k])
+    for k, (column, _) in _KIND.items():
+        if name.endswith(k):
+            return "customer", _CUSTOMERS, column
+    return "part", _PARTS, "v"
+
+
+def _hash_query(name: str) -> Query:
+    table, sql, column = _hash_input(name)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = spark.sql(sql.format(s="STRING", f="FLOAT").replace(f"FROM {table}", "FROM {df}"), df=_read(spark, sf_dir, table))
+        return base.select("id", hashes.HASHES[name](F.col(column)).alias("h"))
+
+    return run
+
+
+def _box_sql(bounds: list[str]) -> str:
+    n = len(bounds[0])
+    cases = " ".join(f"WHEN substr(v, 1, {n}) >= '{b}' THEN {i}" for i, b in reversed(list(enumerate(bounds, 1))))
+    return f"CASE WHEN v IS NULL OR length(v) <= {n} THEN 0 {cases} ELSE {len(bounds) + 1} END"
+
+
+def _hash_sql(name: str) -> str:
+    table, sql, column = _hash_input(name)
+    base = sql.format(s="VARCHAR", f="FLOAT")
+    if name.startswith("first") and name.endswith("Chars"):
+        body = f"substr(v, 1, {name[5]})"
+    elif name.startswith("last") and name.endswith("Chars"):
+        body = f"right(v, {name[4]})"
+    elif name == "lastWord":
+        body = "CASE WHEN v = '' THEN v WHEN rtrim(v, ' ') = '' THEN NULL ELSE list_last(string_split(rtrim(v, ' '), ' ')) END"
+    elif name == "isNullOrEmpty":
+        body = "v IS NULL OR v = ''"
+    elif name == "first2CharsBox":
+        body = _box_sql(hashes.BOX_2)
+    elif name == "first3CharsBox":
+        body = _box_sql(hashes.BOX_3)
+    elif name.startswith("identity"):
+        body = column
+    elif name.startswith("lessThanZero"):
+        body = f"coalesce({column} < 0, false)"
+    elif name.startswith("truncate"):
+        scale = f"{10 ** int(name.split('To')[1][0])}::DOUBLE"
+        body = f"(trunc({column}::DOUBLE * {scale}) / {scale})::{'DOUBLE' if 'Double' in name else 'FLOAT'}"
+    elif name.startswith("trimLast"):
+        scale, kind = 10 ** int(name[8]), next(t for k, (_, t) in _KIND.items() if name.endswith(k))
+        body = f"({column} // {scale})::{kind}" if kind in ("INTEGER", "BIGINT") else f"floor({column}::DOUBLE / {scale}::DOUBLE)::{kind}"
+    elif name.startswith("rangeBetween"):
+        low, high = name.removeprefix("rangeBetween").rstrip("DblFoatIntLg").split("And")
+        kind = "BIGINT" if name.endswith("Long") else "INTEGER"
+        body = f"coalesce(({column}::DOUBLE >= {low} AND {column}::DOUBLE < {high})::INTEGER, 0)::{kind}"
+    else:
+        body = f"(floor({column}) + CASE WHEN {column} - floor({column}) >= 0.5 THEN 1 ELSE 0 END)::BIGINT"
+    return f"SELECT id, {body} AS h FROM ({base})"
+
+
+# --- trees, preprocessing, vectors, model, graph, evidence
+
+TREE = blocking.Node("first1Chars", "p_name", None, [blocking.Node("trimLast1DigitsInt", "p_size", "a", [blocking.Node("lastWord", "p_type", 1)]), blocking.Node("lessThanZeroInt", "p_size", "b")])
+
+
+def _java_hash_sql(text: str) -> str:
+    unsigned = f"list_reduce(list_prepend(0::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)), lambda h, u: (h * 31 + u) % 4294967296)"
+    return f"CASE WHEN length({text}) = 0 THEN 0 ELSE (CASE WHEN {unsigned} >= 2147483648 THEN {unsigned} - 4294967296 ELSE {unsigned} END) END::INTEGER"
+
+
+_TREE_TEXT = (
+    "('|' || coalesce(substr(p_name, 1, 1), 'null') || CASE WHEN substr(p_name, 1, 1) = 'a' THEN '|' || coalesce(CAST(p_size // 10 AS VARCHAR), 'null') || CASE WHEN p_size // 10 = 1 THEN '|' || list_last(string_split(rtrim(p_type, ' '), ' ')) ELSE '' END ELSE '' END"
+    " || CASE WHEN substr(p_name, 1, 1) = 'b' THEN '|' || CASE WHEN p_size < 0 THEN 'true' ELSE 'false' END ELSE '' END)"
+)
+
+
+def tree_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocking.block_hashes(_read(spark, sf_dir, "part"), TREE, "h").select("p_partkey", "h")
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the candidate lists of a two-level tree over customers."""
+    tree = blocking.Node("trimLast3DigitsDbl", "c_acctbal", None, [])
+    df = _read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    hashed = blocking.block_hashes(df, tree, "h")
+    pairs = blocking.candidate_pairs(hashed, None, "h", "c_custkey", "z_", "c_mktsegment")
+    return pairs.groupBy("c_custkey").agg(F.count("*").alias("n"))
+
+
+_CANDIDATES_SQL = "SELECT a.c_custkey, count(*) AS n FROM customer a JOIN customer b ON floor(a.c_acctbal / 1000) = floor(b.c_acctbal / 1000) AND a.c_custkey < b.c_custkey AND a.c_mktsegment <> b.c_mktsegment GROUP BY 1"
+
+
+def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-source link: suppliers and customers of one nation whose balances share a hash."""
+    s = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("bal"))
+    c = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("bal"))
+    tree = blocking.Node("identityInteger", "nation", None, [])
+    left, right = (blocking.block_hashes(x, tree, "h") for x in (s, c))
+    pairs = blocking.candidate_pairs(left, right, "h", "id")
+    return pairs.where(F.floor(F.col("bal") / 100) == F.floor(F.col("z_bal") / 100)).select("id", "z_id")
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = _read(spark, sf_dir, "lineitem")
+    return line.select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity") / 50).cast("double").alias("q"), F.col("l_discount").cast("double").alias("x"), F.col("l_tax").cast("double").alias("t"), (F.col("l_returnflag") == "R").cast("int").alias("label")
+    )
+
+
+_FEATURES = "SELECT l_orderkey, l_linenumber, (l_quantity / 50)::DOUBLE AS q, l_discount::DOUBLE AS x, l_tax::DOUBLE AS t, (l_returnflag = 'R')::INTEGER AS label FROM lineitem"
+MODEL = model.MatchModel(["q", "x"], [0.5, -1.25, 0.75, 2.0, -0.5, 0.25, -3.0, 1.5, 0.125], -0.2, 0.45)
+_MARGIN = "(-0.2 + 0.5*q - 1.25*q*q + 0.75*q*q*q + 2.0*x - 0.5*q*x + 0.25*q*q*x - 3.0*x*x + 1.5*q*x*x + 0.125*x*x*x)"
+
+
+def polynomial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = F.transform(model.polynomial(["q", "x", "t"], 2), lambda v: F.round(v, 6))
+    return _features(spark, sf_dir).select("l_orderkey", "l_linenumber", *(F.get(terms, F.lit(i)).alias(f"t{i}") for i in range(9)))
+
+
+_TERMS = ["q", "q*q", "x", "q*x", "x*x", "t", "q*t", "x*t", "t*t"]
+
+
+def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.standardize(_features(spark, sf_dir), ["q", "x"]).select("l_orderkey", "l_linenumber", F.round("q", 6).alias("q"), F.round("x", 6).alias("x"))
+
+
+def predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.predict(_features(spark, sf_dir), MODEL).select("l_orderkey", "l_linenumber", F.round("score", 6).alias("score"), F.col("prediction"))
+
+
+def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.auc_frame(_features(spark, sf_dir).select(F.col("x").alias("score"), "label")).select(F.round("auc", 6).alias("auc"))
+
+
+_AUC_SQL = (
+    f"WITH f AS ({_FEATURES}), g AS (SELECT x AS s, sum(label)::DOUBLE AS p, sum(1 - label)::DOUBLE AS n FROM f GROUP BY x), w AS (SELECT *, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g) "
+    "SELECT round(sum(p * (below + n / 2)) / (sum(p) * sum(n)), 6) AS auc FROM w"
+)
+
+
+def fit_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cross-validated fit on order features; saved, loaded and applied."""
+    from kinlink.sources.stash import shared_dir
+
+    data = _features(spark, sf_dir)
+    fitted = model.fit(data, ["q", "x"], "label", degree=2, regularizations=[0.01, 0.1], max_iter=15)
+    path = f"{shared_dir(spark)}/kinlink/model-{abs(hash(sf_dir))}"
+    model.save(spark, fitted, path)
+    loaded = model.load(spark, path)
+    return model.predict(data, loaded).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
+def fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equal rows share a fold: no (label, features) combination is in two."""
+    f = _features(spark, sf_dir).select("q", "x", "label", model.fold_of("label", ["q", "x"]).alias("fold"))
+    return f.groupBy("q", "x", "label").agg(F.count_distinct("fold").alias("folds"))
+
+
+def vector_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors made of customer balances: dense for even keys, sparse for odd ones, null for every 13th."""
+    base = _read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    dense = F.struct(F.lit(1).alias("type"), F.lit(None).cast("int").alias("size"), F.lit(None).cast("array<int>").alias("indices"), F.array(F.lit(0.5), F.col("c_acctbal")).alias("values"))
+    sparse = F.struct(F.lit(0).alias("type"), F.lit(30).alias("size"), F.array(F.lit(0), F.col("c_nationkey") + 1).cast("array<int>").alias("indices"), F.array(F.lit(0.5), F.col("c_acctbal")).alias("values"))
+    kind = "struct<type:int,size:int,indices:array<int>,values:array<double>>"
+    vector = F.when(F.col("c_custkey") % 13 == 0, F.lit(None).cast(kind)).when(F.col("c_custkey") % 2 == 0, dense.cast(kind)).otherwise(sparse.cast(kind))
+    return base.withColumn("v", vector).select("c_custkey", vector_value(F.col("v")).alias("value"))
+
+
+def components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vertices = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("a"))
+    edges = _read(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("a"), (F.col("c_custkey") + 1).alias("b"))
+    return connected_components(vertices, edges, "a", "b", "cluster")
+
+
+# the edges join two of three keys in a row, so the smallest reachable is stated by key
+_COMPONENTS_SQL = """WITH RECURSIVE e AS (SELECT c_custkey AS a, c_custkey + 1 AS b FROM customer WHERE c_custkey % 3 <> 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+ r AS (SELECT c_custkey AS a, c_custkey AS m FROM customer UNION SELECT r.a, s.b FROM r JOIN s ON s.a = r.m) SELECT a, min(m) AS cluster FROM r GROUP BY a"""
+
+
+def preprocessed(kind: str) -> Query:
+    rules = {"trim": trim, "caseNormalize": case_normalize, "stopWords": lambda c: stop_words(c, STOP)}
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _read(spark, sf_dir, "part").select("p_partkey", rules[kind](F.concat(F.lit("  "), F.initcap("p_name"), F.lit(" the of and  "))).alias("v"))
+
+    return run
+
+
+def _pre_sql(body: str) -> str:
+    return f"SELECT p_partkey, {body} AS v FROM (SELECT p_partkey, '  ' || list_aggregate(list_transform(string_split(p_name, ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), 'string_agg', ' ') || ' the of and  ' AS s FROM part)"
+
+
+def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of a table and of the same table dealt and ordered differently."""
+    n = _read(spark, sf_dir, "nation")
+    first, second = evidence.output_fingerprint(n), evidence.output_fingerprint(n.repartition(3).orderBy(F.desc("n_name")))
+    return first.select("rows", F.col("digest")).join(second.select("digest"), "digest").select("rows", (F.length("digest") == 64).alias("same"))
+
+
+def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.sources.io import with_row_id
+
+    d = with_row_id(_read(spark, sf_dir, "orders").repartition(5))
+    return d.agg(F.count("*").alias("n"), F.count_distinct("z_zid").alias("ids"), (F.min("z_zid") >= 0).alias("non_negative"))
+
+
+def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table through CSV, JSON and Parquet pipes."""
+    import uuid
+
+    from kinlink.sources.io import Pipe, drop_transient, read_pipe, transient_dir, write_pipe
+    from kinlink.sources.stash import shared_dir
+
+    root, src = transient_dir(shared_dir(spark), str(uuid.uuid4())), _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    out = None
+    for kind in ("csv", "json", "parquet"):
+        props = {"location": f"{root}/{kind}"} | ({"header": "true"} if kind == "csv" else {})
+        write_pipe(src, Pipe("nation", kind, props))
+        back = read_pipe(spark, Pipe("nation", kind, props, "n_nationkey int, n_name string")).select(F.lit(kind).alias("format"), "n_nationkey", "n_name")
+        out = back if out is None else out.unionByName(back)
+    kept = spark.createDataFrame(out.collect(), out.schema)  # 75 rows; the folder is transient
+    drop_transient(spark, root)
+    return kept
+
+
+def phases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trained match over part names with planted variants: how many records, clusters and records in true clusters."""
+    from kinlink.plans.phases import Config, Field, match, train
+    from kinlink.sources.stash import stash
+
+    p = _read(spark, sf_dir, "part").where("p_partkey <= 200").select("p_partkey", "p_name", "p_brand", "p_size")
+    base = p.select(F.col("p_partkey").alias("truth"), F.concat_ws(" ", "p_name", F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 8)).alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    variant = base.select("truth", F.concat(F.expr("substr(name, 1, length(name) - 1)"), F.lit("x")).alias("name"), "brand", "size")
+    records = stash(base.withColumn("z_zid", F.col("truth") * 2).unionByName(variant.withColumn("z_zid", F.col("truth") * 2 + 1)), "records").df
+    config = Config([Field("name", "fuzzy", "string"), Field("brand", "exact", "string"), Field("size", "fuzzy", "int")])
+    known = records.where("truth <= 40").select(F.col("z_zid").cast("long"), F.lit(1).alias("z_isMatch"), F.concat(F.lit("m"), F.col("truth").cast("string")).alias("z_cluster"), "name", "brand", "size")
+    other = records.where("truth <= 80 AND z_zid % 2 = 0").select(F.col("z_zid").cast("long"), F.lit(0).alias("z_isMatch"), F.concat(F.lit("n"), (F.col("truth") - F.col("truth") % 2).cast("string")).alias("z_cluster"), "name", "brand", "size")
+    fitted, tree = train(known.unionByName(other), records, config, regularizations=[0.01], degree=2, max_iter=20)
+    found = match(records, config, fitted, tree)
+    return found.groupBy("truth").agg(F.count_distinct("z_cluster").alias("clusters"), F.count("*").alias("records"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    """Documents: block on the first characters and last word, score pairs, cluster, and count cluster sizes."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 60).alias("head"), "lang")
+    tree = blocking.Node("first3Chars", "head", None, [])
+    hashed = blocking.block_hashes(docs, tree, "h")
+    pairs = registry.similarity(blocking.candidate_pairs(hashed, None, "h", "doc_id"), "JaccSimFunction", "head", "z_head", "score")
+    clustered = connected_components(docs, pairs.where("score >= 0.8").select("doc_id", "z_doc_id"), "doc_id", "z_doc_id", "cluster")
+    return clustered.groupBy("cluster").agg(F.count("*").alias("n"))
+
+
+_FLAGSHIP_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, substr(text, 1, 60) AS l_v FROM documents), t AS (SELECT doc_id, l_v, list_distinct(regexp_extract_all(lower(l_v), '[\\p{{L}}]+|[\\p{{N}}]+')) AS w FROM d),
+ e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON substr(a.l_v, 1, 3) = substr(b.l_v, 1, 3) AND a.doc_id <> b.doc_id
+  WHERE a.l_v = '' OR b.l_v = '' OR (len(list_distinct(list_concat(a.w, b.w))) > 0 AND len(list_intersect(a.w, b.w))::DOUBLE / len(list_distinct(list_concat(a.w, b.w))) >= 0.8)),
+ r AS (SELECT doc_id AS a, doc_id AS m FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.m), c AS (SELECT a, min(m) AS cluster FROM r GROUP BY a)
+SELECT cluster, count(*) AS n FROM c GROUP BY cluster"""
 
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    out = {f"similarity_{k}": q for k, q in _similarity_queries().items()}
+    out |= {f"blocking_{k}": _hash_query(k) for k in hashes.HASHES}
+    out |= {f"preprocess_{k}": preprocessed(k) for k in ("trim", "caseNormalize", "stopWords")}
+    out |= {
+        "blocking_tree": tree_hash,
+        "blocking_candidates": candidates,
+        "link_pairs": link_pairs,
+        "vector_value": vector_values,
+        "model_polynomial": polynomial,
+        "model_standardize": standardized,
+        "model_predict": predict,
+        "model_auc": auc,
+        "model_fit_save_load": fit_model,
+        "model_folds": fold_sizes,
+        "graph_connected_components": components,
+        "evidence_fingerprint": fingerprint,
+        "source_formats": formats,
+        "source_row_ids": row_ids,
+        "phases_train_match": phases,
+        "flagship_document_clusters": flagship,
+    }
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    out = {f"similarity_{k}": v for k, v in _similarity_sql().items()}
+    out |= {f"blocking_{k}": _hash_sql(k) for k in hashes.HASHES}
+    out |= {
+        "preprocess_trim": _pre_sql("trim(s)"),
+        "preprocess_caseNormalize": _pre_sql("lower(s)"),
+        "preprocess_stopWords": _pre_sql(f"regexp_replace(s, '{STOP}', '', 'g')"),
+        "blocking_tree": f"SELECT p_partkey, {_java_hash_sql(_TREE_TEXT)} AS h FROM part",
+        "blocking_candidates": _CANDIDATES_SQL,
+        "link_pairs": "SELECT s_suppkey AS id, c_custkey AS z_id FROM supplier JOIN customer ON s_nationkey = c_nationkey AND floor(s_acctbal / 100) = floor(c_acctbal / 100)",
+        "vector_value": "SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN c_acctbal WHEN c_nationkey = 0 THEN c_acctbal ELSE 0.0 END AS value FROM customer",
+        "model_polynomial": f"SELECT l_orderkey, l_linenumber, {', '.join(f'round({t}, 6) AS t{i}' for i, t in enumerate(_TERMS))} FROM ({_FEATURES})",
+        "model_standardize": f"WITH f AS ({_FEATURES}), s AS (SELECT avg(q) AS mq, stddev_pop(q) AS sq, avg(x) AS mx, stddev_pop(x) AS sx FROM f) SELECT l_orderkey, l_linenumber, round((q - mq) / sq, 6) AS q, round((x - mx) / sx, 6) AS x FROM f, s",
+        "model_predict": f"SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-{_MARGIN})), 6) AS score, CAST(1 / (1 + exp(-{_MARGIN})) > 0.45 AS INTEGER)::DOUBLE AS prediction FROM ({_FEATURES})",
+        "model_auc": _AUC_SQL,
+        "model_folds": f"SELECT q, x, label, 1::BIGINT AS folds FROM ({_FEATURES}) GROUP BY ALL",
+        "graph_connected_components": _COMPONENTS_SQL,
+        "evidence_fingerprint": "SELECT count(*) AS rows, true AS same FROM nation",
+        "source_formats": "SELECT f.format, n_nationkey, n_name FROM nation, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)",
+        "source_row_ids": "SELECT count(*) AS n, count(*) AS ids, true AS non_negative FROM orders",
+        "flagship_document_clusters": _FLAGSHIP_SQL,
+    }
+    return out

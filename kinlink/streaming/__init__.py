@@ -1,0 +1 @@
+"""No operator of the engine is a streaming one; all column functions can be used on streaming frames as they are."""
