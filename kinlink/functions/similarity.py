@@ -18,7 +18,6 @@ TOKENS = r"[\p{L}]+|[\p{N}]+"
 NUMBERS = "[0-9]+"
 PRODUCT_CODE = r"\s[a-zA-Z]{0,4}\s\d+\s([a-zA-Z]{0,4}\s)?|(\s?([a-z0-9A-Z]*\d+(\.\d+)?[a-z0-9A-Z]*)\s?)"
 
-ONE, ZERO = F.lit(1.0), F.lit(0.0)
 
 
 def _text(value: Column) -> Column:
@@ -26,11 +25,11 @@ def _text(value: Column) -> Column:
 
 
 def _flag(condition: Column) -> Column:
-    return F.when(condition, ONE).otherwise(ZERO)
+    return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
 def gate(left: Column, right: Column, score: Column) -> Column:
-    return F.when(blank(_text(left)) | blank(_text(right)), ONE).otherwise(score)
+    return F.when(blank(_text(left)) | blank(_text(right)), F.lit(1.0)).otherwise(score)
 
 
 def exact(left: Column, right: Column) -> Column:
@@ -65,7 +64,7 @@ def _wrap_add(a: Column, b: Column, carry: int = 0) -> Column:
 def _ratio(total: Column, apart: Column, least: int) -> Column:
     """Twice the absolute difference over the sum; the smallest integer has no absolute value and stays negative."""
     size = F.when(apart == F.lit(least), apart.cast("double")).otherwise(F.abs(apart.cast("double")))
-    return F.coalesce(F.when(total == 0, ZERO).otherwise(F.try_divide(2.0 * size, total.cast("double"))), ZERO)
+    return F.coalesce(F.when(total == 0, F.lit(0.0)).otherwise(F.try_divide(2.0 * size, total.cast("double"))), F.lit(0.0))
 
 
 def integer(left: Column, right: Column) -> Column:
@@ -89,7 +88,7 @@ def _floating(left: Column, right: Column, kind: str) -> Column:
     apart = F.abs((l - r).cast(kind)).cast("double")
     l, r = l.cast("double"), r.cast("double")
     usable = l.isNotNull() & r.isNotNull() & ~F.isnan(l) & ~F.isnan(r)
-    return F.when(usable, 1.0 - _quotient(apart, 1.0 + l + r)).otherwise(ONE)
+    return F.when(usable, 1.0 - _quotient(apart, 1.0 + l + r)).otherwise(F.lit(1.0))
 
 
 def double(left: Column, right: Column) -> Column:
@@ -105,7 +104,7 @@ def date(left: Column, right: Column) -> Column:
     day = F.lit(86_400_000).cast("long")
     l, r = F.unix_date(left.cast("date")).cast("long") * day, F.unix_date(right.cast("date")).cast("long") * day
     apart, total = (l - r).cast("double"), (l + r + 1).cast("double")
-    return F.coalesce(1.0 - F.abs(F.try_divide(apart, total)), ONE)
+    return F.coalesce(1.0 - F.abs(F.try_divide(apart, total)), F.lit(1.0))
 
 
 def array_double(left: Column, right: Column) -> Column:
@@ -113,11 +112,11 @@ def array_double(left: Column, right: Column) -> Column:
     l, r = left.cast("array<double>"), right.cast("array<double>")
 
     def score(x: Column) -> Column:
-        pair = lambda f: F.aggregate(F.zip_with(x["l"], x["r"], f), ZERO, lambda total, v: total + v)
+        pair = lambda f: F.aggregate(F.zip_with(x["l"], x["r"], f), F.lit(0.0), lambda total, v: total + v)
         norm = F.sqrt(pair(lambda a, b: a * a)) * F.sqrt(pair(lambda a, b: b * b))
-        return F.when(norm > 0, F.least(ONE, F.abs(F.try_divide(pair(lambda a, b: a * b), norm))))
+        return F.when(norm > 0, F.least(F.lit(1.0), F.abs(F.try_divide(pair(lambda a, b: a * b), norm))))
 
-    return F.coalesce(F.when((F.size(l) > 0) & (F.size(l) == F.size(r)), let(F.struct(l.alias("l"), r.alias("r")), score)), ZERO)
+    return F.coalesce(F.when((F.size(l) > 0) & (F.size(l) == F.size(r)), let(F.struct(l.alias("l"), r.alias("r")), score)), F.lit(0.0))
 
 
 def _overlap(left: Column, right: Column, empty: Column) -> Column:
@@ -136,16 +135,16 @@ def _distinct(value: Column, pattern: str) -> Column:
 
 
 def jaccard(left: Column, right: Column) -> Column:
-    return gate(left, right, _overlap(_distinct(F.lower(_text(left)), TOKENS), _distinct(F.lower(_text(right)), TOKENS), ZERO))
+    return gate(left, right, _overlap(_distinct(F.lower(_text(left)), TOKENS), _distinct(F.lower(_text(right)), TOKENS), F.lit(0.0)))
 
 
 def numbers_jaccard(left: Column, right: Column) -> Column:
-    return F.coalesce(_overlap(_distinct(_text(left), NUMBERS), _distinct(_text(right), NUMBERS), ZERO), ZERO)
+    return F.coalesce(_overlap(_distinct(_text(left), NUMBERS), _distinct(_text(right), NUMBERS), F.lit(0.0)), F.lit(0.0))
 
 
 def product_code(left: Column, right: Column) -> Column:
     codes = lambda v: F.array_distinct(F.transform(F.regexp_extract_all(F.coalesce(_text(v), F.lit("")), F.lit(PRODUCT_CODE), F.lit(0)), lambda t: F.replace(t, F.lit(" "), F.lit(""))))
-    return _overlap(codes(left), codes(right), ONE)
+    return _overlap(codes(left), codes(right), F.lit(1.0))
 
 
 def jaro(left: Column, right: Column) -> Column:
@@ -182,10 +181,10 @@ def jaro(left: Column, right: Column) -> Column:
             crossed = F.size(F.filter(F.zip_with(characters(state["hit"]), other, lambda p, q: p != q), lambda odd: odd))
             n = F.length(state["hit"]).cast("double")
             parts = F.try_divide(n, F.length(x["a"]).cast("double")) + F.try_divide(n, F.length(x["b"]).cast("double")) + F.try_divide(n - F.floor(crossed / 2), n)
-            return F.when(n == 0, ZERO).otherwise(parts / 3.0)
+            return F.when(n == 0, F.lit(0.0)).otherwise(parts / 3.0)
 
         half = F.floor(F.least(F.length(x["a"]), F.length(x["b"])) / 2).cast("int") + 1
-        return F.when(x["a"] == x["b"], ONE).otherwise(let(taken_state(x, half), rate))
+        return F.when(x["a"] == x["b"], F.lit(1.0)).otherwise(let(taken_state(x, half), rate))
 
     def taken_state(x: Column, half: Column) -> Column:
         return let(F.struct(x["a"].alias("a"), x["b"].alias("b"), half.alias("half")), taken)
@@ -207,11 +206,11 @@ def affine_gap(left: Column, right: Column) -> Column:
         return F.zip_with(characters(units), characters(F.translate(units, members, classes)), lambda c, k: F.struct(c.alias("c"), k.alias("k")))
 
     cell = "struct<m:double,s:double>"
-    nothing = F.struct(ZERO.alias("m"), ZERO.alias("s"))
+    nothing = F.struct(F.lit(0.0).alias("m"), F.lit(0.0).alias("s"))
 
     def best(x: Column) -> Column:
         def row(state: Column, a: Column) -> Column:
-            start = F.struct(F.array().cast(f"array<{cell}>").alias("row"), nothing["m"].alias("m"), ZERO.alias("t"), state["best"].alias("best"))
+            start = F.struct(F.array().cast(f"array<{cell}>").alias("row"), nothing["m"].alias("m"), F.lit(0.0).alias("t"), state["best"].alias("best"))
             columns = F.zip_with(
                 F.zip_with(x["b"], state["row"], lambda b, up: F.struct(b.alias("b"), up.alias("up"))),
                 F.concat(F.array(nothing), F.slice(state["row"], 1, F.greatest(F.size(x["b"]) - 1, F.lit(0)))),
@@ -220,9 +219,9 @@ def affine_gap(left: Column, right: Column) -> Column:
 
             def along(now: Column, at: Column) -> Column:
                 alike = F.when(a["c"] == at["b"]["c"], F.lit(SAME)).when(a["k"] == at["b"]["k"], F.lit(NEAR)).otherwise(F.lit(OTHER))
-                m = F.greatest(ZERO, F.greatest(at["before"]["m"], at["before"]["s"], now["t"]) + alike)
-                s = F.greatest(ZERO, at["up"]["m"] - GAP_OPEN, at["up"]["s"] - GAP_EXTEND)
-                t = F.greatest(ZERO, now["m"] - GAP_OPEN, now["t"] - GAP_EXTEND)
+                m = F.greatest(F.lit(0.0), F.greatest(at["before"]["m"], at["before"]["s"], now["t"]) + alike)
+                s = F.greatest(F.lit(0.0), at["up"]["m"] - GAP_OPEN, at["up"]["s"] - GAP_EXTEND)
+                t = F.greatest(F.lit(0.0), now["m"] - GAP_OPEN, now["t"] - GAP_EXTEND)
                 return let(
                     F.struct(m.alias("m"), s.alias("s"), t.alias("t")),
                     lambda v: F.struct(
@@ -232,13 +231,13 @@ def affine_gap(left: Column, right: Column) -> Column:
 
             return F.aggregate(columns, start, along, lambda end: F.struct(end["row"].alias("row"), end["best"].alias("best")))
 
-        first = F.struct(F.transform(x["b"], lambda _: nothing).alias("row"), ZERO.alias("best"))
+        first = F.struct(F.transform(x["b"], lambda _: nothing).alias("row"), F.lit(0.0).alias("best"))
         return F.aggregate(x["a"], first, row, lambda end: end["best"])
 
     def score(x: Column) -> Column:
         size = F.least(F.length(x["a"]), F.length(x["b"])) * SAME
         aligned = let(F.struct(letters(x["a"]).alias("a"), letters(x["b"]).alias("b")), best)
-        return F.when(x["a"] == x["b"], ONE).otherwise(F.coalesce(F.try_divide(aligned, size), ZERO))
+        return F.when(x["a"] == x["b"], F.lit(1.0)).otherwise(F.coalesce(F.try_divide(aligned, size), F.lit(0.0)))
 
     pair = F.struct(unit_lower(unit_text(_text(left))).alias("a"), unit_lower(unit_text(_text(right))).alias("b"))
     return gate(left, right, let(pair, score))
