@@ -24,7 +24,7 @@ from kinlink.sources.stash import stash
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score reaches one half."""
     source = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = compression.fit(compression.training_rows(source, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    model = compression.fit(source, compression.training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return compression.keep_good(docs, model)
 
 

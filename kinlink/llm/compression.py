@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from kinlink.llm.arrow import map_rows
 
-SAMPLE = 3000
-SAMPLE_CHARS = 20_000
+SAMPLE = 2000
+SAMPLE_CHARS = 10_000
 DICT_BYTES = 64 << 10
 BLOCK = 1024
 LEVEL = 3
@@ -124,19 +124,25 @@ class CompressionModel:
         return 1 / (1 + math.exp(-z))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> CompressionModel:
-    """Fit on at most ``sample`` rows a class for the dictionaries and as many for the curve."""
-    chosen = labelled.where(F.col(label).isin(0, 1) & (F.length(text) > 0)).select(
-        F.substring(text, 1, sample_chars).alias("text"), F.col(label).cast("int").alias("y"), F.xxhash64(F.col(key).cast("string"), F.lit("quality")).alias("h")
-    )
-    parts = {}
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> CompressionModel:
+    """Fit on at most ``sample`` rows a class for the dictionaries and as many for the curve.
+
+    The rows are chosen among the labels, so that only 4 ``sample`` keys are broadcast and no text is shuffled.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("__key"), F.col(label).cast("int").alias("y"), F.xxhash64(F.col(key).cast("string"), F.lit("quality")).alias("h"))
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    chosen = None
     for y in (0, 1):
         for curve in (0, 1):
-            found = chosen.where((F.col("y") == y) & (F.pmod("h", F.lit(2)) == curve)).orderBy("h", "text").limit(sample).select("text").collect()
-            parts[y, curve] = [r[0] for r in found]
+            part = known.where((F.col("y") == y) & (F.pmod("h", F.lit(2)) == curve)).orderBy("h", "__key").limit(sample).withColumn("curve", F.lit(curve))
+            chosen = part if chosen is None else chosen.unionAll(part)
+    texts = docs.where(F.length(text) > 0).select(F.col(key).alias("__doc"), F.substring(text, 1, sample_chars).alias("text"))
+    rows = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__key")).select("y", "curve", "h", "text").collect()
+    parts: dict[tuple[int, int], list[str]] = {(y, c): [] for y in (0, 1) for c in (0, 1)}
+    for r in sorted(rows, key=lambda r: (r["h"], r["text"])):
+        parts[r["y"], r["curve"]].append(r["text"])
     model = CompressionModel(*(_dictionary([x.encode("utf-8", "surrogatepass") for x in parts[y, 0]]) for y in (1, 0)))
     rest = [(model.sizes(x), y) for y in (0, 1) for x in parts[y, 1]]
-    counts = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
     model.calibrate(np.array([x for x, _ in rest]), np.array([y for _, y in rest]), share)
     return model
@@ -165,15 +171,15 @@ def keep_good(df: DataFrame, model: CompressionModel, text: str = "text", thresh
     return map_rows(df, run, df.schema)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents outside the held-out third."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """Labels outside the held-out third."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
-    return labels.where(~held_out).select("doc_id", F.col("quality").alias("label")).join(docs.select("doc_id", "text"), "doc_id")
+    return labels.where(~held_out).select("doc_id", F.col("quality").alias("label"))
 
 
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:
     """Query op10: labelled documents whose crc32 mod 3 is not 1 teach, every document is scored."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = fit(training_rows(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    model = fit(docs, training_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
