@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinlink.functions import hashes, similarity
@@ -310,14 +310,14 @@ def vector_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vertices = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("a"))
-    edges = _read(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("a"), (F.col("c_custkey") + 1).alias("b"))
-    return connected_components(vertices, edges, "a", "b", "cluster")
+    """Customers chained to the next one of their nation and balance band."""
+    customer = _read(spark, sf_dir, "customer")
+    band = Window.partitionBy("c_nationkey", F.floor(F.col("c_acctbal") / 500)).orderBy("c_custkey")
+    edges = customer.select(F.col("c_custkey").alias("a"), F.lead("c_custkey").over(band).alias("b"))
+    return connected_components(customer.select(F.col("c_custkey").alias("a")), edges, "a", "b", "cluster")
 
 
-# the edges join two of three keys in a row, so the smallest reachable is stated by key
-_COMPONENTS_SQL = """WITH RECURSIVE e AS (SELECT c_custkey AS a, c_custkey + 1 AS b FROM customer WHERE c_custkey % 3 <> 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
- r AS (SELECT c_custkey AS a, c_custkey AS m FROM customer UNION SELECT r.a, s.b FROM r JOIN s ON s.a = r.m) SELECT a, min(m) AS cluster FROM r GROUP BY a"""
+_COMPONENTS_SQL = "SELECT c_custkey AS a, min(c_custkey) OVER (PARTITION BY c_nationkey, floor(c_acctbal / 500)) AS cluster FROM customer"
 
 
 def preprocessed(kind: str) -> Query:
@@ -367,35 +367,41 @@ def formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def phases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A trained match over part names with planted variants: how many records, clusters and records in true clusters."""
+    """A trained match over all parts, each with a planted variant: clusters and records of each part."""
     from kinlink.plans.phases import Config, Field, match, train
     from kinlink.sources.stash import stash
 
-    p = _read(spark, sf_dir, "part").where("p_partkey <= 200").select("p_partkey", "p_name", "p_brand", "p_size")
-    base = p.select(F.col("p_partkey").alias("truth"), F.concat_ws(" ", "p_name", F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 8)).alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
-    variant = base.select("truth", F.concat(F.expr("substr(name, 1, length(name) - 1)"), F.lit("x")).alias("name"), "brand", "size")
+    part = _read(spark, sf_dir, "part")
+    code = F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 8)
+    base = part.select(F.col("p_partkey").alias("truth"), F.concat_ws(" ", code, "p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    variant = base.withColumn("name", F.concat("name", F.lit("x")))
     records = stash(base.withColumn("z_zid", F.col("truth") * 2).unionByName(variant.withColumn("z_zid", F.col("truth") * 2 + 1)), "records").df
     config = Config([Field("name", "fuzzy", "string"), Field("brand", "exact", "string"), Field("size", "fuzzy", "int")])
-    known = records.where("truth <= 40").select(F.col("z_zid").cast("long"), F.lit(1).alias("z_isMatch"), F.concat(F.lit("m"), F.col("truth").cast("string")).alias("z_cluster"), "name", "brand", "size")
-    other = records.where("truth <= 80 AND z_zid % 2 = 0").select(F.col("z_zid").cast("long"), F.lit(0).alias("z_isMatch"), F.concat(F.lit("n"), (F.col("truth") - F.col("truth") % 2).cast("string")).alias("z_cluster"), "name", "brand", "size")
-    fitted, tree = train(known.unionByName(other), records, config, regularizations=[0.01], degree=2, max_iter=20)
+    # labels come from people, for few records: 40 known matches and 20 known differences
+    labelled = records.join(F.broadcast(records.select("truth").distinct().orderBy("truth").limit(40)), "truth")
+    cluster = lambda kind, value: F.concat(F.lit(kind), value.cast("string")).alias("z_cluster")
+    same = labelled.select("z_zid", F.lit(1).alias("z_isMatch"), cluster("m", F.col("truth")), "name", "brand", "size")
+    other = labelled.where(F.col("z_zid") == F.col("truth") * 2).select("z_zid", F.lit(0).alias("z_isMatch"), cluster("n", F.floor(F.col("truth") / 2)), "name", "brand", "size")
+    fitted, tree = train(same.unionByName(other), records, config, regularizations=[0.01], degree=1, max_iter=20)
     found = match(records, config, fitted, tree)
     return found.groupBy("truth").agg(F.count_distinct("z_cluster").alias("clusters"), F.count("*").alias("records"))
 
 
+FLAGSHIP_TREE = blocking.Node(None, None, None, [blocking.Node("first4Chars", "text"), blocking.Node("lastWord", "text")])
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents: block on the first characters and last word, score pairs, cluster, and count cluster sizes."""
-    docs = _read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 60).alias("head"), "lang")
-    tree = blocking.Node("first3Chars", "head", None, [])
-    hashed = blocking.block_hashes(docs, tree, "h")
-    pairs = registry.similarity(blocking.candidate_pairs(hashed, None, "h", "doc_id"), "JaccSimFunction", "head", "z_head", "score")
-    clustered = connected_components(docs, pairs.where("score >= 0.8").select("doc_id", "z_doc_id"), "doc_id", "z_doc_id", "cluster")
+    """Documents: block on the first characters and the last word, score whole texts, cluster, and count cluster sizes."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    hashed = blocking.block_hashes(docs, FLAGSHIP_TREE, "h")
+    pairs = registry.similarity(blocking.candidate_pairs(hashed, None, "h", "doc_id"), "JaccSimFunction", "text", "z_text", "score")
+    clustered = connected_components(docs.select("doc_id"), pairs.where("score >= 0.8").select("doc_id", "z_doc_id"), "doc_id", "z_doc_id", "cluster")
     return clustered.groupBy("cluster").agg(F.count("*").alias("n"))
 
 
-_FLAGSHIP_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, substr(text, 1, 60) AS l_v FROM documents), t AS (SELECT doc_id, l_v, list_distinct(regexp_extract_all(lower(l_v), '[\\p{{L}}]+|[\\p{{N}}]+')) AS w FROM d),
- e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON substr(a.l_v, 1, 3) = substr(b.l_v, 1, 3) AND a.doc_id <> b.doc_id
-  WHERE a.l_v = '' OR b.l_v = '' OR (len(list_distinct(list_concat(a.w, b.w))) > 0 AND len(list_intersect(a.w, b.w))::DOUBLE / len(list_distinct(list_concat(a.w, b.w))) >= 0.8)),
+_FLAGSHIP_SQL = f"""WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, text, substr(text, 1, 4) AS f, CASE WHEN text = '' THEN text WHEN rtrim(text, ' ') = '' THEN NULL ELSE list_last(string_split(rtrim(text, ' '), ' ')) END AS w, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}]+|[\\p{{N}}]+')) AS t FROM documents),
+ e AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM d a JOIN d b ON a.f IS NOT DISTINCT FROM b.f AND a.w IS NOT DISTINCT FROM b.w AND a.doc_id <> b.doc_id
+  WHERE a.text IS NULL OR b.text IS NULL OR a.text = '' OR b.text = '' OR (len(list_distinct(list_concat(a.t, b.t))) > 0 AND len(list_intersect(a.t, b.t))::DOUBLE / len(list_distinct(list_concat(a.t, b.t))) >= 0.8)),
  r AS (SELECT doc_id AS a, doc_id AS m FROM d UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.m), c AS (SELECT a, min(m) AS cluster FROM r GROUP BY a)
 SELECT cluster, count(*) AS n FROM c GROUP BY cluster"""
 
@@ -446,5 +452,6 @@ def oracle_sql() -> dict[str, str]:
         "source_formats": "SELECT f.format, n_nationkey, n_name FROM nation, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)",
         "source_row_ids": "SELECT count(*) AS n, count(*) AS ids, true AS non_negative FROM orders",
         "flagship_document_clusters": _FLAGSHIP_SQL,
+        "phases_train_match": "SELECT p_partkey AS truth, 1 AS clusters, 2 AS records FROM part",
     }
     return out
