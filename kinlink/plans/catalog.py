@@ -59,6 +59,47 @@ def _set_sql(pattern: str, lower: bool) -> tuple[str, str]:
     return f"len(list_intersect({l}, {r}))::DOUBLE", f"len(list_distinct(list_concat({l}, {r})))"
 
 
+def _affine_sql(left: str, right: str) -> str:
+    """The alignment as nested folds: both folds carry (j, m, s, t, best); the outer one's j is the row."""
+    members = "".join(similarity.NEAR_GROUPS).replace("'", "''")
+    classes = "".join(chr(0xF000 + i) * len(g) for i, g in enumerate(similarity.NEAR_GROUPS))
+    state = "{{'j': {j}, 'm': {m}, 's': {s}, 't': {t}, 'best': {best}}}"
+    empty = "[]::DOUBLE[]"
+    steps = lambda n: f"list_transform(range(1, {n} + 1), lambda q: {state.format(j='q', m=empty, s=empty, t=empty, best='0::DOUBLE')})"
+    score = "(CASE WHEN la[x.j] = lb[y.j] THEN 5 WHEN ka[x.j] = kb[y.j] THEN 3 ELSE -3 END)"
+    m = f"greatest(0, greatest(acc.m[y.j], acc.s[y.j], w.t[y.j]) + {score})::DOUBLE"
+    gap = "greatest(0, acc.m[y.j + 1] - 5, acc.s[y.j + 1] - 1)::DOUBLE"
+    along = "greatest(0, w.m[y.j] - 5, w.t[y.j] - 1)::DOUBLE"
+    cell = state.format(j="y.j", m=f"list_append(w.m, {m})", s=f"list_append(w.s, {gap})", t=f"list_append(w.t, {along})", best=f"greatest(w.best, {m}, {gap}, {along})")
+    row = f"list_reduce(list_prepend({state.format(j='0::BIGINT', m='[0::DOUBLE]', s='[0::DOUBLE]', t='[0::DOUBLE]', best='acc.best')}, {steps('len(lb)')}), lambda w, y: {cell})"
+    zeros = "list_transform(range(0, len(lb) + 1), lambda q: 0::DOUBLE)"
+    whole = f"list_reduce(list_prepend({state.format(j='0::BIGINT', m=zeros, s=zeros, t=zeros, best='0::DOUBLE')}, {steps('len(la)')}), lambda acc, x: {row}).best"
+    chars = lambda v: f"CASE WHEN {v} = '' THEN []::VARCHAR[] ELSE string_split({v}, '') END"
+    classed = lambda v: chars(f"translate({v}, '{members}', '{classes}')")
+    return (
+        f"WITH p AS MATERIALIZED (SELECT id, l_v, r_v, {left} AS l, {right} AS r FROM {_PART_SQL}), q AS MATERIALIZED (SELECT *, lower(l) AS a, lower(r) AS b FROM p),"
+        f" c AS MATERIALIZED (SELECT *, {chars('a')} AS la, {chars('b')} AS lb, {classed('a')} AS ka, {classed('b')} AS kb FROM q WHERE a <> b AND a <> '' AND b <> ''),"
+        f" d AS (SELECT id, {whole} / (5 * least(len(la), len(lb))) AS score FROM c)"
+        f" SELECT q.id, round(CASE WHEN {_BLANK} OR l = '' OR r = '' OR a = b THEN 1.0 ELSE d.score END::DOUBLE, 6) AS score FROM q LEFT JOIN d ON d.id = q.id"
+    )
+
+
+def _jaro_sql() -> str:
+    """The second string is consumed mark by mark, as in the Spark expression's definition."""
+    step = "{{'i': {i}, 'rest': {rest}, 'hit': {hit}}}"
+    low = "greatest(x.i - half, 1)"
+    window = f"substr(acc.rest, {low}, greatest(least(length(b), x.i + half) - {low} + 1, 0))"
+    place = f"instr({window}, substr(a, x.i, 1))"
+    rest = f"CASE WHEN {place} > 0 THEN substr(acc.rest, 1, {low} + {place} - 2) || chr(1) || substr(acc.rest, {low} + {place}) ELSE acc.rest END"
+    fold = f"list_reduce(list_prepend({step.format(i='0::BIGINT', rest='b', hit=chr(39) * 2)}, list_transform(range(1, length(a) + 1), lambda k: {step.format(i='k', rest=chr(39) * 2, hit=chr(39) * 2)})), lambda acc, x: {step.format(i='x.i', rest=rest, hit=f'acc.hit || CASE WHEN {place} > 0 THEN substr(a, x.i, 1) ELSE {chr(39) * 2} END')})"
+    return (
+        f"WITH q AS MATERIALIZED (SELECT id, l_v, r_v, lower(l_v) AS a, lower(r_v) AS b, least(length(l_v), length(r_v)) // 2 + 1 AS half FROM {_PART_SQL}),"
+        f" c AS MATERIALIZED (SELECT id, a, b, {fold} AS z FROM q WHERE a <> b AND a <> '' AND b <> ''),"
+        " d AS MATERIALIZED (SELECT *, length(z.hit)::DOUBLE AS n, len(list_filter(list_zip(string_split(z.hit, ''), list_transform(list_filter(range(1, length(b) + 1), lambda j: substr(z.rest, j, 1) = chr(1)), lambda j: substr(b, j, 1))), lambda w: w[1] <> w[2])) // 2 AS crossed FROM c)"
+        f" SELECT q.id, round(CASE WHEN {_BLANK} OR q.a = q.b THEN 1.0 WHEN n = 0 THEN 0.0 ELSE (n / length(q.a) + n / length(q.b) + (n - crossed) / n) / 3 END::DOUBLE, 6) AS score FROM q LEFT JOIN d ON d.id = q.id"
+    )
+
+
 def _similarity_sql() -> dict[str, str]:
     both, union = _set_sql(r"[\p{L}]+|[\p{N}]+", True)
     nboth, nunion = _set_sql("[0-9]+", False)
@@ -93,6 +134,16 @@ def _similarity_sql() -> dict[str, str]:
     }
     out = {k: f"SELECT id, round(({v})::DOUBLE, 6) AS score FROM {_PART_SQL}" for k, v in part.items()}
     out |= {k: f"SELECT id, round(({v})::DOUBLE, 6) AS score FROM {_CUSTOMER_SQL}" for k, v in customer.items()}
+    out |= {"JaroWinklerFunction": _jaro_sql(), "AJaroWinklerFunction": _jaro_sql()}
+    before = lambda v, mark: f"split_part({v}, '{mark}', 1)"
+    letters = lambda v: f"regexp_replace({v}, '[0-9.]', '', 'g')"
+    for name, l, r in (
+        ("AffineGapSimilarityFunction", "l_v", "r_v"),
+        ("EmailMatchTypeFunction", before("l_v", "@"), before("r_v", "@")),
+        ("OnlyAlphabetsAffineGapSimilarity", letters("l_v"), letters("r_v")),
+        ("SameFirstWordFunction", before("l_v", "-"), before("r_v", "-")),
+    ):
+        out[name] = _affine_sql(l, r)
     out["DateSimilarityFunction"] = (
         "WITH b AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS v FROM orders), p AS (SELECT x.id, (x.v - DATE '1970-01-01')::BIGINT * 86400000 AS l, (y.v - DATE '1970-01-01')::BIGINT * 86400000 AS r FROM b x JOIN b y ON y.id = x.id + 1) "
         "SELECT id, round(CASE WHEN l IS NULL OR r IS NULL THEN 1.0 ELSE 1.0 - abs((l - r)::DOUBLE / (l + r + 1)::DOUBLE) END::DOUBLE, 6) AS score FROM p"
