@@ -67,10 +67,11 @@ class Config:
 
     @staticmethod
     def parse(text: str) -> Config:
+        """From JSON; the key that ends in ``Dir`` names the folder of models."""
         d = json.loads(text)
         pipes = lambda k: [Pipe(p["name"], p["format"], p.get("props", {}), p.get("schema")) for p in d.get(k, [])]
         fields = [Field(f["fieldName"], str(f.get("matchType", "fuzzy")).lower(), str(f.get("dataType", "string")).strip('"').lower(), f.get("stopWords")) for f in d["fieldDefinition"]]
-        return Config(fields, pipes("data"), pipes("output"), str(d.get("modelId", "1")), d.get("zinggDir", "models"), d.get("numPartitions"), float(d.get("labelDataSampleSize", 0.5)))
+        return Config(fields, pipes("data"), pipes("output"), str(d.get("modelId", "1")), next((v for k, v in d.items() if k.endswith("Dir")), "models"), d.get("numPartitions"), float(d.get("labelDataSampleSize", 0.5)))
 
     @property
     def model_path(self) -> str:

@@ -140,7 +140,7 @@ def test_io(spark, tmp_path):
 
 
 def test_phases(spark):
-    text = '{"fieldDefinition": [{"fieldName": "name", "matchType": "fuzzy", "dataType": "\\"string\\""}, {"fieldName": "zip", "matchType": "exact", "dataType": "string"}, {"fieldName": "junk", "matchType": "dont_use", "dataType": "string"}], "modelId": 7, "zinggDir": "m"}'
+    text = '{"fieldDefinition": [{"fieldName": "name", "matchType": "fuzzy", "dataType": "\\"string\\""}, {"fieldName": "zip", "matchType": "exact", "dataType": "string"}, {"fieldName": "junk", "matchType": "dont_use", "dataType": "string"}], "modelId": 7, "modelDir": "m"}'
     config = phases.Config.parse(text)
     assert config.model_path == "m/7" and len(config.features()) == 3
     names = ["alice", "bruno", "carla", "diego", "elena", "fabio", "greta", "heinz"]
