@@ -503,6 +503,6 @@ def oracle_sql() -> dict[str, str]:
         "source_formats": "SELECT f.format, n_nationkey, n_name FROM nation, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)",
         "source_row_ids": "SELECT count(*) AS n, count(*) AS ids, true AS non_negative FROM orders",
         "flagship_document_clusters": _FLAGSHIP_SQL,
-        "phases_train_match": "SELECT p_partkey AS truth, 1 AS clusters, 2 AS records FROM part",
+        "phases_train_match": "SELECT p_partkey AS truth, 1::BIGINT AS clusters, 2::BIGINT AS records FROM part",
     }
     return out
