@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_ROWS = 2000
 
 

@@ -1,6 +1,6 @@
 """Line deduplication by an exact set-similarity join.
 
-A line is the set of its five-word shingles (a shorter line is one token: all its words). A line goes when an earlier
+A line is the set of its five-word shingles (a shorter line is one token: all its words); words are split at ASCII white space. A line goes when an earlier
 line, by (key, text hash, line number), has Jaccard similarity of ``threshold`` or more, equal sets included.
 
 1. Every line gets a 128-bit hash of its token set; lines of equal sets are one distinct line from here on. The same pass
@@ -25,7 +25,6 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +37,8 @@ THRESHOLD = 0.8
 SHINGLE = 5
 SKETCH_BITS = 16
 LEAF = 1000
-RUN = 1 << 21
-CACHE = 500_000
+RUN = 1 << 19
+BLOCK = 1 << 20
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -49,50 +48,72 @@ def mix(x: np.ndarray, factor=_M2) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Words(dict):
-    def __missing__(self, word: str) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) | 1
-        return value
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _M1, _M3)  # a value for each byte
+_PLACE = np.cumprod(np.full(1 << 16, _M2))  # a factor for each place in a word
+PIECE = 1 << 19
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and where its texts end; null is empty."""
+    column = column.fill_null("") if column.null_count else column
+    offsets = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_string(column.type) else np.int32, len(column) + 1, column.offset * (8 if pa.types.is_large_string(column.type) else 4)).astype(np.int64)
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and hash of each word: runs without ASCII white space, cut at the ends of texts."""
+    word = ~_SPACE[data]
+    before = np.empty_like(word)
+    before[0], before[1:] = False, word[:-1]
+    begins = offsets[:-1][(offsets[:-1] < len(data))]
+    before[begins] = False
+    start = np.flatnonzero(word & ~before)
+    if not len(start):
+        return start, np.empty(0, np.uint64)
+    # white space adds nothing to the word before it
+    place = np.arange(len(data)) - np.repeat(np.r_[0, start], np.diff(np.r_[0, start, len(data)]))
+    value = _LETTER[data] * _PLACE[place & (len(_PLACE) - 1)]
+    value[~word] = 0
+    return start, mix(np.add.reduceat(value, start), _M3) | np.uint64(1)
 
 
 class LineTokens:
-    """Token sets of the lines of some texts: ``text`` and ``line`` number of each line, its tokens at start:start + n."""
-
-    def __init__(self, texts: list[str | None], known: _Words, size: int = SHINGLE, wanted: list[set[int]] | None = None):
-        if len(known) > CACHE:
-            known.clear()
-        words: list[int] = []
-        of_text, number, counts = [], [], []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            for j, line in enumerate(text.split("\n")):
-                if wanted is not None and j not in wanted[i]:
-                    continue
-                own = line.split()
-                if own:
-                    words.extend(map(known.__getitem__, own))
-                    words.extend((0,) * (size - 1))
-                    of_text.append(i)
-                    number.append(j)
-                    counts.append(len(own))
-        self.text, self.line = np.array(of_text, np.int64), np.array(number, np.int64)
-        counts = np.array(counts, np.int64)
-        w = np.array(words, np.uint64)
-        shingles = np.maximum(counts - size + 1, 1)
-        first = np.cumsum(counts + size - 1) - (counts + size - 1)
-        at = np.repeat(first - (np.cumsum(shingles) - shingles), shingles) + np.arange(shingles.sum())
+    """Token sets of the lines of some texts: ``text`` and ``line`` number of each line, its tokens at start:start + n.
+
+    ``wanted`` limits the lines: keys ``text << 32 | line``.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, wanted: np.ndarray | None = None):
+        start, w = word_hashes(data, offsets) if len(data) else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        breaks = np.flatnonzero(data == 10)
+        text = np.searchsorted(offsets, start, "right") - 1
+        line = np.searchsorted(breaks, start) - np.searchsorted(breaks, offsets[text])
+        if wanted is not None:
+            keep = np.isin(text << 32 | line, wanted)
+            w, text, line = w[keep], text[keep], line[keep]
+        fresh = np.r_[True, (text[1:] != text[:-1]) | (line[1:] != line[:-1])] if len(w) else np.empty(0, bool)
+        head = np.flatnonzero(fresh)
+        self.text, self.line = text[head], line[head]
+        counts = np.diff(np.r_[head, len(w)])
+        pad = size - 1  # after each line, so that no shingle runs into the next
+        padded = np.zeros(len(w) + pad * len(head), np.uint64)
+        padded[np.arange(len(w)) + pad * (np.cumsum(fresh) - 1)] = w
+        shingles = np.maximum(counts - pad, 1)
+        at = np.repeat(head + pad * np.arange(len(head)) - (np.cumsum(shingles) - shingles), shingles) + np.arange(shingles.sum())
         token = np.zeros(len(at), np.uint64)
         for i in range(size):
-            token = mix(token * _M3 + w[at + i])
-        owner = np.repeat(np.arange(len(counts)), shingles)
-        order = np.lexsort((token, owner))
-        token, owner = token[order], owner[order]
+            token = mix(token * _M3 + padded[at + i])
+        owner = np.repeat(np.arange(len(head)), shingles)
+        token, owner = _sorted_by(token, token, owner)
         keep = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])] if len(token) else np.empty(0, bool)
         self.token, self.owner = token[keep], owner[keep]
-        self.n = np.bincount(self.owner, minlength=len(counts))
+        self.n = np.bincount(self.owner, minlength=len(head))
         self.start = np.cumsum(self.n) - self.n
-        if len(counts):
+        if len(head):
             self.k1 = np.add.reduceat(mix(self.token, _M2), self.start) + self.n.astype(np.uint64)
             self.k2 = np.add.reduceat(mix(self.token, _M3), self.start)
         else:
@@ -100,8 +121,31 @@ class LineTokens:
 
     def by_rarity(self, sketch: np.ndarray) -> None:
         """Order each line's tokens by the count of their bucket, then by themselves."""
-        order = np.lexsort((self.token, sketch[bucket_of(self.token)], self.owner))
-        self.token = self.token[order]
+        rare = np.minimum(sketch[bucket_of(self.token)], (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | self.token >> np.uint64(24)
+        self.token, _ = _sorted_by(rare, self.token, self.owner)
+
+
+def _sorted_by(key: np.ndarray, token: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens by owner, key and token: one sort of a packed word, and a full one where that leaves ties open."""
+    bits = max(1, int(owner[-1]).bit_length()) if len(owner) else 1
+    packed = owner.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits)
+    order = np.argsort(packed)
+    packed, sorted_ = packed[order], token[order]
+    if ((packed[1:] == packed[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+        order = np.lexsort((token, key, owner))
+        sorted_ = token[order]
+    return sorted_, owner[order]
+
+
+def parts_of(column: pa.Array):
+    """(first row, LineTokens input) of pieces of a column, about ``PIECE`` bytes each."""
+    data, offsets = text_bytes(column)
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + PIECE)))
+        high = min(high, len(column))
+        yield low, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+        low = high
 
 
 def bucket_of(token: np.ndarray) -> np.ndarray:
@@ -115,21 +159,23 @@ def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def _lines_and_counts(batches):
-    """Rows of lines, key null where a row holds a bucket's count instead."""
-    known, sketch, kind = _Words(), np.zeros(1 << SKETCH_BITS, np.int64), None
+    """Rows of lines; a row without a key holds a bucket's count instead."""
+    sketch, kind = np.zeros(1 << SKETCH_BITS, np.int64), None
+    names = ["key", "h", "line", "k1", "k2", "bucket", "n"]
     for b in batches:
         kind = b.schema.field(0).type
-        found = LineTokens(b.column(2).to_pylist(), known)
-        sketch += np.bincount(bucket_of(found.token), minlength=len(sketch))
-        pick = pa.array(found.text)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0).take(pick), b.column(1).take(pick), pa.array(found.line.astype(np.int32)), pa.array(found.k1.view(np.int64)), pa.array(found.k2.view(np.int64)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.int64())],
-            names=["key", "h", "line", "k1", "k2", "bucket", "n"],
-        )
+        for low, data, offsets in parts_of(b.column(2)):
+            found = LineTokens(data, offsets)
+            sketch += np.bincount(bucket_of(found.token), minlength=len(sketch))
+            pick = pa.array(found.text + low)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pick), b.column(1).take(pick), pa.array(found.line.astype(np.int32)), pa.array(found.k1.view(np.int64)), pa.array(found.k2.view(np.int64)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.int64())],
+                names=names,
+            )
     if kind is not None:
         held = np.flatnonzero(sketch)
         nulls = [pa.nulls(len(held), t) for t in (kind, pa.int64(), pa.int32(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*nulls, pa.array(held.astype(np.int32)), pa.array(sketch[held])], names=["key", "h", "line", "k1", "k2", "bucket", "n"])
+        yield pa.RecordBatch.from_arrays([*nulls, pa.array(held.astype(np.int32)), pa.array(sketch[held])], names=names)
 
 
 def _pack_run(token: np.ndarray, line: np.ndarray) -> bytes:
@@ -147,27 +193,26 @@ def _open_run(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _prefixes(sketch, blocks: int, threshold: float):
     def run(batches):
-        known, tokens, lines, held = _Words(), [], [], 0
+        tokens, lines, held = [], [], 0
 
         def flush():
             token, line = np.concatenate(tokens), np.concatenate(lines)
-            block = (token % np.uint64(blocks)).astype(np.int64)
-            order = np.lexsort((line, token, block))
-            token, line, block = token[order], line[order], block[order]
-            keep = np.r_[True, (token[1:] != token[:-1]) | (line[1:] != line[:-1])]
-            token, line, block = token[keep], line[keep], block[keep]
+            order = np.argsort(token)
+            token, line = token[order], line[order]
+            block = ((token >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)  # ranges of tokens
             edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
             for low, high in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
                 yield pa.RecordBatch.from_arrays([pa.array([block[low]], pa.int64()), pa.array([_pack_run(token[low:high], line[low:high])], pa.binary())], names=["block", "run"])
 
         for b in batches:
-            found = LineTokens(b.column(0).to_pylist(), known)
-            found.by_rarity(sketch.value)
-            p = prefix_length(found.n, threshold)
-            at = np.repeat(found.start - (np.cumsum(p) - p), p) + np.arange(p.sum())
-            tokens.append(found.token[at])
-            lines.append(np.repeat(found.k1, p))
-            held += len(at)
+            for _, data, offsets in parts_of(b.column(0)):
+                found = LineTokens(data, offsets)
+                found.by_rarity(sketch.value)
+                p = prefix_length(found.n, threshold)
+                at = np.repeat(found.start - (np.cumsum(p) - p), p) + np.arange(p.sum())
+                tokens.append(found.token[at])
+                lines.append(np.repeat(found.k1, p))
+                held += len(at)
             if held >= RUN:
                 yield from flush()
                 tokens, lines, held = [], [], 0
@@ -181,16 +226,23 @@ def _postings(table: pa.Table) -> pa.Table:
     """Rows (s1, s2, line): lines of each token that several lines have, s1 and s2 a hash of these lines."""
     runs = [_open_run(r) for r in table.column("run").to_pylist()]
     token, line = (np.concatenate(c) for c in zip(*runs))
+    order = np.argsort(token)
+    token, line = token[order], line[order]
+    again = np.r_[token[1:] == token[:-1], False] if len(token) else np.empty(0, bool)
+    again[1:] |= again[:-1].copy()
+    token, line = token[again], line[again]  # most tokens are of one line
     order = np.lexsort((line, token))
     token, line = token[order], line[order]
-    keep = np.r_[True, (token[1:] != token[:-1]) | (line[1:] != line[:-1])]
+    keep = np.r_[True, (token[1:] != token[:-1]) | (line[1:] != line[:-1])][: len(token)]
     token, line = token[keep], line[keep]
+    if not len(token):
+        return pa.table({n: pa.array([], pa.int64()) for n in ("s1", "s2", "line_key")})
     start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
     size = np.diff(np.r_[start, len(token)])
     s1, s2 = np.add.reduceat(mix(line, _M2), start), np.add.reduceat(mix(line, _M3), start)
     several = np.flatnonzero(size > 1)
     order = several[np.lexsort((s2[several], s1[several]))]
-    fresh = order[np.r_[True, (s1[order][1:] != s1[order][:-1]) | (s2[order][1:] != s2[order][:-1])]] if len(order) else order
+    fresh = order[np.r_[True, (s1[order][1:] != s1[order][:-1]) | (s2[order][1:] != s2[order][:-1])][: len(order)]]
     width = size[fresh]
     at = np.repeat(start[fresh] - (np.cumsum(width) - width), width) + np.arange(width.sum())
     return pa.table({"s1": np.repeat(s1[fresh], width).view(np.int64), "s2": np.repeat(s2[fresh], width).view(np.int64), "line_key": line[at].view(np.int64)})
@@ -209,10 +261,13 @@ def unpack(data: bytes | None) -> str | None:
 
 def _token_sets(sketch):
     def run(batches):
-        known = _Words()
+        opened = zstandard.ZstdDecompressor()
         for b in batches:
-            wanted = [set(x) for x in b.column(3).to_pylist()]
-            found = LineTokens([unpack(x) for x in b.column(2).to_pylist()], known, wanted=wanted)
+            texts = [opened.decompress(x) for x in b.column(2).to_pylist()]
+            offsets = np.cumsum([0, *map(len, texts)])
+            lists = b.column(3)
+            wanted = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy()) << 32 | lists.flatten().to_numpy()
+            found = LineTokens(np.frombuffer(b"".join(texts), np.uint8), offsets, wanted=wanted)
             found.by_rarity(sketch.value)
             pick = pa.array(found.text)
             sets = [found.token[s : s + n].tobytes() for s, n in zip(found.start.tolist(), found.n.tolist())]
@@ -283,7 +338,7 @@ def repeated_lines(df: DataFrame, text: str = "text", key: str = "doc_id", thres
     for r in first_pass.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most 2 ** SKETCH_BITS rows
         sketch[r["bucket"]] = r["n"]
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(tasks, math.ceil(sketch.sum() / 4 / RUN))
+    blocks = max(tasks, math.ceil(sketch.sum() / 4 / BLOCK))
     shared = spark.sparkContext.broadcast(sketch)
     # a document repeated with key and text is one: its lines count once
     distinct = lines.groupBy("k1", "k2").agg(F.min(F.struct("key", "h", "line")).alias("first"), F.max(F.struct("key", "h", "line")).alias("last"))
