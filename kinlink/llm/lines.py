@@ -138,13 +138,26 @@ def _sorted_by(key: np.ndarray, token: np.ndarray, owner: np.ndarray) -> tuple[n
 
 
 def parts_of(column: pa.Array):
-    """(first row, LineTokens input) of pieces of a column, about ``PIECE`` bytes each."""
+    """(first row, bytes, ends of texts, first line) of pieces of a column, about ``PIECE`` bytes each.
+
+    A text much longer than that is cut at line ends, so that memory follows the longest line, not the longest text.
+    """
     data, offsets = text_bytes(column)
     low = 0
     while low < len(column):
-        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + PIECE)))
-        high = min(high, len(column))
-        yield low, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
+        high = min(max(low + 1, int(np.searchsorted(offsets, offsets[low] + PIECE))), len(column))
+        at, last, line = int(offsets[low]), int(offsets[high]), 0
+        if high > low + 1 or last - at < 4 * PIECE:
+            yield low, data[at:last], offsets[low : high + 1] - at, 0
+        else:
+            while at < last:
+                end = min(at + PIECE, last)
+                while end < last and data[end - 1] != 10:
+                    ahead = np.flatnonzero(data[end : min(end + PIECE, last)] == 10)
+                    end = end + int(ahead[0]) + 1 if len(ahead) else min(end + PIECE, last)
+                yield low, data[at:end], np.array([0, end - at]), line
+                line += int((data[at:end] == 10).sum())
+                at = end
         low = high
 
 
@@ -164,12 +177,12 @@ def _lines_and_counts(batches):
     names = ["key", "h", "line", "k1", "k2", "bucket", "n"]
     for b in batches:
         kind = b.schema.field(0).type
-        for low, data, offsets in parts_of(b.column(2)):
+        for low, data, offsets, line in parts_of(b.column(2)):
             found = LineTokens(data, offsets)
             sketch += np.bincount(bucket_of(found.token), minlength=len(sketch))
             pick = pa.array(found.text + low)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pick), b.column(1).take(pick), pa.array(found.line.astype(np.int32)), pa.array(found.k1.view(np.int64)), pa.array(found.k2.view(np.int64)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.int64())],
+                [b.column(0).take(pick), b.column(1).take(pick), pa.array((found.line + line).astype(np.int32)), pa.array(found.k1.view(np.int64)), pa.array(found.k2.view(np.int64)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.int64())],
                 names=names,
             )
     if kind is not None:
@@ -205,7 +218,7 @@ def _prefixes(sketch, blocks: int, threshold: float):
                 yield pa.RecordBatch.from_arrays([pa.array([block[low]], pa.int64()), pa.array([_pack_run(token[low:high], line[low:high])], pa.binary())], names=["block", "run"])
 
         for b in batches:
-            for _, data, offsets in parts_of(b.column(0)):
+            for _, data, offsets, _ in parts_of(b.column(0)):
                 found = LineTokens(data, offsets)
                 found.by_rarity(sketch.value)
                 p = prefix_length(found.n, threshold)
