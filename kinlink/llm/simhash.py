@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.arrow import map_rows
+from kinlink.llm.arrow import bounded_batches, map_rows
 from kinlink.llm.groups import Labels, whole_groups
 from kinlink.operators.graph import min_label_components
 from kinlink.sources.stash import stash
@@ -214,6 +214,10 @@ KEPT_SHINGLE = 5
 KEPT_SIMILARITY = 0.8
 KEPT_RADIUS = 16
 MINIMA = 8
+PART_ROWS = 2000
+PART_SHINGLES = 2_000_000
+TABLE_ROWS = 500
+COMPARED = 64
 
 
 def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -224,7 +228,7 @@ def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
 def _described(size: int):
     def run(batches):
         for b in batches:
-            prints, minima = [], []
+            prints, minima, sizes = [], [], []
             for text in b.column(2).to_pylist():
                 ones, n, low = np.zeros(BITS, np.int64), 0, np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
                 for hashes in shingle_hashes(words_of(text), size):
@@ -233,40 +237,115 @@ def _described(size: int):
                     low = np.minimum(low, [_mixed(hashes, i).min() for i in range(MINIMA)])
                 prints.append(majority(ones, n) if n else 0)
                 minima.append(low.view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(minima, pa.list_(pa.int64()))], names=["key", "digest", "fp", "minima"])
+                sizes.append(n)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(minima, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], names=["key", "digest", "fp", "minima", "size"])
 
     return run
 
 
-def _nearest(table: pa.Table, radius: int) -> pa.Table:
-    """Rows (a, b, apart): each text's nearest earlier and nearest later text of its group; rows come in order."""
-    fp, group, node = table.column("fp").to_numpy().view(np.uint64), table.column("grp").to_numpy(), table.column("node").to_numpy()
-    n = len(fp)
-    order = np.lexsort((np.arange(n), fp, group))
-    fresh = np.r_[True, (fp[order][1:] != fp[order][:-1]) | (group[order][1:] != group[order][:-1])]
-    head = order[fresh]  # the first row of each fingerprint of a group
-    pairs = [(order[~fresh], order[:-1][~fresh[1:]])] if n > 1 else []
-    forest = BKForest(fp[head], group[head])
-    best = {side: np.full(n, np.iinfo(np.int64).max) for side in ("earlier", "later")}
-
-    def offer(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> None:
-        for side, keep in (("earlier", b < a), ("later", b > a)):
-            np.minimum.at(best[side], a[keep], apart[keep] * (n + 1) + b[keep])
-
-    for a, b in pairs:
-        offer(a, b, np.zeros(len(a), np.int64))
-        offer(b, a, np.zeros(len(a), np.int64))
-    for asked, found in forest.search(fp[head], group[head], radius):
-        a, b = head[asked], head[found]
-        keep = a != b
-        a, b = a[keep], b[keep]
-        offer(a, b, np.bitwise_count(fp[a] ^ fp[b]).astype(np.int64))
-    out = []
-    for values in best.values():
-        a = np.flatnonzero(values != np.iinfo(np.int64).max)
-        out.append((node[a], node[values[a] % (n + 1)], values[a] // (n + 1)))
-    a, b, apart = (np.concatenate(c) for c in zip(*out))
-    return pa.table({"a": pa.array(a), "b": pa.array(b), "apart": pa.array(apart)})
+class _Group:
+    """The rows of a group that may be alike: tree rows within the radius of ask rows that meet in no earlier group."""
+
+    def __init__(self, table: pa.Table):
+        self.fp = table.column("fp").to_numpy().view(np.uint64)
+        self.tree, self.ask = (table.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "ask"))
+        before = table.column("before").to_pylist()  # minima of earlier places, equally many in a group
+        self.before = np.array(before, np.int64).reshape(len(before), -1)
+
+    def pairs(self, radius: int, most: int = PIECE):
+        """Yields (a, b) arrays of about ``most`` pairs of row numbers, each pair once; rows of equal fingerprint are all paired."""
+        values, of = np.unique(self.fp, return_inverse=True)
+        rows = {side: np.flatnonzero(held)[np.argsort(of[held], kind="stable")] for side, held in (("tree", self.tree), ("ask", self.ask))}
+        start = {side: np.searchsorted(of[r], np.arange(len(values) + 1)) for side, r in rows.items()}
+        trees, asks = (np.flatnonzero(np.diff(start[side])) for side in ("tree", "ask"))
+        forest = BKForest(values[trees], np.zeros(len(trees), np.int64))
+        for asked, found in forest.search(values[asks], np.zeros(len(asks), np.int64), radius, 256):
+            low_a, low_b = start["ask"][asks[asked]], start["tree"][trees[found]]
+            n_a, n_b = start["ask"][asks[asked] + 1] - low_a, start["tree"][trees[found] + 1] - low_b
+            # one stretch for each asking row, so that a pair of large classes is cut too
+            at = np.repeat(low_a - np.r_[0, np.cumsum(n_a)[:-1]], n_a) + np.arange(n_a.sum())
+            low_b, n_b = np.repeat(low_b, n_a), np.repeat(n_b, n_a)
+            total = np.cumsum(n_b)
+            cut = 0
+            while cut < len(at):
+                end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + most, "right")))
+                width, low = n_b[cut:end], low_b[cut:end]
+                a = rows["ask"][np.repeat(at[cut:end], width)]
+                b = rows["tree"][np.repeat(low - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(width.sum())]
+                cut = end
+                # what both asks and is a tree on either side would come twice
+                once = (a != b) & ((a < b) | ~(self.tree[a] & self.ask[b]))
+                yield a[once], b[once]
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether this is the first group that the two rows share."""
+        return ~(self.before[a] == self.before[b]).any(axis=1)
+
+
+def _slices(table: pa.Table):
+    group = table.column("grp").to_numpy()
+    edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist()
+    for low, high in zip(edge, [*edge[1:], len(group)]):
+        if high - low > 1:
+            yield table.slice(low, high - low)
+
+
+def _proposed(table: pa.Table, radius: int) -> pa.Table:
+    """Rows (node, base) of a group with a proposal that is decided here."""
+    group, wanted = _Group(table), np.zeros(table.num_rows, bool)
+    for a, b in group.pairs(radius):
+        new = ~(wanted[a] & wanted[b])
+        a, b = a[new], b[new]
+        new = group.apart(a, b)
+        wanted[a[new]] = wanted[b[new]] = True
+    return table.select(["node", "base"]).filter(pa.array(wanted))
+
+
+def _decided(table: pa.Table, radius: int, size: int, similarity: float) -> pa.Table:
+    """A spanning forest (a, b) of the proposals of a group that are alike; what is joined already is not compared again."""
+    opened, group, n = zstandard.ZstdDecompressor(), _Group(table), table.num_rows
+    sets = []
+    for text in table.column("packed").to_pylist():
+        hashes = list(shingle_hashes(words_of(opened.decompress(text).decode("utf-8", "surrogatepass")), size))
+        sets.append(np.unique(np.concatenate(hashes)) if hashes else np.empty(0, np.uint64))
+    count = np.array([len(x) for x in sets])
+    joined, links = Labels(n), []
+    for a, b in group.pairs(radius):
+        new = joined.label[a] != joined.label[b]
+        a, b = a[new], b[new]
+        # the smaller set over the larger bounds the similarity
+        fit = np.minimum(count[a], count[b]) >= similarity * np.maximum(count[a], count[b]) * (1 - 1e-9)
+        a, b = a[fit], b[fit]
+        new = group.apart(a, b)
+        a, b = a[new], b[new]
+        by = np.argsort(a, kind="stable")
+        a, b = a[by], b[by]
+        edge = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]).tolist() if len(a) else []
+        for low, high in zip(edge, [*edge[1:], len(a)]):
+            one, others = int(a[low]), b[low:high]
+            others = others[joined.label[others] != joined.label[one]]
+            while len(others):
+                some, others = others[:COMPARED], others[COMPARED:]
+                both = _common(sets[one], [sets[i] for i in some.tolist()])
+                either = count[one] + count[some] - both
+                alike = some[np.where(either > 0, both / np.maximum(either, 1), 1.0) >= similarity]
+                links += [(one, i) for i in alike.tolist()]
+                joined.link(np.full(len(alike), one), alike)
+                others = others[joined.label[others] != joined.label[one]]
+    node = table.column("node").to_numpy()
+    ends = node[np.array(links, np.int64).reshape(-1, 2)]
+    return pa.table({"a": pa.array(ends[:, 0], pa.int64()), "b": pa.array(ends[:, 1], pa.int64())})
+
+
+def _common(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common values of one sorted set with each of the others."""
+    if not len(one):
+        return np.zeros(len(others), np.int64)
+    ends = np.cumsum([len(x) for x in others])
+    values = np.concatenate(others)
+    hit = one[np.minimum(np.searchsorted(one, values), len(one) - 1)] == values
+    total = np.r_[0, np.cumsum(hit)]
+    return total[ends] - total[np.r_[0, ends[:-1]]]
 
 
 def _packed(batches):
@@ -286,50 +365,58 @@ def jaccard(a: str | None, b: str | None, size: int = KEPT_SHINGLE) -> float:
     return len(x & y) / len(x | y) if x or y else 1.0
 
 
-def _verified(size: int, similarity: float):
-    def run(batches):
-        opened = zstandard.ZstdDecompressor()
-        for b in batches:
-            texts = [[opened.decompress(t).decode("utf-8", "surrogatepass") for t in b.column(i).to_pylist()] for i in (2, 3)]
-            yield b.select(["a", "b"]).filter(pa.array([jaccard(x, y, size) >= similarity for x, y in zip(*texts)], pa.bool_()))
-
-    return run
+def _dealt(member: DataFrame, parts: DataFrame, columns: list[str]) -> DataFrame:
+    """Members of each base dealt to its parts; each pair of parts, one as tree and one as queries, is a group."""
+    member = member.join(parts, "base").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least(p, F.col("own")).alias("t"), F.greatest(p, F.col("own")).alias("q")))
+    dealt = member.withColumn("x", F.explode(others))
+    return dealt.select(*columns, "base", F.xxhash64("base", "x.t", "x.q").alias("grp"), (F.col("x.t") == F.col("own")).alias("tree"), (F.col("x.q") == F.col("own")).alias("ask"))
 
 
 def keep_first(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = KEPT_SHINGLE, similarity: float = KEPT_SIMILARITY, radius: int = KEPT_RADIUS, leaf: int = LEAF) -> DataFrame:
     """The rows of ``df``, all columns: of each group of texts whose shingle sets are alike, the row with the smallest key.
 
     A radius that finds a similarity of 0.8 is too wide for bit blocks, so the shards are those of shared minima: texts
-    that have one of ``MINIMA`` minimum shingle hashes in common meet, and the shard's BK-tree proposes each text's nearest
-    earlier and later one. Proposals are decided by the exact similarity, and groups are their components. Rows that
-    repeat key and text count as one document and stay or go together.
+    that have one of ``MINIMA`` minimum shingle hashes in common meet, and the shard's BK-tree proposes all pairs within the
+    radius. Each proposal between texts that are not joined yet is decided by the exact similarity of the sets of 64-bit
+    shingle hashes, in the first shard that the two share, and groups are the components. Only texts with a proposal are sent
+    to shards, in parts of at most ``PART_SHINGLES``; no pairs are written. Rows that repeat key and text count as one
+    document and stay or go together.
     """
     kind = df.schema[key].dataType.simpleString()
     docs = df.select(F.col(key).alias("key"), F.unhex(F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"))).alias("digest"), F.col(text).alias("text"))
-    described = map_rows(docs, _described(size), f"key {kind}, digest binary, fp long, minima array<long>")
-    nodes = described.groupBy("digest").agg(F.min("key").alias("first"), F.min(F.struct("fp", "minima")).alias("x"))
-    nodes = stash(nodes.select("digest", "first", "x.fp", "x.minima").withColumn("node", F.monotonically_increasing_id()), "nodes").df
-    keyed = nodes.select("node", "first", "fp", F.posexplode("minima")).select("node", "first", "fp", F.xxhash64("pos", "col").alias("grp"))
-    sized = keyed.groupBy("grp").agg(F.count("*").alias("n")).where("n > 1").select("grp", F.ceil(F.col("n") / leaf).cast("int").alias("parts"))
-    member = keyed.join(sized, "grp").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least(p, F.col("own")).alias("t"), F.greatest(p, F.col("own")).alias("q")))
-    dealt = member.withColumn("x", F.explode(others)).select("node", "first", "fp", F.xxhash64("grp", "x.t", "x.q").alias("grp"))
+    described = map_rows(docs, _described(size), f"key {kind}, digest binary, fp long, minima array<long>, size long")
+    nodes = described.groupBy("digest").agg(F.min("key").alias("first"), F.min(F.struct("fp", "minima", "size")).alias("x"))
+    nodes = stash(nodes.select("digest", "first", "x.fp", "x.minima", "x.size").withColumn("node", F.monotonically_increasing_id()), "nodes").df
+    keyed = nodes.select("node", "fp", "size", "minima", F.posexplode("minima")).select("node", "fp", "size", F.slice("minima", F.lit(1), F.col("pos")).alias("before"), F.xxhash64("pos", "col").alias("base"))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = keyed.groupBy("base").agg(F.count("*").alias("n")).where("n > 1").select("base", F.ceil(F.col("n") / leaf).cast("int").alias("parts"))
+    columns = ["node", "fp", "before"]
 
-    def run(batches):
+    def propose(batches):
         for table in whole_groups(batches, 2 * leaf):
-            yield from _nearest(table, radius).to_batches()
+            for part in _slices(table):
+                yield from _proposed(part, radius).to_batches()
 
-    met = dealt.repartition(tasks, "grp").sortWithinPartitions("grp", "first", "node").select("node", "fp", "grp").mapInArrow(run, "a long, b long, apart long")
-    met = stash(met, "met").df.join(nodes.select(F.col("node").alias("a"), F.col("first").alias("fa")), "a").join(nodes.select(F.col("node").alias("b"), F.col("first").alias("fb")), "b")
-    near = met.groupBy("a", (F.col("fa") < F.col("fb")).alias("later")).agg(F.min(F.struct("apart", "b")).alias("x"))
-    pairs = stash(near.select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b")).distinct(), "pairs").df
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "digest", "first"), "node")
+    met = _dealt(keyed, sized, columns).repartition(tasks, "grp").sortWithinPartitions("grp").mapInArrow(propose, "node long, base long")
+    met = stash(met.distinct(), "met").df
+    # texts of those that have a proposal, once each
+    asked = met.select("node").distinct().join(nodes.select("node", "digest", "first"), "node")
     packed = map_rows(docs, _packed, f"key {kind}, digest binary, packed binary")
     texts = packed.join(asked, (packed["digest"] == asked["digest"]) & packed["key"].eqNullSafe(asked["first"])).groupBy("node").agg(F.any_value("packed").alias("packed"))
     texts = stash(texts, "texts").df
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("pa")), "a").join(texts.select(F.col("node").alias("b"), F.col("packed").alias("pb")), "b").select("a", "b", "pa", "pb")
-    edges = stash(map_rows(both, _verified(size, similarity), "a long, b long"), "links").df
+    # again by group, now with the texts, in parts of bounded shingles
+    member = stash(met.join(keyed, ["node", "base"]), "members").df
+    sized = member.groupBy("base").agg(F.greatest(F.ceil(F.count("*") / min(leaf, PART_ROWS)), F.ceil(F.sum("size") / PART_SHINGLES)).cast("int").alias("parts"))
+
+    def decide(batches):
+        for table in whole_groups(batches, TABLE_ROWS):
+            for part in _slices(table):
+                yield from _decided(part, radius, size, similarity).to_batches()
+
+    bounded_batches(df.sparkSession)
+    dealt = _dealt(member, sized, columns).join(texts, "node")
+    edges = stash(dealt.repartition(tasks, "grp").sortWithinPartitions("grp").mapInArrow(decide, "a long, b long"), "links").df
     labels = min_label_components(nodes, edges, "node", "a", "b", "first")
     kept = nodes.join(labels, "node").where(F.col("first").eqNullSafe(F.col("label"))).select(F.col("first").alias("__first"), F.col("digest").alias("__digest"))
     mine = F.unhex(F.md5(F.encode(F.coalesce(df[text], F.lit("")), "UTF-8")))

@@ -295,3 +295,31 @@ def test_keep_first(spark):
     first = components([k for k, _ in rows], lambda i, j: simhash.jaccard(rows[i][1], rows[j][1]) >= 0.8)
     assert got == set(first.values())
     assert simhash.keep_first(frame(spark, [])).count() == 0
+
+
+def test_keep_first_large_groups(spark):
+    """Groups of edited copies that are alike to an original, less so to one another: every proposal counts."""
+    rng = random.Random(5)
+    rows = []
+    for g, (n, length) in enumerate([(40, 200)] * 4 + [(25, 60)] * 4):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(length)]
+        copies = []
+        for _ in range(n):
+            words = list(base)
+            for _ in range(rng.randrange(1, 5 * length // 200 + 1)):
+                words[rng.randrange(length)] = f"e{rng.randrange(10**6)}"
+            copies.append(" ".join(words))
+        rows += [(1000 * g + i, text) for i, text in enumerate([*copies, " ".join(base)])]
+    want = components([k for k, _ in rows], lambda i, j: rows[i][0] // 1000 == rows[j][0] // 1000 and simhash.jaccard(rows[i][1], rows[j][1]) >= 0.8)
+    for leaf in (20_000, 16):  # the second deals groups to parts
+        # every bit pattern is within this radius, so that only the decisions are tested
+        got = {r["doc_id"] for r in simhash.keep_first(frame(spark, rows), radius=simhash.BITS, leaf=leaf).collect()}
+        assert got == set(want.values())
+
+
+def test_keep_first_equal_fingerprints():
+    """Rows of one fingerprint are all compared, not only neighbours in order."""
+    texts = ["a b c d e f g h i j k l", "z y x w v u t s r q p o", "a b c d e f g h i j k l m"]
+    packed = [simhash.zstandard.ZstdCompressor().compress(t.encode()) for t in texts]
+    table = simhash.pa.table({"node": [7, 8, 9], "fp": [5, 5, 5], "before": simhash.pa.array([[], [], []], simhash.pa.list_(simhash.pa.int64())), "tree": [True] * 3, "ask": [True] * 3, "packed": packed})
+    assert simhash._decided(table, 16, 5, 0.8).to_pylist() == [{"a": 7, "b": 9}]
