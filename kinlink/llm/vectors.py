@@ -6,7 +6,8 @@
 3. In each shard nearest candidates are robustly pruned to a sparse graph with detours of factor ``alpha``.
 4. The adjacency lists of a vector from all its shards are united and go back to its shards.
 5. Every vector is searched in its shards: greedily with a beam from the medoid, then the range is expanded from each match
-   to its neighbours until no new match is met. Matches are verified in double precision.
+   to its neighbours until no new match is met. What the search has not visited is compared in blocks, since no edge need
+   lead into a large group of near copies; so nothing is missed within a shard. Matches are verified in double precision.
 6. A link found in several shards counts in the first shard that its two ends share; a shard reports link counts and a spanning
    forest, at most one row a vector, never its pairs.
 7. ``audit_recall`` compares with brute force for a sample of queries against all vectors, in blocks.
@@ -107,7 +108,7 @@ def neighbour_lists(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, n
 
 
 def range_search(x: np.ndarray, start: np.ndarray, nbrs: np.ndarray, queries: np.ndarray, threshold: float, beam: int = BEAM):
-    """Pairs (query, node) at or above the threshold: beam search from the medoid, then expansion of the range."""
+    """Pairs (query, node) at or above the threshold: beam search from the medoid, expansion of the range, then all nodes not visited."""
     n, q = len(x), len(queries)
     mean = x.mean(axis=0)
     medoid = int((x @ mean).argmax())
@@ -172,6 +173,9 @@ def range_search(x: np.ndarray, start: np.ndarray, nbrs: np.ndarray, queries: np
             more.append((a[near >= threshold], b[near >= threshold]))
         asked, node = (np.concatenate(c) for c in zip(*more))
         yield asked, node
+    for low in range(0, q, 256):
+        asked, node = np.nonzero((queries[low : low + 256] @ x.T >= threshold) & ~seen[low : low + 256])
+        yield asked + low, node
 
 
 def _group_slices(table: pa.Table):

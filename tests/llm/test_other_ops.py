@@ -165,6 +165,20 @@ def test_vectors_recall(spark, data):
     assert vectors.audit_recall(df, vectors.op6_embedding_near_dedup(spark, data)) >= 0.9
 
 
+def test_vectors_large_groups(spark):
+    """Groups of several hundred distinct near copies, more than a node's candidates."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 32))
+    x = np.concatenate([np.repeat(base, 200, axis=0) + rng.normal(scale=0.1, size=(2400, 32)), rng.normal(size=(300, 32))])
+    near = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (near @ near.T >= 0.95).sum(axis=1) - 1
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist()}))
+    found = vectors.near_duplicates(df)
+    got = found.orderBy("vec_id").toPandas()
+    assert (want[:2400] > 150).mean() > 0.9 and got.n_links.tolist() == want.tolist()
+    assert vectors.audit_recall(df, found) == 1.0
+
+
 # --- pipeline
 
 
