@@ -138,7 +138,8 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int =
     """Length, up to ``most``, of the common prefix of each suffix in order with the one before it.
 
     Kasai's walk goes through the text and starts each comparison one byte short of the last; here many stretches of the
-    text are walked side by side.
+    text are walked side by side. ``order`` need be sorted by the first ``most`` bytes only: what was alike is carried where
+    the two suffixes, a byte further on, still lie in order, as all between them is then as alike; else the count is from zero.
     """
     n = len(data)
     place = np.empty(n, np.int64)
@@ -150,14 +151,15 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int =
     words = np.ndarray((n,), "<u8", padded.tobytes(), strides=(1,))
     stretch = -(-n // lanes)
     here = np.arange(0, n, stretch)
-    carried = np.zeros(len(here), np.int64)
+    carried, last = np.zeros(len(here), np.int64), np.full(len(here), n)
     for step in range(stretch):
         at = here + step
         live = at < n
         at = at[live]
         other = before[at]
         ran = np.maximum(carried[live] - 1, 0)
-        ran[other < 0] = 0
+        next_ = last[live] + 1
+        ran[(other < 0) | (next_ >= n) | (place[np.minimum(next_, n - 1)] >= place[at])] = 0
         todo = np.flatnonzero(other >= 0)
         while len(todo):
             a, b, r = at[todo], other[todo], ran[todo]
@@ -171,7 +173,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lanes: int =
             same = np.minimum(same, room)
             ran[todo] = r + same
             todo = todo[(same == 8) & (room > 8)]
-        carried[live] = ran
+        carried[live], last[live] = ran, other
         found[at] = ran
     return found[order]
 

@@ -124,6 +124,28 @@ def test_suffix_array_and_prefixes(n, letters):
         assert got[k] == min(same, 100)
 
 
+def test_windows_of_a_large_shard():
+    """Over 32 KB a lane walks several steps, and passages alike over more than the sorted depth are ties."""
+    rng = random.Random(11)
+    word = lambda n: bytes(rng.choice(b"abcd") for _ in range(n))
+    parts = []
+    for _ in range(120):
+        passage = word(rng.randrange(520, 700))
+        parts += [word(rng.randrange(500)) + passage + word(rng.randrange(500)) for _ in range(2)]
+    rng.shuffle(parts)
+    data, sizes = b"".join(parts), [len(p) - 399 for p in parts]
+    got, where = suffixes.repeated_windows(parts, sizes, 400)
+    windows = [data[i : i + 400] for i in where.tolist()]
+    times = pd.Series(windows).value_counts()
+    assert len(data) > 1 << 17 and got.tolist() == [times[w] > 1 for w in windows]
+    depth = np.frombuffer(data, np.uint8)
+    order, _ = suffixes.suffix_array(depth, 400)
+    found = suffixes.common_prefixes(depth, order, 400)
+    for k in range(1, len(order), 7):
+        a, b = (data[i : i + 400] for i in order[k - 1 : k + 1])
+        assert found[k] == next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
 # --- packing
 
 
