@@ -1,27 +1,34 @@
 """Mixing sources to target weights by iterative proportional fitting, with DataFrame functions only.
 
 Tokens are summed by cell (the combination of all dimensions). Cell weights are raked: for one dimension after another they
-are scaled so that their sums meet that dimension's target shares, until all margins are met within
-``tolerance``. A document's probability is min(1, c * raked weight / tokens) of its cell, with c such that the
+are scaled so that their sums meet that dimension's target shares, until every margin, measured, is within
+``tolerance`` of its target, relative to the target. A document's probability is min(1, c * raked weight / tokens) of its cell, with c such that the
 expected tokens are ``budget`` of all tokens; it is kept where a uniform number made from its key lies below.
 
 Cells are pre-aggregated, so what is raked and joined has at most one row a combination; margins are grouped again with
 partial sums and joined by what their size allows. Nothing is collected but single numbers.
 Defined cases: a null dimension value is a category of its own (``""`` stands for it); null and empty texts have no
 tokens, take part in no sum, and get their cell's probability, or c clipped to 1 where no cell has tokens; target categories
-without rows are left out and the other shares scaled up; categories without a target keep their share of tokens; an
+without rows are left out and the other shares scaled up; categories without a target keep their share of tokens; where the margins
+stop coming nearer, as no weights can meet all targets, a warning names how far they are off, and where they still come
+nearer after ``most_rounds`` rounds ``NotConverged`` is raised; an
 empty table gives an empty result; rows with equal keys get equal draws.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinlink.operators.graph import NotConverged
 from kinlink.sources.stash import stash
 
 TOLERANCE = 1e-6
-MOST_ROUNDS = 8
+MOST_ROUNDS = 1000
+SQL_ROUNDS = 8
+STALL_ROUNDS = 20
 CLIP_ROUNDS = 30
 TEMPERATURE = 0.5
 BUDGET = 0.5
@@ -61,7 +68,9 @@ def _aims(cells: DataFrame, dimension: str, targets: DataFrame) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, most_rounds: int = MOST_ROUNDS) -> DataFrame:
-    """Cells with ``weight``: shares that meet the targets of every dimension within ``tolerance``, as near as the rounds allow.
+    """Cells with ``weight``: shares that meet the targets of every dimension within ``tolerance``.
+
+    A ``tolerance`` of zero means ``most_rounds`` rounds, whatever the margins.
 
     The state is one factor for each category of each dimension; a cell's weight is its tokens times its factors. A
     round reads the cells with partial sums by category, one dimension after another, and writes one small table of factors.
@@ -83,11 +92,12 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
             now, weight = now.join(factor.select(d, f"__{d}"), d), weight * F.col(f"__{d}")
         return now.withColumn("weight", weight)
 
+    offs: list[float] = []
     for _ in range(most_rounds):
         factors, after = {d: of(held.df, d) for d in targets}, None
         for d in targets:
             sums = weighed(factors).groupBy(d).agg(F.sum("weight").alias("sum")).join(factors[d], d)
-            new = sums.select(d, "aim", (F.col(f"__{d}") * F.col("aim") / F.col("sum")).alias(f"__{d}"), F.abs(F.col("sum") - F.col("aim")).alias("off"))
+            new = sums.select(d, "aim", (F.col(f"__{d}") * F.col("aim") / F.col("sum")).alias(f"__{d}"), F.abs(F.col("sum") / F.col("aim") - 1).alias("off"))
             factors[d] = new
             part = new.select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "aim", F.col(f"__{d}").alias("factor"), "off")
             after = part if after is None else after.unionAll(part)
@@ -95,8 +105,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOL
         held.drop()
         held = after
         # how far each margin was just before it was met
-        if tolerance and (held.df.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        if not tolerance:
+            continue
+        offs.append(held.df.agg(F.max("off")).first()[0] or 0.0)
+        if offs[-1] <= tolerance:
+            break
+        if len(offs) > STALL_ROUNDS and offs[-1] >= offs[-1 - STALL_ROUNDS] * (1 - 1e-4):
+            warnings.warn(f"no weights meet all targets: after {len(offs)} rounds a margin is off by {offs[-1]:.2g} of its target", stacklevel=2)
             break
+    else:
+        if tolerance:
+            raise NotConverged(f"after {most_rounds} rounds a margin is off by {offs[-1] if offs else 1:.2g} of its target")
     return weighed({d: of(held.df, d) for d in targets}).drop(*(f"__{d}" for d in targets))
 
 
@@ -140,12 +159,12 @@ def sample(df: DataFrame, **settings) -> DataFrame:
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     """Query op4: documents raked to tempered source, language and topic margins; half of the tokens are drawn."""
-    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), dimensions(), tolerance=0.0)  # all rounds, as the SQL has them
+    out = mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), dimensions(), tolerance=0.0, most_rounds=SQL_ROUNDS)  # the rounds of the SQL, converged or not
     return out.withColumn("probability", F.round("probability", 4))
 
 
 def _cte(rounds: int) -> str:
-    """The raking as SQL: the rounds are unrolled, as many as the tolerance can need on these margins."""
+    """The raking as SQL: the rounds are unrolled."""
     step, parts = "c0", []
     for r in range(rounds):
         for d in ("source", "lang", "topic"):
@@ -179,7 +198,7 @@ mixed AS MATERIALIZED (
 """
 
 
-def mixing_sql(docs: str = "documents", rounds: int = MOST_ROUNDS) -> str:
+def mixing_sql(docs: str = "documents", rounds: int = SQL_ROUNDS) -> str:
     aims = ",\n".join(
         f"aim_{d} AS MATERIALIZED (SELECT {d} AS v, sqrt(CAST(sum(tokens) AS DOUBLE)) / sum(sqrt(CAST(sum(tokens) AS DOUBLE))) OVER () AS aim FROM c0 GROUP BY {d})" for d in ("source", "lang", "topic")
     )

@@ -84,6 +84,27 @@ def test_mixing_meets_targets(spark):
     assert mixing.mix(df.limit(0), {"source": F.col("source")}).count() == 0
 
 
+def test_mixing_converges(spark):
+    """Sources that nearly determine the language need many rounds; targets that contradict one another are told of."""
+    rows, key = [], 0
+    for s in range(6):
+        for x in range(3):
+            rows.append((key, "w " * (2 ** (s % 4) * (36 if x == s % 3 else 2)), f"s{s}", f"l{x}"))
+            key += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    cells = df.groupBy("source", "lang").agg(F.sum(mixing.token_count("text")).alias("tokens"))
+    goal = {"source": [0.3, 0.05, 0.2, 0.05, 0.1, 0.3], "lang": [0.2, 0.5, 0.3]}
+    targets = {d: spark.createDataFrame([(f"{d[0]}{i}", v) for i, v in enumerate(g)], "value string, share double") for d, g in goal.items()}
+    with pytest.raises(mixing.NotConverged):
+        mixing.rake(cells, targets, most_rounds=8)
+    got = mixing.rake(cells, targets).toPandas()
+    for d, g in goal.items():
+        assert got.groupby(d).weight.sum().sort_index().tolist() == pytest.approx(g, rel=1e-5)
+    apart = cells.where("substr(source, 2) % 3 = substr(lang, 2)")  # the sources say all about the language
+    with pytest.warns(UserWarning, match="no weights meet all targets"):
+        mixing.rake(apart, targets)
+
+
 # --- urls
 
 
