@@ -44,12 +44,13 @@ atexit.register(_sweep)
 class Stash:
     """A written table. ``df`` reads it; ``drop()`` deletes it once nothing reads it any more."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, schema=None):
+        self.spark, self.path, self.schema = spark, path, schema
 
     @property
     def df(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """The table; its schema is known, so no job reads footers for it."""
+        return (self.spark.read.schema(self.schema) if self.schema else self.spark.read).parquet(self.path)
 
     def drop(self) -> None:
         delete(self.spark, self.path)
@@ -66,4 +67,4 @@ def stash(df: DataFrame, name: str = "t") -> Stash:
     path = f"{shared_dir(spark)}/kinlink/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _OWNED.append((spark, path))
-    return Stash(spark, path)
+    return Stash(spark, path, df.schema)
