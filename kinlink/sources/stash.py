@@ -1,7 +1,7 @@
 """Written intermediate tables that cut lineage and survive the loss of an executor.
 
-Every stash goes below the folder that the session names in ``spark.checkpoint.dir``; only when the
-session names none (a local test session) a folder of our own is set there.
+Every stash goes below the folder that the session names in ``spark.checkpoint.dir``. Only a local session that names none
+gets a folder of our own there; on a cluster, where such a folder would be one machine's, that is refused.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
         found = "file://" + tempfile.mkdtemp(prefix="kinlink-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -67,4 +71,14 @@ def stash(df: DataFrame, name: str = "t") -> Stash:
     path = f"{shared_dir(spark)}/kinlink/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _OWNED.append((spark, path))
+    spark._jvm.System.gc()  # shuffle files of the finished job stay until the driver collects its garbage
     return Stash(spark, path, df.schema)
+
+
+def settle(make: Callable[[], DataFrame], name: str) -> Stash:
+    """The result of ``make()`` written as a table; what it stashed on the way is dropped."""
+    before = set(_OWNED)
+    out = stash(make(), name)
+    for s, path in [o for o in _OWNED if o not in before and o[1] != out.path]:
+        Stash(s, path).drop()
+    return out
