@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlink.llm import compression, lines, mixing, packing, simhash
-from kinlink.sources.stash import stash
+from kinlink.sources.stash import settle
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows drawn by their cell's calibrated probability."""
-    return mixing.sample(docs)
+    return mixing.sample(docs, mixing.dimensions())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held = None
     for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), name).df
+        after = settle(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
+        if held:
+            held.drop()
+        held, docs = after, after.df
     return STAGES[-1][1](spark, docs, sf_dir)
