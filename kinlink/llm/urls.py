@@ -4,16 +4,21 @@ The tree is grown level by level with grouped counts. Below a prefix of template
 holds at least ``least_share`` of the rows there and ``least_count`` rows; all others are generalised to the wildcard
 of their shape (``{num}``, ``{num}.ext``, ``{hex}``, ``{word}``, ``{any}``). A branch whose share of good labels does not differ from that of
 its siblings by more than a Hoeffding bound is merged into the wildcard too. A template's purity is its share of good labels,
-smoothed towards its host's, and that towards all rows'; templates below ``threshold`` are rejected.
-
-Counts are grouped with partial sums, so a hot host is never gathered; nothing is collected but the tree's depth.
-Defined cases: a null url, or one without ``://``, has empty host and path; unlabelled templates get
-their host's smoothed purity, and a table without labels allows all; repeated rows count as often as they
-occur; an empty table gives an empty result; paths are used whole, segments from ``depth`` on as one.
+smoothed towards its host's, and that towards all rows'. A template is rejected where its purity, raised by the one-sided
+Hoeffding bound of its labels, is below ``threshold`` times the share of all rows: it is surely worse than the table as a whole.
+
+Counts are grouped with partial sums, so a hot host or path is never gathered; nothing is collected but the tree's depth. Verdicts
+are made for distinct paths and joined back to the rows by a salted key.
+Defined cases: a null url, or one without ``://``, has empty host and path; unlabelled templates are allowed, so a table without
+labels allows all; rows that repeat, urls or keys, count as often as they occur and are judged alike; branches with equal counts are
+treated alike, as nothing is ranked; leading and trailing slashes make no segment, and the empty path has the empty template; an
+empty table gives an empty result; paths are used whole, segments from ``depth`` on as one; other columns may have any name.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +29,8 @@ LEAST_SHARE = 0.02
 LEAST_COUNT = 5
 CONFIDENCE = 0.05
 STRENGTH = 4.0
-THRESHOLD = 0.5
+THRESHOLD = 0.9
+SALTS = 16
 MOST_RULES = 1000
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -64,7 +70,8 @@ def shape(segment: Column) -> Column:
 
 
 def _segments(path: str, depth: int) -> Column:
-    return F.split(F.regexp_replace(F.col(path), "^/", ""), "/", depth)
+    bare = F.regexp_replace(F.col(path), "^/+|/+$", "")
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "/", depth))
 
 
 def templates(df: DataFrame, label: str = "label", depth: int = DEPTH, least_share: float = LEAST_SHARE, least_count: int = LEAST_COUNT, confidence: float = CONFIDENCE) -> DataFrame:
@@ -94,13 +101,15 @@ def templates(df: DataFrame, label: str = "label", depth: int = DEPTH, least_sha
     return now.df.select("host", "path", F.col("prefix").alias("template"), "good", "bad")
 
 
-def purities(found: DataFrame, strength: float = STRENGTH) -> DataFrame:
-    """Rows (host, template, purity) of the result of templates()."""
+def purities(found: DataFrame, strength: float = STRENGTH, confidence: float = CONFIDENCE) -> DataFrame:
+    """Rows (host, template, purity, highest, prior) of the result of templates(); ``highest`` is null without labels."""
     by = found.groupBy("host", "template").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"))
     hosts = by.groupBy("host").agg(F.sum("g").alias("hg"), F.sum("b").alias("hb"))
     every = hosts.agg(((F.coalesce(F.sum("hg"), F.lit(0)) + 1) / (F.coalesce(F.sum("hg") + F.sum("hb"), F.lit(0)) + 1)).alias("prior"))
-    host = hosts.crossJoin(F.broadcast(every)).select("host", ((F.col("hg") + strength * F.col("prior")) / (F.col("hg") + F.col("hb") + strength)).alias("host_purity"))
-    return by.join(host, "host").select("host", "template", ((F.col("g") + strength * F.col("host_purity")) / (F.col("g") + F.col("b") + strength)).alias("purity"))
+    host = hosts.crossJoin(F.broadcast(every)).select("host", "prior", ((F.col("hg") + strength * F.col("prior")) / (F.col("hg") + F.col("hb") + strength)).alias("host_purity"))
+    purity = (F.col("g") + strength * F.col("host_purity")) / (F.col("g") + F.col("b") + strength)
+    bound = F.sqrt(F.lit(0.5 * math.log(1 / confidence)) / (F.col("g") + F.col("b")))
+    return by.join(host, "host").select("host", "template", "prior", purity.alias("purity"), F.when(F.col("g") + F.col("b") > 0, purity + bound).alias("highest"))
 
 
 def judge(df: DataFrame, labels: DataFrame | None = None, rules: list[tuple[str, str]] = RULES, url: str = "url", key: str = "page_id", threshold: float = THRESHOLD) -> DataFrame:
@@ -110,16 +119,20 @@ def judge(df: DataFrame, labels: DataFrame | None = None, rules: list[tuple[str,
         taught = slim.withColumn("label", F.lit(None).cast("int"))
     else:
         taught = slim.join(labels.select(F.col(key), F.col("label").cast("int").alias("label")).dropDuplicates([key]), key, "left")
-    taught = stash(taught, "urls").df
-    found = stash(templates(taught), "templates").df
-    judged = found.join(purities(found), ["host", "template"]).select("host", "path", "template", "purity")
+    taught = stash(taught, "urls")
+    found = stash(templates(taught.df), "templates")
+    judged = found.df.join(purities(found.df), ["host", "template"]).select("host", "path", "template", "purity", (F.col("highest") < threshold * F.col("prior")).alias("bad"))
+    # a path that holds a third of the rows is dealt to several tasks
+    judged = judged.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = taught.df.withColumn("salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
     rule, verdict = rule_columns("host", "path", rules)
-    method = F.when(F.col("purity") < threshold, F.lit("block")).otherwise(F.lit("allow"))
-    return taught.join(judged, ["host", "path"]).select(key, "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "template", F.round("purity", 6).alias("purity"))
+    method = F.when(F.col("bad"), F.lit("block")).otherwise(F.lit("allow"))
+    return salted.join(judged, ["host", "path", "salt"]).select(key, "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "template", F.round("purity", 6).alias("purity"))
 
 
 def op5_url_filter(spark, sf_dir: str) -> DataFrame:
-    """Query op5: every page's url; a page teaches with the label of the document whose number its path holds."""
+    """Query op5: every page's url. No table labels urls, so it is assumed that the number in a page's path is the ``doc_id`` of its
+    document, whose quality label the page teaches with."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     number = F.expr("try_cast(regexp_extract(url, '/([0-9]{1,18})', 1) AS BIGINT)")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
