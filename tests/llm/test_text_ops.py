@@ -226,10 +226,10 @@ def test_lines(spark):
     rows.append((500, "\n".join(f"long {i} line of its own {i}" for i in range(5000))))
     want = brute_lines(rows)
     for leaf in (1000, 5):
-        df = frame(spark, rows).selectExpr("doc_id", "text", "doc_id AS h", "1 AS n_lines", "'k' AS key")
+        df = frame(spark, rows + rows[5:9]).selectExpr("doc_id", "text", "doc_id AS h", "1 AS n_lines", "'k' AS key", "1 AS packed", "2 AS removed", "3 AS `or d`", "4 AS c0")
         got = lines.deduplicate(df, leaf=leaf).toPandas()
         assert {None if pd.isna(k) else int(k): t or "" for k, t in zip(got.doc_id, got.text)} == want
-        assert list(got.columns) == ["doc_id", "text", "h", "key", "n_lines", "n_removed"]
+        assert list(got.columns) == ["doc_id", "text", "h", "key", "packed", "removed", "or d", "c0", "n_lines", "n_removed"] and len(got) == len(rows) + 4
     assert lines.deduplicate(frame(spark, [])).count() == 0
 
 
