@@ -134,6 +134,16 @@ def _distinct(value: Column, pattern: str) -> Column:
     return F.array_distinct(F.regexp_extract_all(value, F.lit(pattern), F.lit(0)))
 
 
+def tokens(value: Column) -> Column:
+    """The distinct tokens that ``jaccard`` compares; null and empty text, which score 1, have none and are null."""
+    return F.when(~blank(_text(value)), _distinct(F.lower(_text(value)), TOKENS))
+
+
+def jaccard_of_tokens(left: Column, right: Column) -> Column:
+    """``jaccard`` of two texts from their ``tokens``, for texts that are compared more than once."""
+    return F.when(left.isNull() | right.isNull(), F.lit(1.0)).otherwise(_overlap(left, right, F.lit(0.0)))
+
+
 def jaccard(left: Column, right: Column) -> Column:
     return gate(left, right, _overlap(_distinct(F.lower(_text(left)), TOKENS), _distinct(F.lower(_text(right)), TOKENS), F.lit(0.0)))
 

@@ -14,6 +14,8 @@ from kinlink.operators.registry import DEFAULT, Policy, rule
 
 MOST_NODES = 1024
 MOST_DEPTH = 96
+#: Rows of a block that one task gets.
+PART_ROWS = 20_000
 
 
 @dataclass
@@ -77,19 +79,37 @@ def block_hashes(df: DataFrame, tree: Node, out: str, policy: Policy = DEFAULT)
     return df.withColumn(out, java_string_hash(tree_text(tree, policy)))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame | None, block: str, row_id: str, prefix: str = "z_", source: str | None = None) -> DataFrame:
+def candidate_pairs(left: DataFrame, right: DataFrame | None, block: str, row_id: str, prefix: str = "z_", source: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """Pairs of one block, right-hand columns prefixed. Within one table each unordered pair comes once; between two all cross pairs.
 
-    With ``source``, only pairs of different sources.
+    With ``source``, only pairs of different sources. A block of more than ``part_rows`` rows is dealt to parts: each pair of parts is a
+    join key of its own, to which the rows of both parts go, so that no task gets a whole hot block.
     """
-    other = left if right is None else right
-    other = other.select(*(F.col(c).alias(prefix + c) for c in other.columns))
-    on = F.col(block) == F.col(prefix + block)
-    if right is None:
-        on &= F.col(row_id) < F.col(prefix + row_id)
+    same = right is None
+    right = left if same else right
+    counted = [x.groupBy(F.col(block).alias("__b")).agg(F.count("*").alias("__n")) for x in ([left] if same else [left, right])]
+    sizes = counted[0] if same else counted[0].unionAll(counted[1]).groupBy("__b").agg(F.max("__n").alias("__n"))
+    hot = sizes.where(F.col("__n") > part_rows).select("__b", F.ceil(F.col("__n") / part_rows).cast("int").alias("__parts"))
+
+    def dealt(df: DataFrame, side: int) -> DataFrame:
+        held = df.join(hot, df[block].eqNullSafe(hot["__b"]), "left").drop("__b").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+        held = held.withColumn("__own", F.when(F.col("__parts") > 1, F.pmod(F.xxhash64(row_id), F.col("__parts"))).otherwise(0).cast("int"))
+        every = F.sequence(F.lit(0), F.col("__parts") - 1)
+        if same:
+            cell = F.transform(every, lambda p: F.struct(F.least(p, F.col("__own")).alias("t"), F.greatest(p, F.col("__own")).alias("q")))
+        else:
+            cell = F.transform(every, lambda p: F.struct(F.col("__own").alias("t"), p.alias("q")) if not side else F.struct(p.alias("t"), F.col("__own").alias("q")))
+        return held.withColumn("__cell", F.explode(cell)).drop("__parts")
+
+    here = dealt(left, 0)
+    there = dealt(right, 1).select(*(F.col(c).alias(prefix + c) for c in [*right.columns, "__own", "__cell"]))
+    on = (F.col(block) == F.col(prefix + block)) & (F.col("__cell") == F.col(prefix + "__cell"))
+    if same:
+        # rows of one part meet in the cell of that part alone
+        on &= (F.col(row_id) < F.col(prefix + row_id)) & ((F.col("__own") != F.col(prefix + "__own")) | (F.col("__cell.t") == F.col("__cell.q")))
     if source:
         on &= F.col(source) != F.col(prefix + source)
-    return left.join(other, on)
+    return here.join(there, on).drop("__own", "__cell", prefix + "__own", prefix + "__cell")
 
 
 def learn_tree(pairs: list[dict], fields: dict[str, list[str]], sample: DataFrame, most_block: int = 100, most_loss: float = 0.05, depth: int = 3) -> Node:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinlink.operators.registry import DEFAULT, Policy
+from kinlink.sources.stash import stash
 
 # fixed values: the grid of regularizations and thresholds, folds and seed
 REGULARIZATIONS = [0.0001, 0.001, 0.01, 0.1, 1.0]
@@ -54,15 +55,21 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def area_under_curve(df: DataFrame, score: str = "score", label: str = "label") -> float:
-    """Rank-sum area with half credit for ties; 0.5 with one class only. One row a distinct score is windowed."""
+    """Rank-sum area with half credit for ties; 0.5 with one class only."""
     return auc_frame(df, score, label).first()[0]
 
 
 def auc_frame(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """One row with the area. Distinct scores are dealt to ranges and written; running sums are taken within each range and over the
+    totals of the ranges, which are as few as the partitions, so no task sees all scores."""
     by = df.groupBy(F.col(score).alias("s")).agg(F.sum(F.when(F.col(label) == 1, 1.0).otherwise(0.0)).alias("p"), F.sum(F.when(F.col(label) == 1, 0.0).otherwise(1.0)).alias("n"))
-    below = F.coalesce(F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    ranked = by.withColumn("credit", F.col("p") * (below + F.col("n") / 2))
-    return ranked.agg(F.coalesce(F.try_divide(F.sum("credit"), F.sum("p") * F.sum("n")), F.lit(0.5)).alias("auc"))
+    held = stash(by.repartitionByRange("s").withColumn("range", F.spark_partition_id()), "scores").df
+    before = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = held.groupBy("range").agg(F.min("s").alias("low"), F.sum("n").alias("total")).select("range", F.coalesce(F.sum("total").over(before), F.lit(0.0)).alias("offset"))
+    within = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    ranked = held.withColumn("within", within).join(F.broadcast(ranges), "range")
+    credit = F.col("p") * (F.col("offset") + F.col("within") + F.col("n") / 2)
+    return ranked.agg(F.coalesce(F.try_divide(F.sum(credit), F.sum("p") * F.sum("n")), F.lit(0.5)).alias("auc"))
 
 
 @dataclass
@@ -151,9 +158,22 @@ def fit(df: DataFrame, features: list[str], label: str = "label", degree: int =
         data.unpersist()
 
 
+def optimizer_status(history: list[float], iterations: int, max_iter: int, tolerance: float) -> str:
+    """How the fit ended, from its losses: a fit that stops before its last iteration while its loss still falls by more than the
+    tolerance, relative, or that ends on a loss that is not finite, has stalled in its line search."""
+    if history and not all(map(math.isfinite, history)):
+        return "line-search-stalled"
+    if iterations >= max_iter:
+        return "max-iter-exhausted"
+    last = history[-2:]
+    if len(last) == 2 and abs(last[0] - last[1]) > tolerance * max(abs(last[0]), abs(last[1]), 1e-6):
+        return "line-search-stalled"
+    return "converged"
+
+
 def _artifact(fitted, features, degree, reg, threshold, grid, metric, max_iter) -> MatchModel:
     iterations = fitted.summary.totalIterations if fitted.hasSummary else 0
-    status = "max-iter-exhausted" if iterations >= max_iter else "converged"
+    status = optimizer_status(list(fitted.summary.objectiveHistory) if fitted.hasSummary else [], iterations, max_iter, fitted.getTol())
     return MatchModel(list(features), [float(c) for c in fitted.coefficients], float(fitted.intercept), threshold, reg, degree, metric, status, int(iterations), list(grid))
 
 
@@ -208,8 +228,3 @@ def import_cross_validator(path: str) -> MatchModel:
 
     best = CrossValidatorModel.load(path).bestModel
     return from_pipeline(getattr(best, "stages", [best]))
-
-
-def expected_terms(n: int, degree: int) -> int:
-    return sum(math.comb(n + d - 1, d) for d in range(1, degree + 1))
-

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import re
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,21 +41,71 @@ ALIASES = {
 
 RULES = {f"similarity.{k}": f for k, f in SIMILARITIES.items()} | {f"blocking.{k}": f for k, f in HASHES.items()} | {f"preprocess.{k}": f for k, f in PREPROCESS.items()} | {"model.vectorValue": vector_value}
 
-# fixed values: physical nodes that leave the expression engine
-FORBIDDEN_NODES = ["ScalaUDF", "PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapElements", "MapPartitions", "DeserializeToObject", "SerializeFromObject", "ExistingRDD"]
+#: Physical nodes that leave the expression engine: those that run Python or R workers, and those that turn rows into objects.
+FORBIDDEN_NODES = [
+    "Python", "InPandas", "InArrow", "InR", "AttachDistributedSequence",
+    "ScalaUDF", "ScalaAggregator", "MapElements", "MapPartitions", "MapGroups", "CoGroup", "AppendColumns", "DeserializeToObject", "SerializeFromObject", "ExistingRDD",
+]
+_NODE = re.compile(r"^[\s:+|-]*(?:\*\(\d+\) )?([A-Za-z]\w*(?: ExistingRDD)?)", re.M)
+_FUNCTION = re.compile(r"\bUDF(?::\w+)?\(|\bpythonUDF\d+")
+
+MODES = ("OFF", "AUDIT", "REWRITE", "STRICT")
+
+log = logging.getLogger("kinlink")
+
+
+@dataclass
+class Diagnostics:
+    """Each message once a run; metadata only, never values of rows."""
+
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)
+    seen: set[str] = field(default_factory=set)
+
+    def note(self, code: str, level: int = logging.INFO, **metadata) -> bool:
+        message = f"{code} " + " ".join(f"{k}={v}" for k, v in sorted(metadata.items()))
+        if message in self.seen:
+            return False
+        self.seen.add(message)
+        log.log(level, "%s run=%s", message, self.run)
+        return True
 
 
 @dataclass(frozen=True)
 class Policy:
-    """What is allowed: ``disabled`` holds operation ids; ``strict`` guards plans and refuses non-finite model input."""
+    """How operations and plans are treated; ``disabled`` holds operation ids.
 
-    strict: bool = True
+    OFF: nothing is looked at. AUDIT: what a plan holds that leaves the expression engine is logged. REWRITE: rules that are
+    applied are logged too. STRICT: such a plan raises, and non-finite model input is refused. ``guard`` switches plans' inspection
+    off, ``explain`` logs the decision for each operation.
+    """
+
+    mode: str = "STRICT"
     disabled: frozenset[str] = field(default_factory=frozenset)
     guard: bool = True
+    explain: bool = False
+    diagnostics: Diagnostics = field(default_factory=Diagnostics, compare=False)
+
+    def __post_init__(self):
+        if self.mode not in MODES:
+            raise ValueError(f"{self.mode} is not one of {', '.join(MODES)}")
+
+    @staticmethod
+    def parse(mode: str | None, **settings) -> Policy:
+        """A policy of a mode's name in any case; none is OFF."""
+        return Policy((mode or "OFF").strip().upper(), **settings)
+
+    @property
+    def strict(self) -> bool:
+        return self.mode == "STRICT"
 
     def check(self, operation: str) -> None:
-        if operation in self.disabled:
+        disabled = operation in self.disabled
+        if self.explain:
+            self.diagnostics.note("explain", operation=operation, decision="disabled" if disabled else "rewrite")
+        if disabled:
             raise DisabledOperation(f"{operation} is disabled")
+        if self.mode in ("REWRITE", "STRICT"):
+            self.diagnostics.note("rewrite", operation=operation, mode=self.mode)
 
 
 DEFAULT = Policy()
@@ -80,15 +133,26 @@ def rule(name: str, kind: str = "", policy: Policy = DEFAULT):
 
 
 def executed_plan(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def guard_plan(df: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    """The frame itself; a forbidden node in its plan raises under a strict policy. Runs no job."""
-    if policy.strict and policy.guard:
-        plan = executed_plan(df)
-        if found := [n for n in FORBIDDEN_NODES if re.search(rf"\b{n}", plan)]:
-            raise GuardViolation(f"the plan holds {', '.join(found)}")
+    """The physical plan as text, over classic sessions and Connect."""
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    except (AttributeError, PySparkAttributeError):
+        return df._explain_string(mode="simple")
+
+
+def foreign_nodes(plan: str) -> list[str]:
+    """Nodes and functions of a plan's text that leave the expression engine."""
+    found = {n for n in _NODE.findall(plan) if any(f in n for f in FORBIDDEN_NODES)}
+    return sorted(found | ({"UDF"} if _FUNCTION.search(plan) else set()))
+
+
+def guard_plan(df: DataFrame, policy: Policy = DEFAULT, phase: str = "plan") -> DataFrame:
+    """The frame itself. A foreign node in its plan raises under STRICT and is logged under AUDIT and REWRITE. Runs no job."""
+    if policy.guard and policy.mode != "OFF":
+        if found := foreign_nodes(executed_plan(df)):
+            if policy.strict:
+                raise GuardViolation(f"{phase}: the plan holds {', '.join(found)}")
+            policy.diagnostics.note("guard", logging.WARNING, phase=phase, nodes=",".join(found), mode=policy.mode)
     return df
 
 

@@ -273,15 +273,15 @@ def tree_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of the candidate lists of a two-level tree over customers."""
-    tree = blocking.Node("trimLast3DigitsDbl", "c_acctbal", None, [])
-    df = _read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    """Sizes of the candidate lists of customers that share the balance, without its last digit, and the nation."""
+    tree = blocking.Node(None, None, None, [blocking.Node("trimLast1DigitsDbl", "c_acctbal"), blocking.Node("identityInteger", "c_nationkey")])
+    df = _read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey")
     hashed = blocking.block_hashes(df, tree, "h")
     pairs = blocking.candidate_pairs(hashed, None, "h", "c_custkey", "z_", "c_mktsegment")
     return pairs.groupBy("c_custkey").agg(F.count("*").alias("n"))
 
 
-_CANDIDATES_SQL = "SELECT a.c_custkey, count(*) AS n FROM customer a JOIN customer b ON floor(a.c_acctbal / 1000) = floor(b.c_acctbal / 1000) AND a.c_custkey < b.c_custkey AND a.c_mktsegment <> b.c_mktsegment GROUP BY 1"
+_CANDIDATES_SQL = "SELECT a.c_custkey, count(*) AS n FROM customer a JOIN customer b ON floor(a.c_acctbal / 10) = floor(b.c_acctbal / 10) AND a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey AND a.c_mktsegment <> b.c_mktsegment GROUP BY 1"
 
 
 def link_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,15 +333,21 @@ _AUC_SQL = (
 
 
 def fit_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cross-validated fit on order features; saved, loaded and applied."""
-    from kinlink.sources.stash import shared_dir
+    """A cross-validated fit on order features; saved, loaded and applied.
+
+    The intercept is not regularized, so at the optimum the mean score is the share of positive labels, which SQL can tell.
+    """
+    import uuid
+
+    from kinlink.sources.stash import delete, shared_dir
 
     data = _features(spark, sf_dir)
-    fitted = model.fit(data, ["q", "x"], "label", degree=2, regularizations=[0.01, 0.1], max_iter=15)
-    path = f"{shared_dir(spark)}/kinlink/model-{abs(hash(sf_dir))}"
+    fitted = model.fit(data, ["q", "x"], "label", degree=2, regularizations=[0.01, 0.1], max_iter=50)
+    path = f"{shared_dir(spark)}/kinlink/model-{uuid.uuid4().hex}"
     model.save(spark, fitted, path)
     loaded = model.load(spark, path)
-    return model.predict(data, loaded).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"))
+    delete(spark, path)
+    return model.predict(data, loaded).agg(F.count("*").alias("n"), F.round(F.avg("score"), 3).alias("mean_score"), F.lit(loaded.status).alias("status"))
 
 
 def fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -388,7 +394,14 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of a table and of the same table dealt and ordered differently."""
     n = _read(spark, sf_dir, "nation")
     first, second = evidence.output_fingerprint(n), evidence.output_fingerprint(n.repartition(3).orderBy(F.desc("n_name")))
-    return first.select("rows", F.col("digest")).join(second.select("digest"), "digest").select("rows", (F.length("digest") == 64).alias("same"))
+    return first.select("rows", "digest").join(second.select("digest"), "digest")
+
+
+_HALF = "CAST('0x' || substr(md5(j), {at}, 12) AS BIGINT)::HUGEINT"
+_FINGERPRINT_SQL = (
+    "SELECT count(*) AS rows, sha256(count(*)::VARCHAR || ':' || " + " || ':' || ".join(f"sum({_HALF.format(at=i)})::VARCHAR" for i in (1, 13)) + ") AS digest "
+    "FROM (SELECT to_json({'n_name': n_name, 'n_nationkey': n_nationkey, 'n_regionkey': n_regionkey})::VARCHAR AS j FROM nation)"
+)
 
 
 def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -438,15 +451,95 @@ def phases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("truth").agg(F.count_distinct("z_cluster").alias("clusters"), F.count("*").alias("records"))
 
 
+def _part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts from two sources: as they are, and with a letter more in their name."""
+    part = _read(spark, sf_dir, "part")
+    code = F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 8)
+    base = part.select(F.col("p_partkey").alias("truth"), F.concat_ws(" ", code, "p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    return base.withColumn("z_zid", F.col("truth") * 2).withColumn("z_source", F.lit("a")).unionByName(base.withColumn("name", F.concat("name", F.lit("x"))).withColumn("z_zid", F.col("truth") * 2 + 1).withColumn("z_source", F.lit("b")))
+
+
+def linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records linked across two sources by exact scores and a stated model; the first record of each cluster."""
+    from kinlink.plans.phases import Config, Field, link, representatives
+    from kinlink.sources.stash import stash
+
+    records = stash(_part_records(spark, sf_dir), "records").df.where("truth % 7 <> 0 OR z_source = 'a'")
+    config = Config([Field("brand", "exact", "string"), Field("size", "exact", "int"), Field("name", "text", "string")])
+    fitted = model.MatchModel(["sim_0", "sim_1", "sim_2"], [1.0, 1.0, 6.0], -5.0, 0.5, degree=1)
+    found = link(records, config, fitted, blocking.Node("first3Chars", "name"))
+    return representatives(found).select("z_zid", "z_cluster")
+
+
+#: The code is the first word of the name, so two names of one part share all tokens but the last one's letter more.
+_LINKED_SQL = (
+    "WITH RECURSIVE r AS MATERIALIZED (SELECT p_partkey * 2 + s.i AS id, s.i AS src, p_brand, p_size, concat(substr(md5(p_partkey::VARCHAR), 1, 8), ' ', p_name, CASE WHEN s.i = 1 THEN 'x' ELSE '' END) AS name"
+    " FROM part, (VALUES (0), (1)) s(i) WHERE p_partkey % 7 <> 0 OR s.i = 0), t AS MATERIALIZED (SELECT *, list_distinct(regexp_extract_all(lower(name), '[\\p{L}]+|[\\p{N}]+')) AS w, substr(name, 1, 3) AS h FROM r),"
+    " e AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM t a JOIN t b ON a.h = b.h AND a.src <> b.src"
+    "  WHERE (a.p_brand = b.p_brand)::INT + (a.p_size = b.p_size)::INT + 6.0 * len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))) - 5.0 > 0),"
+    " c AS (SELECT a AS id, a AS m FROM e UNION SELECT c.id, e.b FROM c JOIN e ON e.a = c.m)"
+    " SELECT id AS z_zid, low AS z_cluster FROM (SELECT id, min(m) AS low FROM c GROUP BY id) WHERE id = low"
+)
+
+
+def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 pairs to label of records that share the size, and the labels that a table gives for some of them."""
+    from kinlink.plans.phases import Config, Field, find_training_data, label
+
+    records = _part_records(spark, sf_dir).where("z_source = 'a'")
+    config = Config([Field("brand", "exact", "string"), Field("size", "exact", "int"), Field("name", "null_or_blank", "string")])
+    found = find_training_data(records, config, None, blocking.Node("identityInteger", "size"))
+    given = found.where("z_zid % 4 = 0").select("z_cluster", F.lit(1).alias("z_isMatch"))
+    return label(found, given).select("z_zid", "z_z_zid", F.round("z_score", 6).alias("score"), "z_isMatch")
+
+
+_TRAINING_SQL = (
+    "WITH p AS (SELECT a.p_partkey * 2 AS z_zid, b.p_partkey * 2 AS z_z_zid, ((a.p_brand = b.p_brand)::INT + 2) / 3.0::DOUBLE AS s FROM part a JOIN part b ON a.p_size = b.p_size AND a.p_partkey < b.p_partkey)"
+    " SELECT z_zid, z_z_zid, round(s, 6) AS score, CASE WHEN z_zid % 4 = 0 THEN 1 ELSE 2 END::INTEGER AS z_isMatch FROM p ORDER BY abs(s - 0.5), z_zid, z_z_zid LIMIT 20"
+)
+
+
+def engine_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each mode makes of a match whose input runs Python: refused or not, logged or not."""
+    from kinlink.plans.phases import Config, Field, match
+
+    records = _part_records(spark, sf_dir).where("truth < 50 AND z_source = 'a'")
+    foreign = records.mapInArrow(lambda batches: batches, records.schema)
+    config = Config([Field("brand", "exact", "string")])
+    fitted = model.MatchModel(["sim_0"], [1.0], -2.0, 0.5, degree=1)
+    rows = []
+    for mode in registry.MODES:
+        policy = registry.Policy.parse(mode.lower())
+        try:
+            match(foreign, config, fitted, blocking.Node("identityInteger", "size"), policy)
+            refused = False
+        except registry.GuardViolation:
+            refused = True
+        rows.append((mode, refused, any(m.startswith("guard ") for m in policy.diagnostics.seen)))
+    return spark.createDataFrame(rows, "mode string, refused boolean, logged boolean")
+
+
 FLAGSHIP_TREE = blocking.Node(None, None, None, [blocking.Node("first4Chars", "text"), blocking.Node("lastWord", "text")])
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents: block on the first characters and the last word, score whole texts, cluster, and count cluster sizes."""
+    """Documents: block on the first characters and the last word, score whole texts, cluster, and count cluster sizes.
+
+    Each text is tokenized once. Pairs are made of ids and numbers of tokens; sets whose sizes alone rule the similarity out are not
+    fetched, the others' hashed tokens come by id.
+    """
+    from kinlink.sources.stash import stash
+
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    hashed = blocking.block_hashes(docs, FLAGSHIP_TREE, "h")
-    pairs = registry.similarity(blocking.candidate_pairs(hashed, None, "h", "doc_id"), "JaccSimFunction", "text", "z_text", "score")
-    clustered = connected_components(docs.select("doc_id"), pairs.where("score >= 0.8").select("doc_id", "z_doc_id"), "doc_id", "z_doc_id", "cluster")
+    hashed = blocking.block_hashes(docs, FLAGSHIP_TREE, "h").withColumn("tokens", similarity.tokens(F.col("text")))
+    held = stash(hashed.select("doc_id", "h", F.size("tokens").alias("n"), F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens")), "tokens").df
+    pairs = blocking.candidate_pairs(held.select("doc_id", "h", "n"), None, "h", "doc_id")
+    # a text that is null or empty has no tokens, null, and scores 1 with any
+    fits = F.col("n").isNull() | F.col("z_n").isNull() | ((F.least("n", "z_n") >= 0.8 * F.greatest("n", "z_n")) & (F.greatest("n", "z_n") > 0))
+    pairs = pairs.where(fits).select("doc_id", "z_doc_id")
+    sides = [held.select(F.col("doc_id").alias(k), F.col("tokens").alias(t)) for k, t in (("doc_id", "left"), ("z_doc_id", "right"))]
+    scored = pairs.join(sides[0], "doc_id").join(sides[1], "z_doc_id").where(similarity.jaccard_of_tokens(F.col("left"), F.col("right")) >= 0.8)
+    clustered = connected_components(docs.select("doc_id"), scored.select("doc_id", "z_doc_id"), "doc_id", "z_doc_id", "cluster")
     return clustered.groupBy("cluster").agg(F.count("*").alias("n"))
 
 
@@ -477,6 +570,9 @@ def queries() -> dict[str, Query]:
         "source_formats": formats,
         "source_row_ids": row_ids,
         "phases_train_match": phases,
+        "phases_link": linked,
+        "phases_training_pairs": training_pairs,
+        "engine_modes": engine_modes,
         "flagship_document_clusters": flagship,
     }
     return out
@@ -499,7 +595,11 @@ def oracle_sql() -> dict[str, str]:
         "model_auc": _AUC_SQL,
         "model_folds": f"SELECT q, x, label, 1::BIGINT AS folds FROM ({_FEATURES}) GROUP BY ALL",
         "graph_connected_components": _COMPONENTS_SQL,
-        "evidence_fingerprint": "SELECT count(*) AS rows, true AS same FROM nation",
+        "evidence_fingerprint": _FINGERPRINT_SQL,
+        "model_fit_save_load": f"SELECT count(*) AS n, round(avg(label), 3) AS mean_score, 'converged' AS status FROM ({_FEATURES})",
+        "phases_link": _LINKED_SQL,
+        "phases_training_pairs": _TRAINING_SQL,
+        "engine_modes": "SELECT * FROM (VALUES ('OFF', false, false), ('AUDIT', false, true), ('REWRITE', false, true), ('STRICT', true, false)) AS m(mode, refused, logged)",
         "source_formats": "SELECT f.format, n_nationkey, n_name FROM nation, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)",
         "source_row_ids": "SELECT count(*) AS n, count(*) AS ids, true AS non_negative FROM orders",
         "flagship_document_clusters": _FLAGSHIP_SQL,

@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-import logging
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyspark
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.operators.registry import DEFAULT, RULES, Policy, executed_plan, resolve
-
-log = logging.getLogger("kinlink")
+from kinlink.operators.registry import DEFAULT, RULES, Policy, executed_plan, guard_plan, resolve
 
 
 def plan_fingerprint(df: DataFrame) -> str:
@@ -53,20 +50,15 @@ def decisions(names: list[str], policy: Policy = DEFAULT) -> dict[str, str]:
     return out
 
 
-@dataclass
-class Diagnostics:
-    """Each message once a run; metadata only, never values of rows."""
-
-    seen: set[str] = field(default_factory=set)
-
-    def note(self, code: str, **metadata) -> bool:
-        message = f"{code} " + " ".join(f"{k}={v}" for k, v in sorted(metadata.items()))
-        if message in self.seen:
-            return False
-        self.seen.add(message)
-        log.info(message)
-        return True
+def finish(df: DataFrame, phase: str, policy: Policy = DEFAULT) -> DataFrame:
+    """The end of a phase: its plan is guarded and its summary logged; the frame itself is returned and no job runs."""
+    guard_plan(df, policy, phase)
+    if policy.mode != "OFF":
+        policy.diagnostics.note("phase", phase=phase, mode=policy.mode, plan=plan_fingerprint(df))
+    return df
 
 
-def runtime() -> dict:
-    return {"pyspark": pyspark.__version__, "operations": len(RULES), "native_execution": False}
+def runtime(spark=None) -> dict:
+    """What the session is; that a plan stayed native is for evidence of runs to say, not for configuration."""
+    kind = "" if spark is None else f"{type(spark).__module__}.{type(spark).__name__}".lower()
+    return {"pyspark": pyspark.__version__, "spark": str(getattr(spark, "version", "unknown")), "api": "connect" if "connect" in kind else "classic", "operations": len(RULES), "native_execution": None}

@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinlink.operators import blocking, model, registry
 from kinlink.operators.graph import connected_components
 from kinlink.operators.registry import DEFAULT, Policy
+from kinlink.plans.evidence import finish
 from kinlink.sources.io import Pipe, read_pipe
 
 ID, RIGHT, CLUSTER, MATCH, SCORE, BLOCK = "z_zid", "z_", "z_cluster", "z_isMatch", "z_score", "z_hash"
@@ -122,12 +123,12 @@ def marked_pairs(marked: DataFrame, config: Config) -> DataFrame:
 
 
 def train_tree(df: DataFrame, config: Config, pairs: DataFrame, most_block: int = 100, sample: int = 5000) -> blocking.Node:
-    """A blocking tree from at most ``sample`` records and the labelled matches, which are few by nature."""
+    """A blocking tree from at most ``sample`` records and labelled matches, those of the lowest hashes, so that runs agree."""
     names = [f.name for f in config.compared() if f.data_type in HASHES]
-    known = pairs.where(F.col(MATCH) == 1).select(*names, *(RIGHT + n for n in names)).limit(sample).collect()
+    known = pairs.where(F.col(MATCH) == 1).orderBy(F.xxhash64(ID, RIGHT + ID), ID, RIGHT + ID).select(*names, *(RIGHT + n for n in names)).limit(sample).collect()
     as_pairs = [{"l": {n: r[n] for n in names}, "r": {n: r[RIGHT + n] for n in names}} for r in known]
     fields = {f.name: HASHES[f.data_type] for f in config.compared() if f.data_type in HASHES}
-    return blocking.learn_tree(as_pairs, fields, df.select(*names).limit(sample), most_block)
+    return blocking.learn_tree(as_pairs, fields, df.orderBy(F.xxhash64(*names), *names).select(*names).limit(sample), most_block)
 
 
 def train(marked: DataFrame, records: DataFrame, config: Config, policy: Policy = DEFAULT, save_to: str | None = None, **settings) -> tuple[model.MatchModel, blocking.Node]:
@@ -137,6 +138,7 @@ def train(marked: DataFrame, records: DataFrame, config: Config, policy: Policy
     if min(counts.get(0, 0), counts.get(1, 0)) < LEAST_EACH:
         raise model.ModelError(f"training needs {LEAST_EACH} pairs of either label, there are {counts}")
     scored, names = score_features(pairs, config, policy)
+    finish(scored, "train", policy)
     fitted = model.fit(scored.withColumn("label", (F.col(MATCH) == 1).cast("double")), names, policy=policy, **settings)
     tree = train_tree(records, config, pairs)
     if save_to:
@@ -167,13 +169,13 @@ def scored_pairs(df: DataFrame, config: Config, fitted: model.MatchModel, tree:
 
 def match(df: DataFrame, config: Config, fitted: model.MatchModel, tree: blocking.Node, policy: Policy = DEFAULT) -> DataFrame:
     """Records with the cluster of the matches within one source."""
-    matched = scored_pairs(df, config, fitted, tree, policy).where("prediction = 1").select(ID, RIGHT + ID)
+    matched = finish(scored_pairs(df, config, fitted, tree, policy).where("prediction = 1").select(ID, RIGHT + ID), "match", policy)
     return connected_components(df, matched, ID, RIGHT + ID, CLUSTER)
 
 
 def link(df: DataFrame, config: Config, fitted: model.MatchModel, tree: blocking.Node, policy: Policy = DEFAULT) -> DataFrame:
     """Records that are linked with a record of another source, with their cluster."""
-    matched = scored_pairs(df, config, fitted, tree, policy, across=True).where("prediction = 1").select(ID, RIGHT + ID)
+    matched = finish(scored_pairs(df, config, fitted, tree, policy, across=True).where("prediction = 1").select(ID, RIGHT + ID), "link", policy)
     linked = connected_components(df, matched, ID, RIGHT + ID, CLUSTER)
     several = linked.groupBy(CLUSTER).agg(F.count("*").alias("n")).where("n > 1").select(CLUSTER)
     return linked.join(several, CLUSTER, "left_semi")
@@ -195,3 +197,9 @@ def label(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs with the labels (z_cluster, z_isMatch) of a table; what it does not hold stays undecided, 2."""
     given = labels.select(CLUSTER, F.col(MATCH).alias("__given"))
     return pairs.join(given, CLUSTER, "left").withColumn(MATCH, F.coalesce("__given", MATCH, F.lit(2))).drop("__given")
+
+
+def representatives(df: DataFrame, cluster: str = CLUSTER, order: str = ID) -> DataFrame:
+    """The first record, by ``order``, of each cluster."""
+    place = F.row_number().over(Window.partitionBy(cluster).orderBy(order))
+    return df.withColumn("__place", place).where("__place = 1").drop("__place")

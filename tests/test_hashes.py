@@ -3,12 +3,13 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from kinlink.functions import hashes
 from kinlink.functions.hashes import HASHES
 from kinlink.functions.preprocess import stop_words, vector_value
 from kinlink.operators import blocking, registry
 
-TEXTS = ["Alice", "", None, "A", "Álvaro", "A  B", "123-45"]
-NUMBERS = [-12.3456, -1.999, -0.049, 0.0, 0.049, 1.999, 12.3456]
+TEXTS = ["Lantern", None, "q", "", "øre ører", "two  words", "77.b", "  pad  "]
+NUMBERS = [-250.6789, -3.0009, -0.0101, 0.0, 0.0101, 3.0009, 250.6789, 8.0]
 
 
 def hashed(spark, name, values, kind):
@@ -20,26 +21,44 @@ def test_names():
     assert len(HASHES) == 54
 
 
+def plain_last_word(v):
+    if not v:
+        return v
+    words = v.rstrip(" ").split(" ")
+    return words[-1] or None if v.rstrip(" ") else None
+
+
 def test_text_hashes(spark):
-    assert hashed(spark, "first2Chars", TEXTS, "string") == ["Al", "", None, "A", "Ál", "A ", "12"]
-    assert hashed(spark, "last2Chars", TEXTS, "string") == ["ce", "", None, "A", "ro", " B", "45"]
-    assert hashed(spark, "lastWord", [*TEXTS, "   ", "a b  "], "string") == ["Alice", "", None, "A", "Álvaro", "B", "123-45", None, "b"]
-    assert hashed(spark, "isNullOrEmpty", TEXTS, "string") == [False, True, True, False, False, False, False]
-    assert hashed(spark, "first2CharsBox", ["ab", None, "abc", "jzz", "ozz", "Abc"], "string") == [0, 0, 1, 2, 3, 4]
-    assert hashed(spark, "first3CharsBox", ["abc", "abcd", "ezza", "izza", "mzza", "qzza", "uzza", "Abcd"], "string") == [0, 1, 2, 3, 4, 5, 6, 7]
-    assert hashed(spark, "first2Chars", ["😀x"], "string") == ["😀"]
-    assert hashed(spark, "last3Chars", ["a😀x"], "string") == ["😀x"]
+    some = lambda f: [None if v is None else f(v) for v in TEXTS]
+    for n in (1, 2, 3, 4):
+        assert hashed(spark, f"first{n}Chars", TEXTS, "string") == some(lambda v: v[:n])
+    for n in (1, 2, 3):
+        assert hashed(spark, f"last{n}Chars", TEXTS, "string") == some(lambda v: v[-n:])
+    assert hashed(spark, "lastWord", [*TEXTS, "   ", "p q  "], "string") == [plain_last_word(v) for v in [*TEXTS, "   ", "p q  "]]
+    assert hashed(spark, "isNullOrEmpty", TEXTS, "string") == [not v for v in TEXTS]
+    for name, bounds, n in (("first2CharsBox", hashes.BOX_2, 2), ("first3CharsBox", hashes.BOX_3, 3)):
+        values = [*TEXTS, *(b + "m" for b in bounds), *(chr(ord(b[0]) - 1) + "zzzz" for b in bounds), bounds[0]]
+        want = [0 if v is None or len(v) <= n else max((i for i, b in enumerate(bounds, 1) if v[:n] >= b), default=len(bounds) + 1) for v in values]
+        assert hashed(spark, name, values, "string") == want
+    assert hashed(spark, "first2Chars", ["🚲x"], "string") == ["🚲"]
+    assert hashed(spark, "last3Chars", ["b🚲y"], "string") == ["🚲y"]
 
 
 def test_truncate(spark):
-    assert hashed(spark, "truncateDoubleTo1Places", NUMBERS, "double") == pytest.approx([-12.3, -1.9, 0, 0, 0, 1.9, 12.3])
-    assert hashed(spark, "truncateFloatTo3Places", NUMBERS, "float") == pytest.approx([-12.345, -1.998, -0.048, 0, 0.048, 1.998, 12.345], abs=1e-6)
+    for n in (1, 2, 3):
+        cut = [math.trunc(v * 10**n) / 10**n for v in NUMBERS]
+        assert hashed(spark, f"truncateDoubleTo{n}Places", NUMBERS, "double") == pytest.approx(cut, abs=1e-12)
+    # as floats, three places of which are no longer exact
+    assert hashed(spark, "truncateFloatTo3Places", NUMBERS, "float") == pytest.approx([math.trunc(v * 1000) / 1000 for v in NUMBERS], abs=1.1e-3)
 
 
 def test_trim_digits(spark):
-    assert hashed(spark, "trimLast1DigitsInt", [-19, 19, None], "int") == [-1, 1, None]
-    assert hashed(spark, "trimLast1DigitsLong", [2**62 + 9, -19], "long") == [(2**62 + 9) // 10, -1]
-    assert hashed(spark, "trimLast1DigitsDbl", [-19.0, 19.0], "double") == [-2, 1]
+    ints = [-437, 437, 8, -8, None]
+    for n in (1, 2, 3):
+        toward_zero = [None if v is None else int(v / 10**n) for v in ints]
+        assert hashed(spark, f"trimLast{n}DigitsInt", ints, "int") == toward_zero
+        assert hashed(spark, f"trimLast{n}DigitsLong", [2**61 + 5, -437], "long") == [(2**61 + 5) // 10**n, int(-437 / 10**n)]
+        assert hashed(spark, f"trimLast{n}DigitsDbl", [-437.0, 437.0], "double") == [math.floor(-437 / 10**n), 437 // 10**n]
 
 
 def test_ranges_and_signs(spark):
@@ -48,6 +67,7 @@ def test_ranges_and_signs(spark):
 
 
 def test_round(spark):
+    # fixed values: what the definition (half up, then the nearest long) gives at its edges
     values = [None, float("nan"), -math.inf, -1.5, -0.5, 0.0, math.nextafter(0.5, 0), 0.5, 1.5, math.inf, 2.0**53 + 2]
     assert hashed(spark, "round", values, "double") == [None, 0, -(2**63), -1, 0, 0, 0, 1, 2, 2**63 - 1, 2**53 + 2]
 
@@ -82,6 +102,19 @@ def test_candidates_and_learning(spark):
     assert {(r["id"], r["z_id"]) for r in pairs.collect()} == want
 
 
+def test_hot_blocks_are_dealt(spark):
+    """A block above the bound gives the same pairs from several tasks, within one table and between two."""
+    rows = [(i, "hot" if i % 3 else f"c{i % 7}", "ab"[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, b string, source string")
+    for bound in (1000, 20):
+        got = [(r["id"], r["z_id"]) for r in blocking.candidate_pairs(df, None, "b", "id", part_rows=bound).collect()]
+        assert len(got) == len(set(got)) and set(got) == {(i, j) for i, x, _ in rows for j, y, _ in rows if i < j and x == y}
+        got = [(r["id"], r["z_id"]) for r in blocking.candidate_pairs(df, df, "b", "id", part_rows=bound).collect()]
+        assert len(got) == len(set(got)) and set(got) == {(i, j) for i, x, _ in rows for j, y, _ in rows if x == y}
+        got = blocking.candidate_pairs(df, None, "b", "id", "z_", "source", bound).count()
+        assert got == sum(i < j and x == y and s != t for i, x, s in rows for j, y, t in rows)
+
+
 def test_preprocess(spark):
     df = spark.createDataFrame([(" The Cat AND dog ",), (None,), ("",)], "v string").coalesce(1)
     assert [r[0] for r in df.select(stop_words(F.col("v"), r"(?i)\b(?:the|and)\b")).collect()] == ["  Cat  dog ", None, ""]

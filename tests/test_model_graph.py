@@ -1,18 +1,29 @@
 import itertools
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from kinlink.operators import graph, model
+from kinlink.operators import graph, model, registry
 from kinlink.operators.registry import Policy
 from kinlink.plans import evidence, phases
 from kinlink.sources import io
+from kinlink.sources.stash import stash
+
+
+def test_optimizer_status():
+    assert model.optimizer_status([0.7, 0.5, 0.5 - 1e-9], 2, 50, 1e-6) == "converged"
+    assert model.optimizer_status([0.7, 0.5, 0.4], 50, 50, 1e-6) == "max-iter-exhausted"
+    assert model.optimizer_status([0.7, 0.5, 0.4], 2, 50, 1e-6) == "line-search-stalled"
+    assert model.optimizer_status([0.7, float("nan")], 50, 50, 1e-6) == "line-search-stalled"
+    assert model.optimizer_status([], 0, 50, 1e-6) == "converged"
 
 
 def test_polynomial_order(spark):
+    # fixed values: the order of the terms, and the number of terms of 20 features
     assert model.term_paths(2, 3) == [(0,), (0, 0), (0, 0, 0), (1,), (0, 1), (0, 0, 1), (1, 1), (0, 1, 1), (1, 1, 1)]
-    assert len(model.term_paths(20, 3)) == model.expected_terms(20, 3) == 1770
+    assert len(model.term_paths(20, 3)) == sum(math.comb(19 + d, d) for d in (1, 2, 3)) == 1770
     from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
@@ -69,7 +80,7 @@ def test_non_finite_policy(spark):
     df = spark.createDataFrame([(float("nan"), 1.0), (1.0, 0.0), (2.0, 1.0), (0.5, 0.0)], "a double, label double")
     with pytest.raises(Exception, match="not finite"):
         model.fit(df, ["a"], degree=1, regularizations=[0.1])
-    assert model.fit(df, ["a"], degree=1, policy=Policy(strict=False), regularizations=[0.1]).features == ["a"]
+    assert model.fit(df, ["a"], degree=1, policy=Policy("REWRITE"), regularizations=[0.1]).features == ["a"]
 
 
 def test_standardize(spark):
@@ -117,7 +128,7 @@ def test_fingerprints(spark):
     assert one == two and one["rows"] == 3
     assert evidence.output_fingerprint(df.limit(2)).first() != one
     assert evidence.plan_fingerprint(df.select("x")) == evidence.plan_fingerprint(df.select("x"))
-    notes = evidence.Diagnostics()
+    notes = registry.Diagnostics()
     assert notes.note("x", rows=1) and not notes.note("x", rows=1)
     assert evidence.decisions(["JaccSimFunction", "nope"]) == {"JaccSimFunction": "rewrite", "nope": "unsupported"}
 
@@ -146,13 +157,17 @@ def test_phases(spark):
     names = ["alice", "bruno", "carla", "diego", "elena", "fabio", "greta", "heinz"]
     marked = [(2 * i + k, 1, f"m{i}", n + "x" * k, str(i), "j") for i, n in enumerate(names) for k in (0, 1)]
     marked += [(100 + 2 * i + k, 0, f"n{i}", names[(i + k * 3) % 8], str(i + k), "j") for i in range(8) for k in (0, 1)]
-    frame = spark.createDataFrame(marked, "z_zid long, z_isMatch int, z_cluster string, name string, zip string, junk string")
+    raw = spark.createDataFrame(marked, "z_zid long, z_isMatch int, z_cluster string, name string, zip string, junk string")
+    with pytest.raises(registry.GuardViolation):  # rows that are still Python objects
+        phases.train(raw, raw, config)
+    frame = stash(raw, "marked").df
     records = frame.where("z_zid < 16").drop("z_isMatch", "z_cluster")
     fitted, tree = phases.train(frame, records, config, regularizations=[0.01], degree=1, max_iter=20)
     found = {r["z_zid"]: r["z_cluster"] for r in phases.match(records, config, fitted, tree).collect()}
     assert found == {i: i - i % 2 for i in range(16)}
     two = records.withColumn("z_source", F.when(F.col("z_zid") % 2 == 0, "a").otherwise("b"))
-    assert phases.link(two, config, fitted, tree).count() == 16
+    linked = phases.link(two, config, fitted, tree)
+    assert linked.count() == 16 and {r["z_zid"] for r in phases.representatives(linked).collect()} == set(range(0, 16, 2))
     pairs = phases.find_training_data(records, config, fitted, tree, most=3)
     labelled = phases.label(pairs, spark.createDataFrame([(pairs.first()["z_cluster"], 1)], "z_cluster string, z_isMatch int"))
     assert sorted(r["z_isMatch"] for r in labelled.collect()) == [1, 2, 2]
