@@ -27,13 +27,13 @@ class Labels:
                 label[:] = up
 
 
-def whole_groups(batches, rows: int, group: str = "grp"):
-    """Tables of about ``rows`` rows, cut between groups; the input is sorted by group."""
+def whole_groups(batches, rows: int, group: str = "grp", most_bytes: int = 1 << 62):
+    """Tables of about ``rows`` rows or ``most_bytes`` bytes, cut between groups; the input is sorted by group."""
     held, n = [], 0
     for b in batches:
         held.append(pa.Table.from_batches([b]))
         n += b.num_rows
-        if n < rows:
+        if n < rows and sum(t.nbytes for t in held) < most_bytes:
             continue
         table = pa.concat_tables(held).combine_chunks()
         values = table.column(group).to_numpy()
