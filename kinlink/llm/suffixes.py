@@ -6,16 +6,19 @@ removed; overlaps count and all strings are judged on the input.
 1. Equal texts are folded to one with its number of copies.
 2. Each window of ``length`` bytes has the smallest hash of its 32-byte seeds as its key. Consecutive windows with
    one key form a region. Equal windows have equal keys, so windows can repeat only between regions of one key; a
-   region that occurs once, under a key that no other region has, is not looked at again.
+   region that occurs once, under a key that no other region has, is not looked at again. Regions are equal where key, length
+   and a 128-bit hash are.
 3. The distinct regions of a key go to a shard. A shard sorts the suffixes of its bytes by Larsson-Sadakane
    refinement, takes common prefixes by Kasai's walk and marks windows next to which a common prefix of ``length``
    bytes or more lies.
-4. A key with more bytes than ``shard_bytes`` is dealt to several shards. Each gives the sorted digests of its distinct windows,
+4. A key with more bytes than ``shard_bytes`` is dealt to several shards. Each gives the sorted 128-bit digests of its distinct windows,
    and these are merged by binary search, one part of the digests a task.
 5. Marked windows go back to all texts that hold the region; removed runs are their union.
 
 Defined cases: null is the empty text; texts shorter than ``length`` lose nothing; repeated rows and null keys each get
-their own result row; an empty table gives an empty result; extra columns are ignored; texts are read whole.
+their own result row; an empty table gives an empty result; extra columns are ignored, whatever their names; texts are read whole. A text
+is looked at ``CHUNK`` bytes at a time, with the bytes that the last windows reach into, so that memory beyond the text itself
+and what is kept of it does not follow its length.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ LENGTH = 400
 SEED = 32
 MOST_WINDOWS = 4096
 SHARD_BYTES = 2 << 20
+CHUNK = 1 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -196,28 +200,22 @@ def repeated_windows(parts: list[bytes], sizes: list[int], length: int = LENGTH)
     return twice[where], where
 
 
-def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.diff(np.r_[0, flags.astype(np.int8), 0])
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
-def _intervals(keys: list, prints: list, sizes: list[int], flags: np.ndarray) -> pa.Table:
-    """Rows (key, region, at, n): runs of marked windows of each region."""
-    out = ([], [], [], [])
-    low = 0
-    for key, print_, size in zip(keys, prints, sizes):
-        for a, b in zip(*(x.tolist() for x in _runs(flags[low : low + size]))):
-            for column, value in zip(out, (key, print_, a, b - a)):
-                column.append(value)
-        low += size
-    return pa.table({n: pa.array(c, t) for n, c, t in zip(("key", "region", "at", "n"), out, (pa.int64(),) * 4)})
+def _intervals(table: pa.Table, flags: np.ndarray) -> pa.Table:
+    """Rows (key, r1, r2, at, n): runs of marked windows of each region."""
+    size = table.column("n").to_numpy()
+    ends = np.cumsum(size)
+    # a run ends with its region
+    start = np.flatnonzero(flags & ~np.r_[False, flags[:-1]] | flags & np.isin(np.arange(len(flags)), ends - size))
+    stop = np.flatnonzero(flags & ~np.r_[flags[1:], False] | flags & np.isin(np.arange(len(flags)), ends - 1)) + 1
+    owner = np.searchsorted(ends, start, "right")
+    held = table.select(["key", "r1", "r2"]).take(pa.array(owner))
+    return held.append_column("at", pa.array(start - (ends - size)[owner])).append_column("n", pa.array(stop - start))
 
 
 def _shard(length: int):
     def run(table: pa.Table) -> pa.Table:
-        keys, prints, sizes, parts = (table.column(c).to_pylist() for c in ("key", "region", "n", "bytes"))
-        flags, _ = repeated_windows(parts, sizes, length)
-        return _intervals(keys, prints, sizes, flags)
+        flags, _ = repeated_windows(table.column("bytes").to_pylist(), table.column("n").to_pylist(), length)
+        return _intervals(table, flags)
 
     return run
 
@@ -229,35 +227,27 @@ def _dealt_shard(length: int):
     """
 
     def run(table: pa.Table) -> pa.Table:
-        keys, prints, sizes, parts = (table.column(c).to_pylist() for c in ("key", "region", "n", "bytes"))
+        parts, sizes = table.column("bytes").to_pylist(), table.column("n").to_pylist()
         flags, where = repeated_windows(parts, sizes, length)
-        marks = _intervals(keys, prints, sizes, flags)
+        marks = _intervals(table, flags)
         data = memoryview(b"".join(parts))
-        digests = np.array([xxhash.xxh3_64_intdigest(data[i : i + length]) for i in where.tolist()], np.uint64)
+        digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[i : i + length]) for i in where.tolist()]), "S16")
         digests, first = np.unique(digests, return_index=True)
         source = np.repeat(np.arange(len(sizes)), sizes)
         low, alone = np.cumsum(sizes) - np.asarray(sizes), ~flags[first]
-        n, shard = len(digests), table.column("shard")[0].as_py()
-        at = pa.array(np.where(alone, first - low[source[first]], 0), mask=~alone)
-        runs = pa.table(
-            {
-                "key": pa.array(np.asarray(keys, np.int64)[source[first]]),
-                "region": pa.array(np.asarray(prints, np.int64)[source[first]]),
-                "at": at,
-                "n": pa.array(np.ones(n, np.int64)),
-                "digest": pa.array(digests.view(np.int64)),
-                "shard": pa.array(np.full(n, shard, np.int64)),
-            }
-        )
-        nulls = pa.nulls(marks.num_rows, pa.int64())
-        return pa.concat_tables([marks.append_column("digest", nulls).append_column("shard", nulls), runs.select([*marks.column_names, "digest", "shard"])])
+        n = len(digests)
+        runs = table.select(["key", "r1", "r2"]).take(pa.array(source[first]))
+        runs = runs.append_column("at", pa.array(np.where(alone, first - low[source[first]], 0), mask=~alone)).append_column("n", pa.array(np.ones(n, np.int64)))
+        whole = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, pa.py_buffer(digests.tobytes())]).cast(pa.binary())
+        runs = runs.append_column("digest", whole).append_column("shard", pa.array(np.full(n, table.column("shard")[0].as_py(), np.int64)))
+        return pa.concat_tables([marks.append_column("digest", pa.nulls(marks.num_rows, pa.binary())).append_column("shard", pa.nulls(marks.num_rows, pa.int64())), runs])
 
     return run
 
 
 def merge_runs(digest: np.ndarray, shard: np.ndarray) -> np.ndarray:
     """Which windows of several shards' sorted runs occur in another run: each run is looked up in the merged others by binary search."""
-    merged = np.empty(0, np.uint64)
+    merged = np.empty(0, digest.dtype)
     met: list[np.ndarray] = []
     for s in np.unique(shard):
         values = np.unique(digest[shard == s])
@@ -277,16 +267,16 @@ def merge_runs(digest: np.ndarray, shard: np.ndarray) -> np.ndarray:
 
 
 def _merge_group(table: pa.Table) -> pa.Table:
-    hit = merge_runs(table.column("digest").to_numpy().view(np.uint64), table.column("shard").to_numpy())
+    hit = merge_runs(np.frombuffer(b"".join(table.column("digest").to_pylist()), "S16"), table.column("shard").to_numpy())
     hit &= table.column("at").is_valid().to_numpy()
-    return table.filter(pa.array(hit)).select(["key", "region", "at", "n"])
+    return table.filter(pa.array(hit)).select(["key", "r1", "r2", "at", "n"])
 
 
 def _join_marks(batches):
     """Marks of a region, gathered and joined into maximal runs."""
     for b in batches:
         out = []
-        for marks in b.column(2).to_pylist():
+        for marks in b.column(3).to_pylist():
             runs: list[list[int]] = []
             for low, high in sorted((m["at"], m["at"] + m["n"]) for m in marks):
                 if runs and low <= runs[-1][1]:
@@ -294,7 +284,7 @@ def _join_marks(batches):
                 else:
                     runs.append([low, high])
             out.append([{"at": low, "n": high - low} for low, high in runs])
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())])))], names=["key", "region", "marks"])
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())])))], names=["key", "r1", "r2", "marks"])
 
 
 def _texts(batches):
@@ -316,33 +306,38 @@ def _open(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def _find_regions(length: int):
+def _find_regions(length: int, chunk: int):
+    names = ["text_id", "key", "r1", "r2", "lo", "n", "again", "copies"]
+
     def run(batches):
         for b in batches:
             for text_id, packed, copies in zip(*(b.column(i).to_pylist() for i in range(3))):
                 data = _open(packed)
-                keys, start, size, again = regions(data, length)
-                if not len(keys):
-                    continue
                 view = memoryview(data)
-                prints = np.array([xxhash.xxh3_64_intdigest(view[a : a + n + length - 1]) for a, n in zip(start.tolist(), size.tolist())], np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(keys), text_id, np.int64)), pa.array(keys.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(again), pa.array(np.full(len(keys), copies, np.int64))],
-                    names=["text_id", "key", "region", "lo", "n", "again", "copies"],
-                )
+                for begin in range(0, max(1, len(data) - length + 1), chunk):
+                    keys, start, size, again = regions(data[begin : begin + chunk + length - 1] if len(data) > chunk else data, length)
+                    if not len(keys):
+                        continue
+                    start = start + begin
+                    prints = np.frombuffer(b"".join([xxhash.xxh3_128_digest(view[a : a + n + length - 1]) for a, n in zip(start.tolist(), size.tolist())]), "<i8").reshape(-1, 2)
+                    m = len(keys)
+                    columns = [np.full(m, text_id, np.int64), keys.view(np.int64), prints[:, 0].copy(), prints[:, 1].copy(), start, size.astype(np.int32), again, np.full(m, copies, np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return run
 
 
 def _cut_out(length: int):
+    names = ["key", "r1", "r2", "n", "shard", "dealt", "bytes"]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+
     def run(batches):
         for b in batches:
             for packed, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 data = _open(packed)
-                out = [(w["key"], w["region"], w["n"], w["shard"], w["dealt"], data[w["lo"] : w["lo"] + w["n"] + length - 1]) for w in wanted]
-                columns = list(zip(*out))
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "region", "n", "shard", "dealt", "bytes"])
+                for low in range(0, len(wanted), 2000):
+                    out = [(w["key"], w["r1"], w["r2"], w["n"], w["shard"], w["dealt"], data[w["lo"] : w["lo"] + w["n"] + length - 1]) for w in wanted[low : low + 2000]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     return run
 
@@ -380,37 +375,43 @@ def _judge(length: int, with_text: bool):
     return run
 
 
-def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, shard_bytes: int = SHARD_BYTES, with_text: bool = False) -> DataFrame:
+def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH, shard_bytes: int = SHARD_BYTES, with_text: bool = False, chunk: int = CHUNK) -> DataFrame:
     """Rows (key, n_bytes, n_removed, n_spans, kept_sha256, kept, spans), one for each row; ``kept`` only ``with_text``."""
     if length < SEED + 1:
         raise ValueError(f"the length must exceed the seeds' {SEED} bytes")
     bytes_of = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     folded = map_rows(df.select(text), _texts, "digest binary, packed binary, copies long").groupBy("digest").agg(F.any_value("packed").alias("packed"), F.sum("copies").alias("copies"))
     texts = stash(folded.withColumn("text_id", F.monotonically_increasing_id()), "texts").df
-    found = stash(map_rows(texts.select("text_id", "packed", "copies"), _find_regions(length), "text_id long, key long, region long, lo int, n int, again boolean, copies long"), "regions").df
-    distinct = found.groupBy("key", "region").agg(F.sum("copies").alias("copies"), F.min(F.struct("text_id", "lo", "n")).alias("one"), F.max("again").alias("again"))
-    by_key = distinct.groupBy("key").agg(F.count("*").alias("regions"), F.sum(F.col("one.n") + F.lit(length - 1)).alias("bytes"))
+    region = ["key", "r1", "r2", "n"]
+    found = stash(map_rows(texts.select("text_id", "packed", "copies"), _find_regions(length, chunk), "text_id long, key long, r1 long, r2 long, lo long, n int, again boolean, copies long"), "regions").df
+    distinct = found.groupBy(*region).agg(F.sum("copies").alias("copies"), F.min(F.struct("text_id", "lo")).alias("one"), F.max("again").alias("again"))
+    by_key = distinct.groupBy("key").agg(F.count("*").alias("regions"), F.sum(F.col("n") + F.lit(length - 1)).alias("bytes"))
     suspect = distinct.join(by_key, "key").where((F.col("regions") > 1) | F.col("again") | (F.col("copies") > 1))
-    suspect = stash(suspect.select("key", "region", "copies", "one", "bytes", ((F.col("regions") > 1) | F.col("again")).alias("sorted")), "suspects").df
-    whole = suspect.where("copies > 1").select("key", "region", F.lit(0).cast("long").alias("at"), F.col("one.n").cast("long").alias("n"))
+    suspects = stash(suspect.select(*region, "copies", "one", "bytes", ((F.col("regions") > 1) | F.col("again")).alias("sorted")), "suspects")
+    suspect = suspects.df
+    whole = suspect.where("copies > 1").select("key", "r1", "r2", F.lit(0).cast("long").alias("at"), F.col("n").cast("long").alias("n"))
     # regions to sort, by the shard they go to
-    total = suspect.where("sorted").agg(F.sum(F.col("one.n") + F.lit(length - 1))).first()[0] or 0
+    total = suspect.where("sorted").agg(F.sum(F.col("n") + F.lit(length - 1))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     dealt = F.col("bytes") > shard_bytes
-    shard = F.when(dealt, F.xxhash64("key", F.pmod(F.xxhash64("region", F.lit(1)), F.ceil(F.col("bytes") / shard_bytes)))).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)))
-    wanted = suspect.where("sorted").select(F.col("one.text_id").alias("text_id"), F.struct("key", "region", F.col("one.lo").alias("lo"), F.col("one.n").alias("n"), shard.alias("shard"), dealt.alias("dealt")).alias("w"))
+    shard = F.when(dealt, F.xxhash64("key", F.pmod(F.xxhash64("r1", F.lit(1)), F.ceil(F.col("bytes") / shard_bytes)))).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)))
+    wanted = suspect.where("sorted").select(F.col("one.text_id").alias("text_id"), F.struct("key", "r1", "r2", F.col("one.lo").alias("lo"), "n", shard.alias("shard"), dealt.alias("dealt")).alias("w"))
     wanted = wanted.groupBy("text_id").agg(F.collect_list("w").alias("wanted"))
-    pieces = stash(map_rows(texts.join(wanted, "text_id").select("packed", "wanted"), _cut_out(length), "key long, region long, n long, shard long, dealt boolean, bytes binary"), "pieces").df
-    marks = "key long, region long, at long, n long"
+    cut = stash(map_rows(texts.join(wanted, "text_id").select("packed", "wanted"), _cut_out(length), "key long, r1 long, r2 long, n long, shard long, dealt boolean, bytes binary"), "pieces")
+    pieces = cut.df
+    marks = "key long, r1 long, r2 long, at long, n long"
     here = pieces.where("not dealt").groupBy("shard").applyInArrow(_shard(length), marks)
-    runs = stash(pieces.where("dealt").groupBy("shard").applyInArrow(_dealt_shard(length), f"{marks}, digest long, shard long"), "runs").df
+    sorted_runs = stash(pieces.where("dealt").groupBy("shard").applyInArrow(_dealt_shard(length), f"{marks}, digest binary, shard long"), "runs")
+    runs = sorted_runs.df
     ranges = F.ceil(F.lit(max(total, 1)) / shard_bytes).cast("long")
     across = runs.where("digest is not null").withColumn("range", F.pmod(F.xxhash64("digest"), ranges)).groupBy("range").applyInArrow(_merge_group, marks)
-    marked = whole.unionByName(here).unionByName(runs.where("digest is null").select("key", "region", "at", "n")).unionByName(across)
-    gathered = marked.groupBy("key", "region").agg(F.collect_list(F.struct("at", "n")).alias("marks"))  # at most a region's windows
-    marked = stash(gathered.mapInArrow(_join_marks, "key long, region long, marks array<struct<at:long,n:long>>"), "marks").df
+    marked = whole.unionByName(here).unionByName(runs.where("digest is null").select("key", "r1", "r2", "at", "n")).unionByName(across)
+    gathered = marked.groupBy("key", "r1", "r2").agg(F.collect_list(F.struct("at", "n")).alias("marks"))  # at most a region's windows
+    marked = stash(gathered.mapInArrow(_join_marks, "key long, r1 long, r2 long, marks array<struct<at:long,n:long>>"), "marks").df
+    for done in (suspects, cut, sorted_runs):
+        done.drop()
     moved = F.transform("marks", lambda m: F.struct((F.col("lo") + m["at"]).alias("at"), m["n"].alias("n")))
-    placed = found.select("text_id", "key", "region", "lo").join(marked, ["key", "region"]).groupBy("text_id").agg(F.flatten(F.collect_list(moved)).alias("marks"))
+    placed = found.select("text_id", "key", "r1", "r2", "lo").join(marked, ["key", "r1", "r2"]).groupBy("text_id").agg(F.flatten(F.collect_list(moved)).alias("marks"))
     judged = map_rows(
         texts.join(placed, "text_id", "left").select("digest", "packed", "marks"),
         _judge(length, with_text),
@@ -422,4 +423,4 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", lengt
 def op2_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     """Query op2: strings of 400 bytes over all documents."""
     found = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", (F.col("n_removed") > 0).alias("repeats"))
