@@ -474,22 +474,3 @@ def test_vectors_shards_follow_their_number(spark):
     finally:
         vectors.CENTROIDS = before
     assert (got.n_links.to_numpy() <= want).all() and got.n_links.sum() >= 0.9 * want.sum()
-
-
-# --- pipeline
-
-
-def test_pipeline(spark, data):
-    import corpus_pipeline
-    from kinlink.sources.stash import stash
-
-    docs = spark.read.parquet(f"{data}/documents.parquet")
-    columns, seen = docs.columns, docs.count()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stash(stage(spark, docs, data), name).df
-        assert docs.columns == columns
-        assert 0 < docs.count() <= seen
-        seen = docs.count()
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, data)
-    assert last.select("doc_id").distinct().count() == seen
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "mixture", "packing"]

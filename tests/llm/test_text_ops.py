@@ -102,8 +102,8 @@ def test_repeated_strings(spark):
     texts = [None, "", "a" * 900, "ab" * 400, "x"] + [words(rng.randrange(80)) + rng.choice(shared)[rng.randrange(40) :] + words(rng.randrange(60)) for _ in range(40)]
     texts += texts[:12]
     want = brute_repeats(texts, 100)
-    for shard_bytes in (1 << 20, 2000):  # the second deals keys to several shards
-        got = suffixes.remove_repeats(frame(spark, list(enumerate(texts))).withColumn("digest", F.lit(0)), length=100, shard_bytes=shard_bytes, with_text=True).toPandas().sort_values("doc_id")
+    for shard_bytes, chunk in ((1 << 20, 1 << 20), (2000, 150)):  # the second deals keys to several shards, and texts to chunks
+        got = suffixes.remove_repeats(frame(spark, list(enumerate(texts))).withColumn("digest", F.lit(0)), length=100, shard_bytes=shard_bytes, chunk=chunk, with_text=True).toPandas().sort_values("doc_id")
         assert list(zip(got.n_bytes, got.n_removed, got.n_spans, got.kept_sha256)) == want
         assert [hashlib.sha256(k).hexdigest() for k in got.kept] == [w[3] for w in want]
     assert suffixes.remove_repeats(frame(spark, [])).count() == 0
