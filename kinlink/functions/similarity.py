@@ -206,48 +206,40 @@ def jaro(left: Column, right: Column) -> Column:
 def affine_gap(left: Column, right: Column) -> Column:
     """Local alignment with affine gaps: the best cell over five times the shorter length.
 
-    A row is one array of (m, s) cells. The fold along a row gets, beside the character, the cell above and the cell
-    before that, so no cell is looked up by its index; letters of one near group share a class character.
+    Cells are filled diagonal by diagonal, as no cell needs another one of its own: each diagonal is one array made from the two
+    before it, indexed by the letter of the left side. What lies outside has no element, which counts as 0 here. Letters of one near group
+    share a class character.
     """
     members = "".join(NEAR_GROUPS)
     classes = "".join(chr(0xF000 + i) * len(g) for i, g in enumerate(NEAR_GROUPS))
-
-    def letters(units: Column) -> Column:
-        return F.zip_with(characters(units), characters(F.translate(units, members, classes)), lambda c, k: F.struct(c.alias("c"), k.alias("k")))
-
-    cell = "struct<m:double,s:double>"
-    nothing = F.struct(F.lit(0.0).alias("m"), F.lit(0.0).alias("s"))
+    zero, none = F.lit(0.0), F.array().cast("array<double>")
 
     def best(x: Column) -> Column:
-        def row(state: Column, a: Column) -> Column:
-            start = F.struct(F.array().cast(f"array<{cell}>").alias("row"), nothing["m"].alias("m"), F.lit(0.0).alias("t"), state["best"].alias("best"))
-            columns = F.zip_with(
-                F.zip_with(x["b"], state["row"], lambda b, up: F.struct(b.alias("b"), up.alias("up"))),
-                F.concat(F.array(nothing), F.slice(state["row"], 1, F.greatest(F.size(x["b"]) - 1, F.lit(0)))),
-                lambda p, before: F.struct(p["b"].alias("b"), p["up"].alias("up"), before.alias("before")),
+        def step(state: Column, d: Column) -> Column:
+            def match(i: Column) -> Column:
+                other = d - i - 1
+                alike = F.when(F.get(x["a"], i - 1) == F.get(x["b"], other), F.lit(SAME)).when(F.get(x["ka"], i - 1) == F.get(x["kb"], other), F.lit(NEAR)).otherwise(F.lit(OTHER))
+                return F.greatest(zero, F.greatest(zero, F.get(state["m2"], i - 2), F.get(state["s2"], i - 2), F.get(state["t1"], i - 1)) + alike)
+
+            down = F.transform(x["i"], lambda i: F.greatest(zero, F.get(state["m1"], i - 2) - GAP_OPEN, F.get(state["s1"], i - 2) - GAP_EXTEND))
+            along = F.transform(x["i"], lambda i: F.greatest(zero, F.get(state["m1"], i - 1) - GAP_OPEN, F.get(state["t1"], i - 1) - GAP_EXTEND))
+            return let(
+                F.transform(x["i"], match),
+                # the gaps' cells are below the match that they start from, so the best cell is a match
+                lambda m: F.struct(state["m1"].alias("m2"), state["s1"].alias("s2"), m.alias("m1"), down.alias("s1"), along.alias("t1"), F.greatest(state["best"], F.array_max(m)).alias("best")),
             )
 
-            def along(now: Column, at: Column) -> Column:
-                alike = F.when(a["c"] == at["b"]["c"], F.lit(SAME)).when(a["k"] == at["b"]["k"], F.lit(NEAR)).otherwise(F.lit(OTHER))
-                m = F.greatest(F.lit(0.0), F.greatest(at["before"]["m"], at["before"]["s"], now["t"]) + alike)
-                s = F.greatest(F.lit(0.0), at["up"]["m"] - GAP_OPEN, at["up"]["s"] - GAP_EXTEND)
-                t = F.greatest(F.lit(0.0), now["m"] - GAP_OPEN, now["t"] - GAP_EXTEND)
-                return let(
-                    F.struct(m.alias("m"), s.alias("s"), t.alias("t")),
-                    lambda v: F.struct(
-                        F.concat(now["row"], F.array(F.struct(v["m"].alias("m"), v["s"].alias("s")))).alias("row"), v["m"].alias("m"), v["t"].alias("t"), F.greatest(now["best"], v["m"], v["s"], v["t"]).alias("best")
-                    ),
-                )
-
-            return F.aggregate(columns, start, along, lambda end: F.struct(end["row"].alias("row"), end["best"].alias("best")))
-
-        first = F.struct(F.transform(x["b"], lambda _: nothing).alias("row"), F.lit(0.0).alias("best"))
-        return F.aggregate(x["a"], first, row, lambda end: end["best"])
+        first = F.struct(none.alias("m2"), none.alias("s2"), none.alias("m1"), none.alias("s1"), none.alias("t1"), zero.alias("best"))
+        return F.aggregate(F.sequence(F.lit(2), F.size(x["a"]) + F.size(x["b"])), first, step, lambda end: end["best"])
 
     def score(x: Column) -> Column:
         size = F.least(F.length(x["a"]), F.length(x["b"])) * SAME
-        aligned = let(F.struct(letters(x["a"]).alias("a"), letters(x["b"]).alias("b")), best)
-        return F.when(x["a"] == x["b"], F.lit(1.0)).otherwise(F.coalesce(F.try_divide(aligned, size), F.lit(0.0)))
+        letters = F.struct(
+            F.sequence(F.lit(1), F.length(x["a"])).alias("i"),
+            characters(x["a"]).alias("a"), characters(x["b"]).alias("b"),
+            characters(F.translate(x["a"], members, classes)).alias("ka"), characters(F.translate(x["b"], members, classes)).alias("kb"),
+        )
+        return F.when(x["a"] == x["b"], F.lit(1.0)).when(size == 0, F.lit(0.0)).otherwise(let(letters, best) / size)
 
     pair = F.struct(unit_lower(unit_text(_text(left))).alias("a"), unit_lower(unit_text(_text(right))).alias("b"))
     return gate(left, right, let(pair, score))
