@@ -6,8 +6,9 @@ profile. A document's own ranked grams are compared with each profile: a gram co
 its two ranks, a gram that the profile lacks costs the profile's length.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; ties between languages go to
-the alphabetically first; equal counts rank by the gram's code; extra columns are ignored; an empty
-training table gives ``und`` everywhere. Texts are read whole, in pieces cut between letter runs.
+the alphabetically first; equal counts rank by the gram's code; repeated rows count as often as they occur in training and are
+predicted alike, null keys keep their rows; extra columns are ignored; an empty
+training table gives ``und`` everywhere, an empty table to predict an empty result. Texts are read whole, in pieces cut between letter runs.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ dealt to parts, and each pair of parts, one as tree and one as queries, becomes
 Trees are sent with the groups' queries rather than to every task, since together they grow with the corpus; a task
 holds a few groups at a time. A shard reports no pairs but a spanning forest of its links, at most one row a fingerprint.
 Defined cases: null and empty texts have fingerprint zero, linked like any other; repeated rows share one fingerprint;
-an empty table gives an empty result; extra columns are ignored; texts are read whole.
+null keys keep their rows, and a component is null only where all its keys are;
+an empty table gives an empty result; extra columns are ignored; texts are read whole, a bounded piece of shingles at a time.
 """
 
 from __future__ import annotations

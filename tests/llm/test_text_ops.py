@@ -294,12 +294,14 @@ def test_links_of_planted_fingerprints(spark, leaf):
 def test_simhash_components(spark):
     rng = random.Random(2)
     base = [" ".join(f"w{rng.randrange(500)}" for _ in range(200)) for _ in range(10)]
-    rows = [(i, base[i % 10] + (" extra" if i % 3 else "")) for i in range(40)] + [(50, None), (51, ""), (52, "  "), (3, base[3] + " extra")]
+    rows = [(i, base[i % 10] + (" extra" if i % 3 else "")) for i in range(40)] + [(50, None), (51, ""), (52, "  "), (3, base[3] + " extra"), (60, "long words " * 60_000)]
     got = {(r["doc_id"], r["fp"]): r["component"] for r in simhash.near_duplicates(frame(spark, rows).withColumn("fp", F.lit(0)), size=3).collect()}
     prints = [plain_fingerprint(t) for _, t in rows]
     want = components([(k, i) for i, (k, _) in enumerate(rows)], lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 3)
     signed = np.array(prints, np.uint64).view(np.int64).tolist()
     assert got == {(k, signed[i]): want[k, i][0] for i, (k, _) in enumerate(rows)}
+    unnamed = simhash.near_duplicates(frame(spark, [(None, base[0]), (None, base[1]), (7, base[1])])).collect()
+    assert sorted((r["doc_id"] or 0, r["component"] or 0) for r in unnamed) == [(0, 0), (0, 7), (7, 7)]
 
 
 def test_keep_first(spark):
