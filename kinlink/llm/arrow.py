@@ -30,7 +30,3 @@ def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     """Rows of the batches as tuples, column order kept."""
     for batch in batches:
         yield from zip(*(column.to_pylist() for column in batch.columns))
-
-
-def batch(columns: dict, types: dict[str, pa.DataType]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[k], types[k]) for k in types], names=list(types))

@@ -1,22 +1,25 @@
 """Line deduplication by an exact set-similarity join.
 
-A line is the set of its five-word shingles (a shorter line is one token: all its words); words are split at ASCII white space. A line goes when an earlier
-line, by (key, text hash, line number), has Jaccard similarity of ``threshold`` or more, equal sets included.
-
-1. Every line gets a 128-bit hash of its token set; lines of equal sets are one distinct line from here on. The same pass
-   counts tokens by hash bucket; these counts over all documents, a table of fixed size, give the rarity order.
+A line is the set of its five-word shingles (a shorter line is one token: all its words); words are split at ASCII white space. A line goes
+when an earlier line, by (key, text hash, line number), has Jaccard similarity of ``threshold`` or more, equal sets included. Keys that
+are not integers are ordered by their hash.
+
+1. Every line gets a 128-bit hash of its token set; lines of equal sets are one class from here on. A task folds its equal
+   lines first, so a line that is everywhere comes once from each run; the rest travels as sorted compressed runs, a block for each
+   range of hashes. The same pass counts tokens by hash bucket; these counts over all documents, a table of fixed size,
+   give the rarity order.
 2. Prefix filter: two sets as alike as asked share one of the rarest ``n - ceil(threshold n) + 1`` tokens of each. The prefix
-   tokens travel as sorted compressed runs, a block for each part of the hash range; tokens of one line only are
-   dropped, and so are tokens whose lines are those of another token.
-3. The token sets of the lines that are left are fetched from their documents. A token's lines are compared, each with
-   earlier ones, by prefix, length and positional filters, and verified exactly. A token with more than ``leaf`` lines is
-   dealt to parts, and each pair of parts is a group of its own. A group reports lines to remove, never pairs.
-4. Lines to remove go back to their documents.
-
-Lines with fewer than four tokens can only match equal sets, so step 2 has none of their tokens.
+   tokens travel as runs too; tokens of one line only are dropped, and so are tokens whose lines are those of another token.
+3. The blocks of lines give the later members of each class, and where the first one lies if its class shares a prefix token.
+4. The token sets of these lines are made from their documents. A token's lines are compared, each with earlier ones, by
+   prefix, length and positional filters, and verified exactly. A token with more than ``leaf`` lines or ``LEAF_TOKENS`` tokens is
+   dealt to parts, and each pair of parts is a group of its own. A group reports classes to remove, never pairs.
+5. Lines to remove go back to their documents.
+
+Lines with fewer than four tokens can only match equal sets, so step 2 has none of their tokens. Memory follows the longest line.
 Defined cases: null text stays null with no lines; blank lines have no tokens and stay; rows that repeat key and text
 count as one document and are treated alike; equal keys with other texts are ordered by the text's hash; null keys come first;
-an empty table gives an empty result; extra columns are kept; texts are read whole.
+an empty table gives an empty result; extra columns are kept, whatever their names; texts are read whole.
 """
 
 from __future__ import annotations
@@ -37,7 +40,11 @@ THRESHOLD = 0.8
 SHINGLE = 5
 SKETCH_BITS = 16
 LEAF = 1000
+LEAF_TOKENS = 1 << 19
+#: Bytes of a token's hash that travel to the comparison; two given tokens agree in them by chance once in 2 ** 48.
+TOKEN_BYTES = 6
 RUN = 1 << 19
+RUN_LINES = 1 << 18
 BLOCK = 1 << 20
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -50,11 +57,24 @@ def mix(x: np.ndarray, factor=_M2) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _M1, _M3)  # a value for each byte
-_PLACE = np.cumprod(np.full(1 << 16, _M2))  # a factor for each place in a word
+_LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _M1, _M3)  # a value for each byte, none for white space
+_LETTER[_SPACE] = 0
+_PLACES = np.array([[pow(int(_M2), i, 1 << 64) for i in range(SHINGLE)]], np.uint64)[0]
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64)] * 2
 PIECE = 1 << 19
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd number and of its inverse, at least ``n`` of them; kept for the next piece."""
+    if len(_POWERS[0]) < n:
+        size = max(n, PIECE)
+        for i, base in enumerate((int(_M2), pow(int(_M2), -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps)
+    return _POWERS[0], _POWERS[1]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and where its texts end; null is empty."""
     column = column.fill_null("") if column.null_count else column
@@ -74,27 +94,19 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     start = np.flatnonzero(word & ~before)
     if not len(start):
         return start, np.empty(0, np.uint64)
-    # white space adds nothing to the word before it
-    place = np.arange(len(data)) - np.repeat(np.r_[0, start], np.diff(np.r_[0, start, len(data)]))
-    value = _LETTER[data] * _PLACE[place & (len(_PLACE) - 1)]
-    value[~word] = 0
-    return start, mix(np.add.reduceat(value, start), _M3) | np.uint64(1)
+    up, down = powers(len(data))
+    total = np.add.reduceat(_LETTER[data] * up[: len(data)], start)
+    return start, mix(total * down[start], _M3) | np.uint64(1)
 
 
 class LineTokens:
-    """Token sets of the lines of some texts: ``text`` and ``line`` number of each line, its tokens at start:start + n.
+    """Token sets of the lines of some texts: ``text`` and ``line`` number of each line, its tokens at start:start + n."""
 
-    ``wanted`` limits the lines: keys ``text << 32 | line``.
-    """
-
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, wanted: np.ndarray | None = None):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
         start, w = word_hashes(data, offsets) if len(data) else (np.empty(0, np.int64), np.empty(0, np.uint64))
         breaks = np.flatnonzero(data == 10)
         text = np.searchsorted(offsets, start, "right") - 1
         line = np.searchsorted(breaks, start) - np.searchsorted(breaks, offsets[text])
-        if wanted is not None:
-            keep = np.isin(text << 32 | line, wanted)
-            w, text, line = w[keep], text[keep], line[keep]
         fresh = np.r_[True, (text[1:] != text[:-1]) | (line[1:] != line[:-1])] if len(w) else np.empty(0, bool)
         head = np.flatnonzero(fresh)
         self.text, self.line = text[head], line[head]
@@ -106,11 +118,16 @@ class LineTokens:
         at = np.repeat(head + pad * np.arange(len(head)) - (np.cumsum(shingles) - shingles), shingles) + np.arange(shingles.sum())
         token = np.zeros(len(at), np.uint64)
         for i in range(size):
-            token = mix(token * _M3 + padded[at + i])
+            token += padded[at + i] * _PLACES[i]
+        token = mix(token, _M3)
         owner = np.repeat(np.arange(len(head)), shingles)
-        token, owner = _sorted_by(token, token, owner)
-        keep = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])] if len(token) else np.empty(0, bool)
-        self.token, self.owner = token[keep], owner[keep]
+        bits = max(1, len(head).bit_length())
+        packed = np.sort(owner.astype(np.uint64) << np.uint64(64 - bits) | token >> np.uint64(bits))
+        if (packed[1:] == packed[:-1]).any():  # most pieces have no line with a shingle twice
+            token, owner = _sorted_by(token, token, owner)
+            keep = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]
+            token, owner = token[keep], owner[keep]
+        self.token, self.owner = token, owner
         self.n = np.bincount(self.owner, minlength=len(head))
         self.start = np.cumsum(self.n) - self.n
         if len(head):
@@ -171,24 +188,131 @@ def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
     return np.where(n / (n + 1) >= threshold - 1e-12, n - need + 1, 0)
 
 
-def _lines_and_counts(batches):
-    """Rows of lines; a row without a key holds a bucket's count instead."""
-    sketch, kind = np.zeros(1 << SKETCH_BITS, np.int64), None
-    names = ["key", "h", "line", "k1", "k2", "bucket", "n"]
-    for b in batches:
-        kind = b.schema.field(0).type
-        for low, data, offsets, line in parts_of(b.column(2)):
-            found = LineTokens(data, offsets)
-            sketch += np.bincount(bucket_of(found.token), minlength=len(sketch))
-            pick = pa.array(found.text + low)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pick), b.column(1).take(pick), pa.array((found.line + line).astype(np.int32)), pa.array(found.k1.view(np.int64)), pa.array(found.k2.view(np.int64)), pa.nulls(len(pick), pa.int32()), pa.nulls(len(pick), pa.int64())],
-                names=names,
-            )
-    if kind is not None:
-        held = np.flatnonzero(sketch)
-        nulls = [pa.nulls(len(held), t) for t in (kind, pa.int64(), pa.int32(), pa.int64(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*nulls, pa.array(held.astype(np.int32)), pa.array(sketch[held])], names=names)
+def _block(values: np.ndarray, blocks: int) -> np.ndarray:
+    """The range of hashes that a value lies in."""
+    return ((values >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+
+
+def _cuts(values: np.ndarray, blocks: int):
+    """(block, low, high) of the stretches of sorted values."""
+    block = _block(values, blocks)
+    edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])[: len(block)]
+    yield from zip(block[edge].tolist(), edge.tolist(), [*edge[1:].tolist(), len(block)])
+
+
+#: A line's class (k1, k2) and place (ord, h, line).
+_LINE = [("k1", "<u8"), ("k2", "<u8"), ("ord", "<i8"), ("h", "<i8"), ("line", "<i4")]
+
+
+def _pack_lines(lines: np.ndarray) -> bytes:
+    """Columns of sorted lines, one after another."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(lines[n]).tobytes() for n, _ in _LINE))
+
+
+def _open_lines(packed: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    n = len(data) // 36
+    out, at = np.empty(n, _LINE), 0
+    for name, kind in _LINE:
+        out[name] = np.frombuffer(data, kind, n, at)
+        at += n * np.dtype(kind).itemsize
+    return out
+
+
+def fold_lines(lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first line of each class, by class, and all lines that lie elsewhere, by place."""
+    lines = lines[np.argsort(lines["k1"], kind="stable")]
+    same = lines["k1"][1:] == lines["k1"][:-1]
+    several = np.r_[same, False] | np.r_[False, same] if len(lines) else np.empty(0, bool)
+    alone, rest = lines[~several], lines[several]
+    rest = rest[np.lexsort([rest[n] for n in ("line", "h", "ord", "k2", "k1")])]
+    fresh = np.r_[True, (rest["k1"][1:] != rest["k1"][:-1]) | (rest["k2"][1:] != rest["k2"][:-1])][: len(rest)]
+    first = rest[fresh][np.cumsum(fresh) - 1]
+    later = rest[(rest["line"] != first["line"]) | (rest["h"] != first["h"]) | (rest["ord"] != first["ord"])]
+    kept = np.concatenate([alone, rest[fresh]])
+    return kept[np.argsort(kept["k1"], kind="stable")], later[np.lexsort([later[n] for n in ("line", "h", "ord")])]
+
+
+def _by_document(later: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Columns (ord, h, lines) of lines sorted by place."""
+    edge = np.flatnonzero(np.r_[True, (later["ord"][1:] != later["ord"][:-1]) | (later["h"][1:] != later["h"][:-1])][: len(later)])
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[edge, len(later)].astype(np.int32)), pa.array(np.ascontiguousarray(later["line"])))
+    return pa.array(later["ord"][edge]), pa.array(later["h"][edge]), lists
+
+
+_PASS = "kind int, a long, b long, lines array<int>, run binary"
+RUN_OF_LINES, GONE, COUNT = 0, 1, 2
+
+
+def _rows(kind: int, a, b, lines=None, run=None) -> pa.RecordBatch:
+    n = len(a)
+    columns = [pa.array(np.full(n, kind, np.int32)), a, b, pa.nulls(n, pa.list_(pa.int32())) if lines is None else lines, pa.nulls(n, pa.binary()) if run is None else run]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "a", "b", "lines", "run"])
+
+
+def _lines_and_counts(blocks: int):
+    """Rows of runs (block, lines of the run), of lines that are not the first of their class here (ord, h, lines), and of counts (bucket, n)."""
+
+    def run(batches):
+        sketch, held, n = np.zeros(1 << SKETCH_BITS, np.int64), [], 0
+
+        def flush():
+            kept, later = fold_lines(np.concatenate(held))
+            for block, low, high in _cuts(kept["k1"], blocks):
+                yield _rows(RUN_OF_LINES, pa.array([block], pa.int64()), pa.array([high - low], pa.int64()), run=pa.array([_pack_lines(kept[low:high])], pa.binary()))
+            if len(later):
+                order, h, lists = _by_document(later)
+                yield _rows(GONE, order, h, lines=lists)
+
+        for b in batches:
+            order, h = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for low, data, offsets, line in parts_of(b.column(2)):
+                found = LineTokens(data, offsets)
+                sketch += np.bincount(bucket_of(found.token), minlength=len(sketch))
+                lines = np.empty(len(found.text), _LINE)
+                lines["k1"], lines["k2"], lines["line"] = found.k1, found.k2, found.line + line
+                lines["ord"], lines["h"] = order[found.text + low], h[found.text + low]
+                held.append(lines)
+                n += len(lines)
+            if n >= RUN_LINES:
+                yield from flush()
+                held, n = [], 0
+        if n:
+            yield from flush()
+        full = np.flatnonzero(sketch)
+        if len(full):
+            yield _rows(COUNT, pa.array(full), pa.array(sketch[full]))
+
+    return run
+
+
+def _split_runs(blocks: int):
+    """Runs cut for a larger number of blocks."""
+
+    def run(batches):
+        for b in batches:
+            for packed in b.column(0).to_pylist():
+                lines = _open_lines(packed)
+                for block, low, high in _cuts(lines["k1"], blocks):
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_pack_lines(lines[low:high])], pa.binary())], names=["block", "run"])
+
+    return run
+
+
+_PLACED = "k1 long, k2 long, ord long, h long, lines array<int>"
+
+
+def _place(runs: pa.Table, wanted: pa.Table) -> pa.Table:
+    """Of a block: where the first line of each wanted class lies, and with null classes the lines that are not first."""
+    kept, later = fold_lines(np.concatenate([_open_lines(r) for r in runs.column("run").to_pylist()] or [np.empty(0, _LINE)]))
+    asked = np.sort(wanted.column("line_key").to_numpy().view(np.uint64))
+    at = np.minimum(np.searchsorted(asked, kept["k1"]), max(len(asked) - 1, 0))
+    kept = kept[asked[at] == kept["k1"]] if len(asked) else kept[:0]
+    order, h, lists = _by_document(later)
+    nulls, names = pa.nulls(len(order), pa.int64()), ["k1", "k2", "ord", "h", "lines"]
+    first = [pa.array(np.ascontiguousarray(kept[c]).view(np.int64)) for c in names[:4]]
+    one = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32)), pa.array(np.ascontiguousarray(kept["line"])))
+    return pa.concat_tables([pa.table([*first, one], names=names), pa.table([nulls, nulls, order, h, lists], names=names)])
 
 
 def _pack_run(token: np.ndarray, line: np.ndarray) -> bytes:
@@ -212,10 +336,8 @@ def _prefixes(sketch, blocks: int, threshold: float):
             token, line = np.concatenate(tokens), np.concatenate(lines)
             order = np.argsort(token)
             token, line = token[order], line[order]
-            block = ((token >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)  # ranges of tokens
-            edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            for low, high in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
-                yield pa.RecordBatch.from_arrays([pa.array([block[low]], pa.int64()), pa.array([_pack_run(token[low:high], line[low:high])], pa.binary())], names=["block", "run"])
+            for block, low, high in _cuts(token, blocks):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_pack_run(token[low:high], line[low:high])], pa.binary())], names=["block", "run"])
 
         for b in batches:
             for _, data, offsets, _ in parts_of(b.column(0)):
@@ -261,52 +383,68 @@ def _postings(table: pa.Table) -> pa.Table:
     return pa.table({"s1": np.repeat(s1[fresh], width).view(np.int64), "s2": np.repeat(s2[fresh], width).view(np.int64), "line_key": line[at].view(np.int64)})
 
 
-def _pack(batches):
-    squeeze = zstandard.ZstdCompressor(level=1)
-    for b in batches:
-        texts = [None if t is None else squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in b.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["key", "h", "packed"])
-
-
-def unpack(data: bytes | None) -> str | None:
-    return None if data is None else zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass")
+def _cut_lines(text: bytes, numbers: list[int]) -> list[bytes]:
+    """Lines of a text by number."""
+    out, at, line = [], 0, 0
+    for n in sorted(numbers):
+        while line < n:
+            at = text.index(b"\n", at) + 1
+            line += 1
+        end = text.find(b"\n", at)
+        out.append(text[at : end if end >= 0 else len(text)])
+    return out
 
 
 def _token_sets(sketch):
+    """Rows (k1, k2, ord, h, line, n, tokens) of the wanted lines of compressed texts, a piece of lines at a time."""
+
     def run(batches):
         opened = zstandard.ZstdDecompressor()
-        for b in batches:
-            texts = [opened.decompress(x) for x in b.column(2).to_pylist()]
-            offsets = np.cumsum([0, *map(len, texts)])
-            lists = b.column(3)
-            wanted = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy()) << 32 | lists.flatten().to_numpy()
-            found = LineTokens(np.frombuffer(b"".join(texts), np.uint8), offsets, wanted=wanted)
+
+        def flush(lines: list[bytes], places: list[tuple]):
+            found = LineTokens(np.frombuffer(b"".join(lines), np.uint8), np.cumsum([0, *map(len, lines)]))
             found.by_rarity(sketch.value)
-            pick = pa.array(found.text)
-            sets = [found.token[s : s + n].tobytes() for s, n in zip(found.start.tolist(), found.n.tolist())]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pick), b.column(1).take(pick), pa.array(found.line.astype(np.int32)), pa.array(found.k1.view(np.int64)), pa.array(sets, pa.binary())], names=["key", "h", "line", "line_key", "tokens"])
+            own = [places[i] for i in found.text.tolist()]
+            short = np.ascontiguousarray(found.token.view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES])
+            sets = [short[s : s + n].tobytes() for s, n in zip(found.start.tolist(), found.n.tolist())]
+            longs = [pa.array(found.k1.view(np.int64)), pa.array(found.k2.view(np.int64)), *(pa.array([p[i] for p in own], pa.int64()) for i in (0, 1))]
+            return pa.RecordBatch.from_arrays([*longs, pa.array([p[2] for p in own], pa.int32()), pa.array(found.n), pa.array(sets, pa.binary())], names=["k1", "k2", "ord", "h", "line", "n", "tokens"])
+
+        lines, places, held = [], [], 0
+        for b in batches:
+            for order, h, packed, wanted in zip(*(b.column(i).to_pylist() for i in range(4))):
+                numbers = sorted(set(wanted))
+                for n, x in zip(numbers, _cut_lines(opened.decompress(packed), numbers)):
+                    lines.append(x)
+                    places.append((order, h, n))
+                    held += len(x)
+                    if held >= PIECE:
+                        yield flush(lines, places)
+                        lines, places, held = [], [], 0
+        if lines:
+            yield flush(lines, places)
 
     return run
 
 
-def similar_to_earlier(sets: list[list[int]], threshold: float = THRESHOLD) -> list[int]:
+def similar_to_earlier(sets: list[np.ndarray], threshold: float = THRESHOLD) -> list[int]:
     """Numbers of the sets, in order, that an earlier one resembles; tokens of each are in the common order of rarity."""
     index: dict[int, list[tuple[int, int]]] = {}
-    whole: list[frozenset] = []
+    whole: list[np.ndarray] = []
     leaders: list[int] = []
     out = []
 
-    def alike(x: frozenset, y: frozenset) -> bool:
+    def alike(x: np.ndarray, y: np.ndarray) -> bool:
         n, m = len(x), len(y)
         if min(n, m) < threshold * max(n, m) - 1e-9:
             return False
-        both = len(x & y)
+        both = int((y[np.minimum(np.searchsorted(y, x), m - 1)] == x).sum())
         return both >= threshold * (n + m - both) - 1e-9
 
     for j, tokens in enumerate(sets):
-        own, n = frozenset(tokens), len(tokens)
+        own, n = np.sort(tokens), len(tokens)
         match = next((i for i in reversed(leaders) if alike(whole[i], own)), None)
-        prefix = tokens[: int(prefix_length(np.array(n), threshold))]
+        prefix = tokens[: int(prefix_length(np.array(n), threshold))].tolist()
         if match is None:
             shared: dict[int, int] = {}
             for place, token in enumerate(prefix):
@@ -329,68 +467,117 @@ def similar_to_earlier(sets: list[list[int]], threshold: float = THRESHOLD) -> l
     return out
 
 
+def _open_tokens(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // TOKEN_BYTES, 8), np.uint8)
+    out[:, :TOKEN_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, TOKEN_BYTES)
+    return out.view(np.uint64).ravel()
+
+
 def _compare(threshold: float, leaf: int):
     def run(batches):
-        for table in whole_groups(batches, leaf):
-            group, key = table.column("grp").to_numpy(), table.column("line_key").to_numpy()
-            tokens = [np.frombuffer(t, np.uint64).tolist() for t in table.column("tokens").to_pylist()]
+        for table in whole_groups(batches, leaf, most_bytes=2 * TOKEN_BYTES * LEAF_TOKENS):
+            group = table.column("grp").to_numpy()
+            k1, k2 = (table.column(c).to_numpy() for c in ("k1", "k2"))
             edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist()
-            hit = [low + j for low, high in zip(edge, [*edge[1:], len(group)]) for j in similar_to_earlier(tokens[low:high], threshold)]
-            yield from pa.table({"line_key": pa.array(np.unique(key[hit]), pa.int64())}).to_batches()
+            hit: list[int] = []
+            for low, high in zip(edge, [*edge[1:], len(group)]):
+                own = np.arange(low, high)[np.r_[True, (k1[low + 1 : high] != k1[low : high - 1]) | (k2[low + 1 : high] != k2[low : high - 1])]]
+                tokens = [_open_tokens(t) for t in table.column("tokens").take(own).to_pylist()]
+                hit += own[similar_to_earlier(tokens, threshold)].tolist()
+            yield from pa.table({"k1": k1[hit], "k2": k2[hit]}).to_batches()
+
+    return run
+
+
+def order_of(kind: str, key: str):
+    """A long by which documents are ordered: the key, or its hash where it is no integer; null first."""
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    return F.coalesce(F.col(key).cast("long") if whole else F.xxhash64(F.col(key).cast("string")), F.lit(-(2**63)).cast("long"))
+
+
+def text_hash(key: str, text: str):
+    return F.xxhash64(F.col(key).cast("string"), F.col(text))
+
+
+def _squeeze(names: list[str], text: str):
+    """The batch with its text column compressed."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            packed = pa.array([None if t is None else press.compress(t.encode("utf-8", "surrogatepass")) for t in b.column(b.schema.get_field_index(text)).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([packed if n == text else b.column(i) for i, n in enumerate(names)], names=names)
 
     return run
 
 
 def repeated_lines(df: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, leaf: int = LEAF) -> DataFrame:
-    """Rows (key, h, removed): the numbers of the lines to remove from the document of this key and text hash."""
-    spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
-    docs = df.select(F.col(key).alias("key"), text_hash(key, text).alias("h"), F.col(text).alias("text"))
-    first_pass = stash(map_rows(docs, _lines_and_counts, f"key {kind}, h long, line int, k1 long, k2 long, bucket int, n long"), "lines").df
-    lines = first_pass.where("bucket is null").drop("bucket", "n")
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in first_pass.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).collect():  # at most 2 ** SKETCH_BITS rows
-        sketch[r["bucket"]] = r["n"]
+    """Rows (ord, h, removed): the numbers of the lines to remove from the document of this order and text hash."""
+    spark = df.sparkSession
+    docs = df.select(order_of(df.schema[key].dataType.simpleString(), key).alias("ord"), text_hash(key, text).alias("h"), F.col(text).alias("text")).where("text is not null")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first_pass = stash(map_rows(docs, _lines_and_counts(tasks), _PASS), "lines")
+    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+    counts = first_pass.df.where(F.col("kind") == COUNT).groupBy("a").agg(F.sum("b").alias("n")).collect()  # at most 2 ** SKETCH_BITS rows
+    for r in counts:
+        sketch[r["a"]] = r["n"]
     blocks = max(tasks, math.ceil(sketch.sum() / 4 / BLOCK))
     shared = spark.sparkContext.broadcast(sketch)
-    # a document repeated with key and text is one: its lines count once
-    distinct = lines.groupBy("k1", "k2").agg(F.min(F.struct("key", "h", "line")).alias("first"), F.max(F.struct("key", "h", "line")).alias("last"))
-    distinct = stash(distinct, "distinct").df
     runs = map_rows(docs.select("text"), _prefixes(shared, blocks, threshold), "block long, run binary")
-    postings = runs.groupBy("block").applyInArrow(_postings, "s1 long, s2 long, line_key long").distinct()
-    postings = stash(postings, "postings").df
-    asked = distinct.join(postings.select(F.col("line_key").alias("k1")).distinct(), "k1").groupBy("first.key", "first.h").agg(F.collect_list("first.line").alias("wanted"))
-    packed = map_rows(docs, _pack, f"key {kind}, h long, packed binary")
-    same = packed["key"].eqNullSafe(asked["key"]) & (packed["h"] == asked["h"])
-    fetched = packed.join(asked, same).select(packed["key"], packed["h"], "packed", "wanted").mapInArrow(_token_sets(shared), f"key {kind}, h long, line int, line_key long, tokens binary")
-    sets = stash(fetched.dropDuplicates(["line_key"]), "sets").df
-    sized = postings.groupBy("s1", "s2").agg(F.ceil(F.count("*") / leaf).cast("int").alias("parts"))
-    member = postings.join(sized, ["s1", "s2"]).withColumn("own", F.pmod(F.xxhash64("line_key"), F.col("parts")).cast("int"))
+    posted = stash(runs.groupBy("block").applyInArrow(_postings, "s1 long, s2 long, line_key long").distinct(), "postings")
+    postings = posted.df
+    # where the wanted lines lie, and what is not the first of its class
+    held = first_pass.df.where(F.col("kind") == RUN_OF_LINES)
+    most = held.agg(F.sum("b")).first()[0] or 0
+    fine = max(1, math.ceil(most / tasks / BLOCK)) * tasks
+    held = held.select(F.col("a").alias("block"), "run") if fine == tasks else held.select("run").mapInArrow(_split_runs(fine), "block long, run binary")
+    high = F.shiftrightunsigned("line_key", 32)
+    asked = postings.select("line_key").distinct().withColumn("block", F.shiftright(high * F.lit(fine).cast("long"), 32))
+    places = stash(held.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_place, _PLACED), "placed")
+    placed = places.df
+    here = stash(first_pass.df.where(F.col("kind") == GONE).select(F.col("a").alias("ord"), F.col("b").alias("h"), "lines"), "gone")
+    first_pass.drop()
+    gone = here.df.unionByName(placed.where("k1 is null").select("ord", "h", "lines"))
+    # the token sets of the wanted lines
+    wanted = placed.where("k1 is not null").groupBy("ord", "h").agg(F.flatten(F.collect_list("lines")).alias("wanted"))  # a document's lines at most
+    packed = map_rows(docs, _squeeze(["ord", "h", "text"], "text"), "ord long, h long, text binary")
+    sets = packed.join(wanted, ["ord", "h"]).select("ord", "h", "text", "wanted").mapInArrow(_token_sets(shared), "k1 long, k2 long, ord long, h long, line int, n long, tokens binary")
+    found = stash(sets, "sets")  # a repeated row gives its lines again, which the comparison passes over
+    sets = found.df
+    member = postings.join(sets.groupBy("k1", "k2").agg(F.max("n").alias("n")), F.col("line_key") == F.col("k1")).drop("line_key")
+    parts = F.greatest(F.ceil(F.count("*") / leaf), F.ceil(F.sum("n") / LEAF_TOKENS)).cast("int")
+    sized = member.groupBy("s1", "s2").agg(parts.alias("parts"), F.count("*").alias("members")).where("members > 1").drop("members")
+    member = member.drop("n").join(sized, ["s1", "s2"]).withColumn("own", F.pmod(F.xxhash64("k1", "k2"), F.col("parts")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least(p, F.col("own")).alias("t"), F.greatest(p, F.col("own")).alias("q")))
-    grouped = member.withColumn("x", F.explode(others)).select("line_key", F.xxhash64("s1", "s2", "x.t", "x.q").alias("grp")).join(sets, "line_key")
-    near = grouped.repartition(tasks, "grp").sortWithinPartitions("grp", "key", "h", "line").select("grp", "line_key", "tokens").mapInArrow(_compare(threshold, 4 * leaf), "line_key long").distinct()
-    near = stash(near, "near").df.select(F.col("line_key").alias("k1"), F.lit(True).alias("near"))
-    decided = distinct.join(near, "k1", "left").where(F.col("near") | (F.col("first") != F.col("last"))).select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    hits = lines.join(decided, ["k1", "k2"]).where(F.col("near") | ~F.struct("key", "h", "line").eqNullSafe(F.col("first")))
-    return hits.groupBy("key", "h").agg(F.collect_set("line").alias("removed"))  # a document's lines at most
-
+    grouped = member.withColumn("x", F.explode(others)).select("k1", "k2", F.xxhash64("s1", "s2", "x.t", "x.q").alias("grp")).join(sets, ["k1", "k2"])
+    near = grouped.repartition(tasks, "grp").sortWithinPartitions("grp", "ord", "h", "line").select("grp", "k1", "k2", "tokens").mapInArrow(_compare(threshold, 4 * leaf), "k1 long, k2 long").distinct()
+    near = stash(near, "near")
+    found.drop()
+    posted.drop()
+    first = placed.where("k1 is not null").join(near.df, ["k1", "k2"], "left_semi").select("ord", "h", "lines")
+    out = stash(gone.unionByName(first).groupBy("ord", "h").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("removed")), "removed").df
+    for done in (near, places, here):
+        done.drop()
+    return out
 
-def text_hash(key: str, text: str):
-    return F.xxhash64(F.col(key).cast("string"), F.col(text))
 
+def _finish(text: str, names: list[str], at: dict[str, str]):
+    """Batches of ``names``; ``at`` holds the joined columns' names of the packed text and the removed lines."""
 
-def _finish(text: str, names: list[str]):
     def run(batches):
+        opened = zstandard.ZstdDecompressor()
         for b in batches:
-            texts, removed = [unpack(x) for x in b.column("packed").to_pylist()], b.column("removed").to_pylist()
+            removed = b.column(b.schema.get_field_index(at["removed"])).to_pylist()
             total, gone, out = [], [], []
-            for t, r in zip(texts, removed):
-                own, r = (t.split("\n") if t else []), set(r or ())
+            for packed, r in zip(b.column(b.schema.get_field_index(at["text"])).to_pylist(), removed):
+                data = None if packed is None else opened.decompress(packed)
+                own, r = (data.split(b"\n") if data else []), set(r or ())
                 total.append(len(own))
                 gone.append(len(r))
-                out.append("\n".join(x for i, x in enumerate(own) if i not in r) if r else t)
+                kept = b"\n".join(x for i, x in enumerate(own) if i not in r) if r else data
+                out.append(None if kept is None else kept.decode("utf-8", "surrogatepass"))
             columns = {text: pa.array(out, pa.string()), "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
-            yield pa.RecordBatch.from_arrays([columns[n] if n in columns else b.column(n) for n in names], names=names)
+            yield pa.RecordBatch.from_arrays([columns[n] if n == text else b.column(i) for i, n in enumerate(names)] + [columns["n_lines"], columns["n_removed"]], names=[*names, "n_lines", "n_removed"])
 
     return run
 
@@ -399,24 +586,18 @@ def deduplicate(df: DataFrame, text: str = "text", key: str = "doc_id", threshol
     """All columns of ``df``, the text without the removed lines, and n_lines and n_removed (replacing columns so named)."""
     gone = repeated_lines(df, text, key, threshold, leaf)
     df = df.drop("n_lines", "n_removed")
-    held = df.withColumn("h", text_hash(key, text)) if "h" not in df.columns else df.withColumnRenamed("h", "__h").withColumn("h", text_hash(key, text))
-    pack_names = [c for c in held.columns if c != text] + ["packed"]
-    squeeze_schema = ", ".join(f"`{c}` {held.schema[c].dataType.simpleString()}" for c in held.columns if c != text) + ", packed binary"
-
-    def squeeze(batches):
-        press = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            texts = [None if t is None else press.compress(t.encode("utf-8", "surrogatepass")) for t in b.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in pack_names[:-1]), pa.array(texts, pa.binary())], names=pack_names)
-
-    packed = map_rows(held, squeeze, squeeze_schema)
-    gone = gone.select(F.col("key").alias("__key"), F.col("h").alias("__gone"), "removed")
-    joined = packed.join(gone, packed[key].eqNullSafe(gone["__key"]) & (packed["h"] == gone["__gone"]), "left").drop("__key", "__gone", "h")
-    names = [*df.columns, "n_lines", "n_removed"]
-    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in df.columns) + ", n_lines long, n_removed long"
-    if "h" in df.columns:
-        joined = joined.withColumnRenamed("__h", "h")
-    return joined.mapInArrow(_finish(text, names), kinds)
+    names = df.columns
+    # numbered names while rows are joined, so that no column of the table can clash
+    plain = {c: f"c{i}" for i, c in enumerate(names)}
+    held = df.select(*(F.col(f"`{c}`").alias(p) for c, p in plain.items()))
+    kinds = {p: held.schema[p].dataType.simpleString() for p in plain.values()}
+    numbered = held.withColumn("ord", order_of(kinds[plain[key]], plain[key])).withColumn("h", text_hash(plain[key], plain[text]))
+    own = plain[text]
+    packed = map_rows(numbered, _squeeze(numbered.columns, own), ", ".join(f"{c} {'binary' if c == own else numbered.schema[c].dataType.simpleString()}" for c in numbered.columns))
+    joined = packed.join(gone, ["ord", "h"], "left").select(*plain.values(), "removed")
+    kinds = ", ".join(f"{p} {k}" for p, k in kinds.items()) + ", n_lines long, n_removed long"
+    out = joined.mapInArrow(_finish(own, list(plain.values()), {"text": own, "removed": "removed"}), kinds)
+    return out.select(*(F.col(p).alias(c) for c, p in plain.items()), "n_lines", "n_removed")
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:
