@@ -58,6 +58,11 @@ def star_forest(edges: DataFrame, a: str, b: str, max_iterations: int = MAX_ITER
     raise NotConverged(f"the components did not converge within {max_iterations} iterations")
 
 
+def changed_edges(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Edges of one round that the other lacks, as sets and either way: empty where a round changed nothing."""
+    return after.subtract(before).unionAll(before.subtract(after))
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, id_col: str, right_id: str, cluster: str, max_iterations: int = MAX_ITERATIONS) -> DataFrame:
     """Vertex rows as they are, plus ``cluster``: the smallest id reachable, the own id where no edge is.
 

@@ -193,6 +193,41 @@ def predict(df: DataFrame, model: MatchModel, policy: Policy = DEFAULT) -> DataF
     return out.withColumns({"raw": F.array(-F.col("__m"), F.col("__m")), "probability": F.array(1.0 - F.col("score"), F.col("score")), "prediction": (F.col("score") > model.threshold).cast("double")}).drop("__m")
 
 
+def margins_by_row(df: DataFrame, model: MatchModel, row_id: str) -> DataFrame:
+    """``df`` with ``margin``: terms by position, times the coefficient there, summed by row id and joined back on it.
+
+    ``predict`` gives the same from a projection; this form holds one term a row, however many terms the model has. Row ids are distinct.
+    """
+    spark = df.sparkSession
+    weights = spark.createDataFrame(list(enumerate(model.check().coefficients)), "position int, weight double").coalesce(1)
+    terms = df.select(F.col(row_id).alias("__id"), F.posexplode(polynomial(model.features, model.degree)).alias("position", "term"))
+    sums = terms.join(F.broadcast(weights), "position").groupBy("__id").agg((F.sum(F.col("term") * F.col("weight")) + F.lit(model.intercept)).alias("margin"))
+    return df.join(sums, df[row_id] == sums["__id"]).drop("__id")
+
+
+def _residual(df: DataFrame, model: MatchModel, label: str) -> DataFrame:
+    return predict(df, model).select("expanded", (F.col("score") - F.col(label).cast("double")).alias("residual"))
+
+
+def gradient(df: DataFrame, model: MatchModel, label: str = "label") -> DataFrame:
+    """Rows (position, gradient) of the mean logistic loss: residual times term, summed by exploded position; the intercept has position -1."""
+    left = _residual(df, model, label)
+    terms = left.select("residual", F.posexplode(F.concat(F.array(F.lit(1.0)), "expanded")).alias("position", "term"))
+    by = terms.groupBy("position").agg((F.sum(F.col("residual") * F.col("term")) / F.count("*")).alias("gradient"))
+    return by.select((F.col("position") - 1).alias("position"), "gradient")
+
+
+def gradient_by_columns(df: DataFrame, model: MatchModel, label: str = "label", batch: int = 256) -> list[float]:
+    """The same gradient, intercept first, as averages of ``batch`` columns a pass: no row is exploded."""
+    left = _residual(df, model, label)
+    out: list[float] = []
+    for low in range(0, len(model.coefficients) + 1, batch):
+        some = range(low, min(low + batch, len(model.coefficients) + 1))
+        row = left.agg(*(F.avg(F.col("residual") * (F.lit(1.0) if i == 0 else F.get("expanded", F.lit(i - 1)))).alias(f"g{i}") for i in some)).first()
+        out += [x or 0.0 for x in row]
+    return out
+
+
 FOLDER = "_kinlink_match_model_v1"
 
 

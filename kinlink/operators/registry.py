@@ -49,6 +49,7 @@ FORBIDDEN_NODES = [
 _NODE = re.compile(r"^[\s:+|-]*(?:\*\(\d+\) )?([A-Za-z]\w*(?: ExistingRDD)?)", re.M)
 _FUNCTION = re.compile(r"\bUDF(?::\w+)?\(|\bpythonUDF\d+")
 
+# fixed values: the names of the modes
 MODES = ("OFF", "AUDIT", "REWRITE", "STRICT")
 
 log = logging.getLogger("kinlink")

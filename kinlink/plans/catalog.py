@@ -356,6 +356,27 @@ def fold_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.groupBy("q", "x", "label").agg(F.count_distinct("fold").alias("folds"))
 
 
+def margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Margins of the distinct feature rows by sums over row ids."""
+    line = _features(spark, sf_dir).select("q", "x").distinct().withColumn("row", F.round(F.col("q") * 50000 + F.col("x") * 100).cast("long"))
+    return model.margins_by_row(line, MODEL, "row").select("row", F.round("margin", 6).alias("margin"))
+
+
+def gradients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gradient of the stated model by exploded positions, and by batched averages of columns."""
+    data = _features(spark, sf_dir)
+    by_columns = spark.createDataFrame(list(enumerate(model.gradient_by_columns(data, MODEL, batch=4), -1)), "position int, batched double")
+    return model.gradient(data, MODEL).join(by_columns, "position").select("position", F.round("gradient", 6).alias("gradient"), F.round("batched", 6).alias("batched"))
+
+
+def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges from nations to balance bands that customers have and suppliers lack, or the other way."""
+    from kinlink.operators.graph import changed_edges
+
+    edges = lambda t, p: _read(spark, sf_dir, t).select(F.col(f"{p}_nationkey").alias("v"), F.floor(F.col(f"{p}_acctbal") / 100).alias("m"))
+    return changed_edges(edges("supplier", "s"), edges("customer", "c"))
+
+
 def vector_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors made of customer balances: dense for even keys, sparse for odd ones, null for every 13th."""
     base = _read(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
@@ -563,6 +584,9 @@ def queries() -> dict[str, Query]:
         "model_standardize": standardized,
         "model_predict": predict,
         "model_auc": auc,
+        "model_margins_by_row": margins,
+        "model_gradient": gradients,
+        "graph_changed_edges": changed,
         "model_fit_save_load": fit_model,
         "model_folds": fold_sizes,
         "graph_connected_components": components,
@@ -593,6 +617,13 @@ def oracle_sql() -> dict[str, str]:
         "model_standardize": f"WITH f AS ({_FEATURES}), s AS (SELECT avg(q) AS mq, stddev_pop(q) AS sq, avg(x) AS mx, stddev_pop(x) AS sx FROM f) SELECT l_orderkey, l_linenumber, round((q - mq) / sq, 6) AS q, round((x - mx) / sx, 6) AS x FROM f, s",
         "model_predict": f"SELECT l_orderkey, l_linenumber, round(1 / (1 + exp(-{_MARGIN})), 6) AS score, CAST(1 / (1 + exp(-{_MARGIN})) > 0.45 AS INTEGER)::DOUBLE AS prediction FROM ({_FEATURES})",
         "model_auc": _AUC_SQL,
+        "model_margins_by_row": f"SELECT round(q * 50000 + x * 100)::BIGINT AS row, round({_MARGIN}, 6) AS margin FROM (SELECT DISTINCT q, x FROM ({_FEATURES}))",
+        "model_gradient": "WITH r AS (SELECT 1 / (1 + exp(-{m})) - label AS r, * FROM ({f})) {u}".format(
+            m=_MARGIN,
+            f=_FEATURES,
+            u=" UNION ALL ".join(f"SELECT {i}::INTEGER AS position, round(avg(r * {t}), 6) AS gradient, round(avg(r * {t}), 6) AS batched FROM r" for i, t in enumerate(["1", "q", "q*q", "q*q*q", "x", "q*x", "q*q*x", "x*x", "q*x*x", "x*x*x"], -1)),
+        ),
+        "graph_changed_edges": "WITH s AS (SELECT s_nationkey AS v, floor(s_acctbal / 100)::BIGINT AS m FROM supplier), c AS (SELECT c_nationkey AS v, floor(c_acctbal / 100)::BIGINT AS m FROM customer) (SELECT * FROM c EXCEPT SELECT * FROM s) UNION ALL (SELECT * FROM s EXCEPT SELECT * FROM c)",
         "model_folds": f"SELECT q, x, label, 1::BIGINT AS folds FROM ({_FEATURES}) GROUP BY ALL",
         "graph_connected_components": _COMPONENTS_SQL,
         "evidence_fingerprint": _FINGERPRINT_SQL,

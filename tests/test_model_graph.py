@@ -173,3 +173,25 @@ def test_phases(spark):
     assert sorted(r["z_isMatch"] for r in labelled.collect()) == [1, 2, 2]
     with pytest.raises(model.ModelError):
         phases.train(frame.where("z_cluster = 'm1'"), records, config)
+
+
+def test_gradient_both_ways(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.random(), rng.random(), float(rng.random() < 0.5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label double").coalesce(1)
+    fitted = model.MatchModel(["a", "b"], [0.5, -1.0, 0.25, 2.0, -0.75], 0.1, degree=2)
+    want = [0.0] * 6
+    margins = {}
+    for i, a, b, y in rows:
+        terms = [a, a * a, b, a * b, b * b]
+        margins[i] = 0.1 + sum(w * t for w, t in zip(fitted.coefficients, terms))
+        for k, t in enumerate([1.0, *terms]):
+            want[k] += (1 / (1 + math.exp(-margins[i])) - y) * t / len(rows)
+    assert [r["gradient"] for r in model.gradient(df, fitted).orderBy("position").collect()] == pytest.approx(want)
+    assert model.gradient_by_columns(df, fitted, batch=4) == pytest.approx(want)
+    assert {r["id"]: r["margin"] for r in model.margins_by_row(df, fitted, "id").collect()} == pytest.approx(margins)
+
+
+def test_changed_edges(spark):
+    before, after = (spark.createDataFrame(x, "v int, m int") for x in ([(2, 1), (3, 1), (3, 1)], [(2, 1), (4, 1)]))
+    assert sorted(graph.changed_edges(before, after).collect()) == [(3, 1), (4, 1)] and graph.changed_edges(before, before).isEmpty()
