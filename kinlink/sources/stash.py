@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+RELEASE_SECONDS = 2.0
+_released = 0.0
 _OWNED: list[tuple[SparkSession, str]] = []
 
 
@@ -62,6 +65,14 @@ class Stash:
             _OWNED.remove((self.spark, self.path))
 
 
+def _release(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs stay until the driver collects its garbage; small jobs in a row need not ask each time."""
+    global _released
+    if time.monotonic() - _released > RELEASE_SECONDS:
+        spark._jvm.System.gc()
+        _released = time.monotonic()
+
+
 def stash(df: DataFrame, name: str = "t") -> Stash:
     """Write ``df`` to the shared folder as Parquet and return a handle that rereads it.
 
@@ -71,7 +82,7 @@ def stash(df: DataFrame, name: str = "t") -> Stash:
     path = f"{shared_dir(spark)}/kinlink/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _OWNED.append((spark, path))
-    spark._jvm.System.gc()  # shuffle files of the finished job stay until the driver collects its garbage
+    _release(spark)
     return Stash(spark, path, df.schema)
 
 
