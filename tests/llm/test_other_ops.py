@@ -260,6 +260,13 @@ def test_mixing_bounds(spark):
     want = {"rare": 200, "s0": 800, "s1": 1600, "s2": 2400}
     assert {k: got.loc["source", k].expected for k in want} == pytest.approx(want)
     assert raked.where("expected > tokens + 1e-9").count() == 0
+    before = mixing.PART_CELLS
+    try:
+        mixing.PART_CELLS = 3  # several parts, dealt by each dimension in turn
+        dealt = mixing.margins(mixing.rake(cells, goal, tolerance=1e-9)).toPandas().set_index(["dimension", "value"])
+    finally:
+        mixing.PART_CELLS = before
+    pd.testing.assert_series_equal(dealt.expected.sort_index(), got.expected.sort_index())
 
 
 def test_mixing_converges(spark):
