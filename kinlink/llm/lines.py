@@ -59,7 +59,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _M1, _M3)  # a value for each byte, none for white space
 _LETTER[_SPACE] = 0
-_PLACES = np.array([[pow(int(_M2), i, 1 << 64) for i in range(SHINGLE)]], np.uint64)[0]
+_PLACES = np.array([pow(int(_M2), i, 1 << 64) for i in range(SHINGLE)], np.uint64)  # a factor for each place in a shingle
 _POWERS: list[np.ndarray] = [np.ones(1, np.uint64)] * 2
 PIECE = 1 << 19
 
