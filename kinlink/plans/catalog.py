@@ -27,11 +27,16 @@ _PARTS = "SELECT p_partkey AS id, CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_
 _CUSTOMERS = "SELECT c_custkey AS id, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS d, CAST(CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_acctbal END AS {f}) AS f, CAST(floor(c_acctbal) AS INT) AS i, CAST(floor(c_acctbal * 1000) AS BIGINT) AS l, c_acctbal < 0 AS b FROM customer"
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by the key that they are joined on: scores cost more than their rows' bytes tell, by which partitions would be coalesced."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _pairs(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
     base = spark.sql(sql.format(s="STRING", f="FLOAT").replace(f"FROM {table}", "FROM {df}"), df=_read(spark, sf_dir, table))
     left = base.select("id", *(F.col(c).alias(f"l_{c}") for c in base.columns if c != "id"))
     right = base.select((F.col("id") - 1).alias("id"), *(F.col(c).alias(f"r_{c}") for c in base.columns if c != "id"))
-    return left.join(right, "id")
+    return _dealt(left, "id").join(right, "id")
 
 
 _PART_SQL = "(WITH b AS ({0}) SELECT x.id, x.v AS l_v, y.v AS r_v, x.i AS l_i, y.i AS r_i, x.d AS l_d, y.d AS r_d FROM b x JOIN b y ON y.id = x.id + 1)".format(_PARTS.format(s="VARCHAR"))
@@ -559,7 +564,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     fits = F.col("n").isNull() | F.col("z_n").isNull() | ((F.least("n", "z_n") >= 0.8 * F.greatest("n", "z_n")) & (F.greatest("n", "z_n") > 0))
     pairs = pairs.where(fits).select("doc_id", "z_doc_id")
     sides = [held.select(F.col("doc_id").alias(k), F.col("tokens").alias(t)) for k, t in (("doc_id", "left"), ("z_doc_id", "right"))]
-    scored = pairs.join(sides[0], "doc_id").join(sides[1], "z_doc_id").where(similarity.jaccard_of_tokens(F.col("left"), F.col("right")) >= 0.8)
+    scored = _dealt(pairs, "doc_id").join(sides[0], "doc_id").join(sides[1], "z_doc_id").where(similarity.jaccard_of_tokens(F.col("left"), F.col("right")) >= 0.8)
     clustered = connected_components(docs.select("doc_id"), scored.select("doc_id", "z_doc_id"), "doc_id", "z_doc_id", "cluster")
     return clustered.groupBy("cluster").agg(F.count("*").alias("n"))
 
