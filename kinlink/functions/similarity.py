@@ -203,6 +203,17 @@ def jaro(left: Column, right: Column) -> Column:
     return gate(left, right, let(pair, score))
 
 
+def _classed(text: Column) -> Column:
+    """Letters of one near group become one character."""
+    return F.translate(text, "".join(NEAR_GROUPS), "".join(chr(0xF000 + i) * len(g) for i, g in enumerate(NEAR_GROUPS)))
+
+
+def aligned_letters(value: Column, near: bool = False) -> Column:
+    """The letters of a text as ``affine_gap`` compares them, or their near groups' characters."""
+    text = unit_lower(unit_text(_text(value)))
+    return characters(_classed(text) if near else text)
+
+
 def affine_gap(left: Column, right: Column) -> Column:
     """Local alignment with affine gaps: the best cell over five times the shorter length.
 
@@ -210,8 +221,6 @@ def affine_gap(left: Column, right: Column) -> Column:
     before it, indexed by the letter of the left side. What lies outside has no element, which counts as 0 here. Letters of one near group
     share a class character.
     """
-    members = "".join(NEAR_GROUPS)
-    classes = "".join(chr(0xF000 + i) * len(g) for i, g in enumerate(NEAR_GROUPS))
     zero, none = F.lit(0.0), F.array().cast("array<double>")
 
     def best(x: Column) -> Column:
@@ -237,7 +246,7 @@ def affine_gap(left: Column, right: Column) -> Column:
         letters = F.struct(
             F.sequence(F.lit(1), F.length(x["a"])).alias("i"),
             characters(x["a"]).alias("a"), characters(x["b"]).alias("b"),
-            characters(F.translate(x["a"], members, classes)).alias("ka"), characters(F.translate(x["b"], members, classes)).alias("kb"),
+            characters(_classed(x["a"])).alias("ka"), characters(_classed(x["b"])).alias("kb"),
         )
         return F.when(x["a"] == x["b"], F.lit(1.0)).when(size == 0, F.lit(0.0)).otherwise(let(letters, best) / size)
 
@@ -245,6 +254,19 @@ def affine_gap(left: Column, right: Column) -> Column:
     return gate(left, right, let(pair, score))
 
 
+def affine_gap_at_least(left: Column, right: Column) -> Column:
+    """No more than ``affine_gap``: its best run without gaps of letters at equal places, in one pass."""
+
+    def best(x: Column) -> Column:
+        alike = lambda p, q: F.when(p == q, F.lit(SAME)).when(_classed(p) == _classed(q), F.lit(NEAR)).otherwise(F.lit(OTHER))
+        step = lambda state, v: let(F.greatest(F.lit(0.0), state["run"] + v), lambda run: F.struct(run.alias("run"), F.greatest(state["best"], run).alias("best")))
+        top = F.aggregate(F.zip_with(x["a"], x["b"], alike), F.struct(F.lit(0.0).alias("run"), F.lit(0.0).alias("best")), step, lambda end: end["best"])
+        return F.coalesce(F.try_divide(top, F.least(F.size(x["a"]), F.size(x["b"])) * SAME), F.lit(0.0))
+
+    pair = F.struct(aligned_letters(left).alias("a"), aligned_letters(right).alias("b"))
+    return gate(left, right, let(pair, best))
+
+
 def _before(value: Column, mark: str) -> Column:
     return F.substring_index(_text(value), mark, 1)
 

@@ -79,10 +79,11 @@ def block_hashes(df: DataFrame, tree: Node, out: str, policy: Policy = DEFAULT)
     return df.withColumn(out, java_string_hash(tree_text(tree, policy)))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame | None, block: str, row_id: str, prefix: str = "z_", source: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+def candidate_pairs(left: DataFrame, right: DataFrame | None, block: str, row_id: str, prefix: str = "z_", source: str | None = None, part_rows: int = PART_ROWS, keep: Column | None = None) -> DataFrame:
     """Pairs of one block, right-hand columns prefixed. Within one table each unordered pair comes once; between two all cross pairs.
 
-    With ``source``, only pairs of different sources. A block of more than ``part_rows`` rows is dealt to parts: each pair of parts is a
+    With ``source``, only pairs of different sources; with ``keep``, a cheap condition on both sides' columns, only pairs that meet it.
+    Rows are dealt to as many tasks as shuffles have partitions, since pairs cost more than their rows' bytes tell. A block of more than ``part_rows`` rows is dealt to parts: each pair of parts is a
     join key of its own, to which the rows of both parts go, so that no task gets a whole hot block.
     """
     same = right is None
@@ -99,7 +100,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, block: str, row_id
             cell = F.transform(every, lambda p: F.struct(F.least(p, F.col("__own")).alias("t"), F.greatest(p, F.col("__own")).alias("q")))
         else:
             cell = F.transform(every, lambda p: F.struct(F.col("__own").alias("t"), p.alias("q")) if not side else F.struct(p.alias("t"), F.col("__own").alias("q")))
-        return held.withColumn("__cell", F.explode(cell)).drop("__parts")
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return held.withColumn("__cell", F.explode(cell)).drop("__parts").repartition(tasks, block, "__cell")
 
     here = dealt(left, 0)
     there = dealt(right, 1).select(*(F.col(c).alias(prefix + c) for c in [*right.columns, "__own", "__cell"]))
@@ -109,6 +111,8 @@ def candidate_pairs(left: DataFrame, right: DataFrame | None, block: str, row_id
         on &= (F.col(row_id) < F.col(prefix + row_id)) & ((F.col("__own") != F.col(prefix + "__own")) | (F.col("__cell.t") == F.col("__cell.q")))
     if source:
         on &= F.col(source) != F.col(prefix + source)
+    if keep is not None:
+        on &= keep
     return here.join(there, on).drop("__own", "__cell", prefix + "__own", prefix + "__cell")
 
 

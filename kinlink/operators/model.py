@@ -16,6 +16,8 @@ REGULARIZATIONS = [0.0001, 0.001, 0.01, 0.1, 1.0]
 THRESHOLDS = [0.40, 0.45, 0.50, 0.55]
 FOLDS, SEED, MAX_ITER, TOLERANCE, DEGREE = 2, 13, 100, 1e-6, 3
 VERSION = 1
+#: Terms that a margin's range is written out for.
+MOST_BOUNDED_TERMS = 100
 
 
 class ModelError(ValueError):
@@ -39,11 +41,11 @@ def term_paths(n: int, degree: int = DEGREE) -> list[tuple[int, ...]]:
     return out[1:]
 
 
-def polynomial(features: list[str], degree: int = DEGREE) -> Column:
+def polynomial(features: list[str | Column], degree: int = DEGREE) -> Column:
     """The terms as one array; null features are 0."""
     if not 1 <= degree <= 3:
         raise ValueError("the degree is 1, 2 or 3")
-    base = F.array(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features))
+    base = F.array(*(F.coalesce((F.col(f) if isinstance(f, str) else f).cast("double"), F.lit(0.0)) for f in features))
     paths = F.array(*(F.array(*(F.lit(i) for i in p)) for p in term_paths(len(features), degree)))
     return F.element_at(F.transform(F.array(base), lambda x: F.transform(paths, lambda p: F.aggregate(p, F.lit(1.0), lambda t, i: t * F.get(x, i)))), 1)
 
@@ -177,6 +179,50 @@ def _artifact(fitted, features, degree, reg, threshold, grid, metric, max_iter)
     return MatchModel(list(features), [float(c) for c in fitted.coefficients], float(fitted.intercept), threshold, reg, degree, metric, status, int(iterations), list(grid))
 
 
+def _margin(expanded: Column, model: MatchModel) -> Column:
+    weights = F.array(*(F.lit(c) for c in model.coefficients))
+    return F.aggregate(F.zip_with(expanded, weights, lambda x, w: x * w), F.lit(model.intercept), lambda t, v: t + v)
+
+
+def _probability(margin: Column) -> Column:
+    return 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), margin))))
+
+
+def is_match(features: list[Column], model: MatchModel) -> Column:
+    """Whether ``predict`` gives 1 for these features, which are the model's in order."""
+    return _probability(_margin(polynomial(features, model.degree), model)) > model.threshold
+
+
+def bounded(model: MatchModel) -> bool:
+    """Whether ``decided`` may stand for predictions: the threshold is a margin, and the terms are few enough for one expression."""
+    return 0 < model.threshold < 1 and len(model.check().coefficients) <= MOST_BOUNDED_TERMS
+
+
+def decided(model: MatchModel, known: dict[str, Column], highest: dict[str, Column], unbounded: set[str], lowest: dict[str, Column] | None = None) -> tuple[Column, Column]:
+    """(surely no match, surely a match), from features that are known and others that are from ``lowest``, else 0, to ``highest``.
+
+    The margin's range is exact but for rounding, for which it is widened. ``unbounded`` are known features that may leave -1 to 1. NaN decides nothing.
+    """
+    low = high = F.lit(model.intercept)
+    size = F.lit(1.0 + abs(model.intercept) + sum(map(abs, model.coefficients)))
+    for path, weight in zip(term_paths(len(model.features), model.degree), model.coefficients):
+        names = [model.features[i] for i in path]
+        term = least = F.lit(weight)
+        for n in names:
+            if n in known:
+                value = F.coalesce(known[n].cast("double"), F.lit(0.0))
+                term, least = term * value, least * value
+            else:
+                term, least = term * highest[n], least * (lowest or {}).get(n, F.lit(0.0))
+        if unbounded & set(names):
+            size = size + F.abs(term)
+        # the term is the known factors times what is between two numbers that are not negative
+        inside = any(n in highest for n in names)
+        low, high = (low + F.least(least, term), high + F.greatest(least, term)) if inside else (low + term, high + term)
+    cut, slack = math.log(model.threshold / (1 - model.threshold)), size * 1e-9
+    return high < F.lit(cut) - slack, (low > F.lit(cut) + slack) & ~F.isnan(low)
+
+
 def predict(df: DataFrame, model: MatchModel, policy: Policy = DEFAULT) -> DataFrame:
     """Adds ``features``, ``expanded``, ``raw`` [-m, m], ``probability`` [1-p, p], ``prediction`` and ``score``: a projection only.
 
@@ -184,12 +230,9 @@ def predict(df: DataFrame, model: MatchModel, policy: Policy = DEFAULT) -> DataF
     """
     policy.check("model.nativePrediction")
     model.check()
-    weights = F.array(*(F.lit(c) for c in model.coefficients))
-    margin = F.aggregate(F.zip_with("expanded", weights, lambda x, w: x * w), F.lit(model.intercept), lambda t, v: t + v)
     out = df.withColumn("features", F.array(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in model.features)))
-    out = out.withColumn("expanded", polynomial(model.features, model.degree)).withColumn("__m", margin)
-    p = 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("__m")))))
-    out = out.withColumn("score", p)
+    out = out.withColumn("expanded", polynomial(model.features, model.degree)).withColumn("__m", _margin(F.col("expanded"), model))
+    out = out.withColumn("score", _probability(F.col("__m")))
     return out.withColumns({"raw": F.array(-F.col("__m"), F.col("__m")), "probability": F.array(1.0 - F.col("score"), F.col("score")), "prediction": (F.col("score") > model.threshold).cast("double")}).drop("__m")
 
 
