@@ -71,3 +71,14 @@ def test_link_of_one_large_block(spark):
     linked = phases.link(given, config, fitted, tree)
     assert {(r["z_zid"], r["z_cluster"]) for r in linked.collect()} == {(i, i - i % 2) for i in range(10_000)}
     assert phases.likely_pairs(given, config, fitted, tree, across=True).count() < 250_000 and time.time() - start < 120
+
+
+def test_match_aligns_few_pairs(spark):
+    """Half a million pairs in blocks: most are decided by bounds, and those that bounds leave open are mostly connected by others."""
+    rows = spark.range(4_000).select(F.col("id").alias("z_zid"), F.concat(F.lit("a"), F.substring(F.md5(F.floor(F.col("id") / 2).cast("string")), 1, 20), F.when(F.col("id") % 2 == 0, "").otherwise("x")).alias("name"), F.lit("p").alias("brand"))
+    config = Config([Field("name", "fuzzy"), Field("brand", "exact")])
+    given, tree = stash(rows, "given").df, blocking.Node("first2Chars", "name")
+    fitted = model.MatchModel(["sim_0", "sim_1", "sim_2"], [6.0, 1.0, 1.0], -6.5, 0.5, degree=1)
+    start = time.time()
+    assert {(r["z_zid"], r["z_cluster"]) for r in phases.match(given, config, fitted, tree).collect()} == {(i, i - i % 2) for i in range(4_000)}
+    assert time.time() - start < 60
