@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinlink.functions import sketches
-from kinlink.functions.text import let
+from kinlink.functions.text import blank, let
 from kinlink.operators import blocking, model, registry
 from kinlink.operators.graph import connected_components, star_forest
 from kinlink.operators.registry import DEFAULT, Policy, rule
@@ -285,16 +285,68 @@ def link(df: DataFrame, config: Config, fitted: model.MatchModel, tree: blocking
     return linked.join(several, CLUSTER, "left_semi")
 
 
+def _told(df: DataFrame, config: Config) -> Column:
+    """A digest, of 128 bits, of all that the scores can see of a record."""
+    seen = {}
+    for f, name in config.features():
+        kind, c = df.schema[f].dataType, F.col(f)
+        if name == "CheckNullFunction":
+            seen[f"null {f}"] = c.isNull()
+        elif name == "CheckBlankOrNullFunction":
+            seen[f"blank {f}"] = blank(c.cast("string"))
+        else:
+            seen[f"value {f}"] = c if kind.typeName() in ("array", "struct", "map", "binary") else c.cast("string")
+    return F.md5(F.to_json(F.struct(*(v.alias(k) for k, v in seen.items())), {"ignoreNullFields": "false"}))
+
+
 def find_training_data(df: DataFrame, config: Config, fitted: model.MatchModel | None, tree: blocking.Node, most: int = 20, policy: Policy = DEFAULT) -> DataFrame:
-    """Candidate pairs to label, the least certain first (without a model, those with middling scores)."""
-    pairs, names = score_features(_paired(df, config, tree, policy, False), config, policy)
+    """Candidate pairs to label, the least certain first (without a model, those with middling scores).
+
+    Records of a block that no score can tell apart are one class. Pairs of classes are scored; only records whose id can begin one of the
+    ``most`` pairs then meet the other class, so the pairs of a block are neither made nor scored one by one.
+    """
+    found = settle(lambda: _least_certain(df, config, fitted, tree, most, policy), "uncertain").df.orderBy("__far", ID, RIGHT + ID)
+    cluster = F.sha2(F.concat_ws("|", F.col(ID).cast("string"), F.col(RIGHT + ID).cast("string")), 256)
+    return found.drop("__far").withColumn(CLUSTER, cluster).withColumn(MATCH, F.lit(None).cast("int"))
+
+
+def _least_certain(df: DataFrame, config: Config, fitted: model.MatchModel | None, tree: blocking.Node, most: int, policy: Policy) -> DataFrame:
+    slim = _slim(df, config, tree, policy, False)
+    names, fields = slim.columns, list(dict.fromkeys(f.name for f in config.compared()))
+    key = F.concat_ws("|", F.col(BLOCK).cast("string"), _told(slim, config))
+    records = stash(slim.where(F.col(ID).isNotNull()).withColumn("__class", key), "records").df
+
+    # a class: one of its records, its first ids in order, and its last id
+    place = F.row_number().over(Window.partitionBy("__class").orderBy(ID))
+    first = records.select("__class", ID).distinct().withColumn("__place", place).where(F.col("__place") <= most)
+    first = first.groupBy("__class").agg(F.array_sort(F.collect_list(ID)).alias("__ids"))
+    stood = records.groupBy("__class", BLOCK).agg(F.max(ID).alias("__last"), F.any_value(F.struct(*fields)).alias("__r")).join(first, "__class")
+    stood = stash(stood.select("__class", BLOCK, "__ids", "__last", *(F.col("__r")[f].alias(f) for f in fields)), "classes").df
+
+    # an id below the last one of the other class begins a pair with it, so the first ids of a class are enough: later ones come after as
+    # many pairs of the same score; and what comes after so many of these beginnings is not asked for
+    begins = F.get("__ids", F.lit(0)) < F.col(RIGHT + "__last")
+    scored = _uncertainty(blocking.candidate_pairs(stood, stood, BLOCK, "__class", RIGHT, keep=begins), config, fitted, policy)
+    able = scored.select("__class", RIGHT + "__class", "__far", F.explode(F.filter("__ids", lambda i: i < F.col(RIGHT + "__last"))).alias(ID))
+    cut = able.select("__far", ID).orderBy("__far", ID).limit(most).agg(F.max(F.struct("__far", ID)).alias("__cut"))
+    cut = stash(cut, "cut").df
+    wanted = able.join(F.broadcast(cut), F.struct("__far", ID) <= F.col("__cut")).select("__class", RIGHT + "__class", ID)
+    wanted = stash(wanted, "wanted").df
+    left = records.join(wanted, ["__class", ID]).select(*names, RIGHT + "__class")
+    right = records.select("__class", *names).toDF(*(RIGHT + c for c in ["__class", *names]))
+    pairs = left.join(right, RIGHT + "__class").where(F.col(ID) < F.col(RIGHT + ID)).drop(RIGHT + "__class").select(*names, *(RIGHT + c for c in names))
+    return _uncertainty(pairs, config, fitted, policy).orderBy("__far", ID, RIGHT + ID).limit(most)
+
+
+def _uncertainty(pairs: DataFrame, config: Config, fitted: model.MatchModel | None, policy: Policy) -> DataFrame:
+    """Pairs with their scores and how far these are from the middle."""
+    pairs, names = score_features(pairs, config, policy)
     if fitted is None:
         mean = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in names), F.lit(0.0)) / len(names)
         pairs = pairs.withColumn(SCORE, mean)
     else:
         pairs = model.predict(pairs, fitted, policy).withColumn(SCORE, F.col("score"))
-    cluster = F.sha2(F.concat_ws("|", F.col(ID).cast("string"), F.col(RIGHT + ID).cast("string")), 256)
-    return pairs.withColumn(CLUSTER, cluster).withColumn(MATCH, F.lit(None).cast("int")).orderBy(F.abs(F.col(SCORE) - 0.5), ID, RIGHT + ID).limit(most)
+    return pairs.withColumn("__far", F.abs(F.col(SCORE) - 0.5))
 
 
 def label(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -82,3 +82,33 @@ def test_match_aligns_few_pairs(spark):
     start = time.time()
     assert {(r["z_zid"], r["z_cluster"]) for r in phases.match(given, config, fitted, tree).collect()} == {(i, i - i % 2) for i in range(4_000)}
     assert time.time() - start < 60
+
+
+def plain_least_certain(given, config, fitted, tree, most):
+    found, scores = phases.score_features(phases._paired(given, config, tree, phases.DEFAULT, False), config)
+    mean = sum((F.coalesce(F.col(n), F.lit(0.0)) for n in scores), F.lit(0.0)) / len(scores)
+    found = found.withColumn("z_score", mean) if fitted is None else model.predict(found, fitted).withColumn("z_score", F.col("score"))
+    rows = found.orderBy(F.abs(F.col("z_score") - 0.5), "z_zid", "z_z_zid").limit(most).collect()
+    return [(r["z_zid"], r["z_z_zid"], r["z_score"], r["name"], r["z_name"]) for r in rows]
+
+
+@pytest.mark.parametrize("kind, most", [("null_or_blank", 20), ("null_or_blank", 3000), ("text", 20), ("text", 1), ("fuzzy", 30)])
+def test_training_pairs_are_those_of_all_pairs(spark, kind, most):
+    given = records(spark, 150, 7)
+    given = stash(given.unionAll(given.where("z_zid % 40 = 0").withColumn("brand", F.lit("q"))).unionAll(given.limit(1).withColumn("z_zid", F.lit(None).cast("long"))), "given").df
+    config = Config([Field("brand", "exact"), Field("size", "exact", "int"), Field("name", kind)])
+    fitted = None if kind != "text" else model.MatchModel(["sim_0", "sim_1", "sim_2"], [1.0, 1.0, 6.0], -5.0, 0.5, degree=1)
+    tree = blocking.Node("identityInteger", "size")
+    found = phases.find_training_data(given, config, fitted, tree, most=most).collect()
+    assert [(r["z_zid"], r["z_z_zid"], r["z_score"], r["name"], r["z_name"]) for r in found] == plain_least_certain(given, config, fitted, tree, most)
+
+
+def test_training_pairs_of_one_large_block(spark):
+    """1.25 billion pairs in one block; the scores tell only five kinds of record apart."""
+    given = stash(spark.range(50_000).select(F.col("id").alias("z_zid"), F.lit(1).alias("size"), F.concat(F.lit("b"), F.col("id") % 5).alias("brand"), F.md5(F.col("id").cast("string")).alias("name")), "given").df
+    config = Config([Field("brand", "exact"), Field("size", "exact", "int"), Field("name", "null_or_blank")])
+    start = time.time()
+    found = phases.find_training_data(given, config, None, blocking.Node("identityInteger", "size"), most=20).collect()
+    apart = [j for j in range(1, 30) if j % 5][:20]
+    assert [(r["z_zid"], r["z_z_zid"]) for r in found] == [(0, j) for j in apart]
+    assert time.time() - start < 60
