@@ -11,8 +11,9 @@ are not integers are ordered by their hash.
 2. Prefix filter: two sets as alike as asked share one of the rarest ``n - ceil(threshold n) + 1`` tokens of each. The prefix
    tokens travel as runs too; tokens of one line only are dropped, and so are tokens whose lines are those of another token.
 3. The blocks of lines give the later members of each class, and where the first one lies if its class shares a prefix token.
-4. The token sets of these lines are made from their documents. A token's lines are compared, each with earlier ones, by
-   prefix, length and positional filters, and verified exactly. A token with more than ``leaf`` lines or ``LEAF_TOKENS`` tokens is
+4. The token sets of these lines are made from their documents. A token's lines are compared, each with earlier ones: in small
+   groups by length and by bitmaps that bound how far two sets are apart, many groups at once, in others by prefix, length and
+   positional filters; what is left open is verified exactly. A token with more than ``leaf`` lines or ``LEAF_TOKENS`` tokens is
    dealt to parts, and each pair of parts is a group of its own. A group reports classes to remove, never pairs.
 5. Lines to remove go back to their documents.
 
@@ -24,10 +25,12 @@ an empty table gives an empty result; extra columns are kept, whatever their nam
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +44,10 @@ SHINGLE = 5
 SKETCH_BITS = 16
 LEAF = 1000
 LEAF_TOKENS = 1 << 19
+#: All pairs of a group of so many lines, of up to ``BITMAP`` tokens each, are held against a bound; other groups go through an index.
+ALL_PAIRS = 512
+BITMAP = 1024
+PAIRS = 1 << 15
 #: Bytes of a token's hash that travel to the comparison; two given tokens agree in them by chance once in 2 ** 48.
 TOKEN_BYTES = 6
 RUN = 1 << 19
@@ -55,24 +62,11 @@ def mix(x: np.ndarray, factor=_M2) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LETTER = mix(np.arange(1, 257, dtype=np.uint64) * _M1, _M3)  # a value for each byte, none for white space
-_LETTER[_SPACE] = 0
 _PLACES = np.array([pow(int(_M2), i, 1 << 64) for i in range(SHINGLE)], np.uint64)  # a factor for each place in a shingle
-_POWERS: list[np.ndarray] = [np.ones(1, np.uint64)] * 2
+_FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 PIECE = 1 << 19
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of an odd number and of its inverse, at least ``n`` of them; kept for the next piece."""
-    if len(_POWERS[0]) < n:
-        size = max(n, PIECE)
-        for i, base in enumerate((int(_M2), pow(int(_M2), -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[i] = np.cumprod(steps)
-    return _POWERS[0], _POWERS[1]
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 32
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -86,17 +80,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First byte and hash of each word: runs without ASCII white space, cut at the ends of texts."""
-    word = ~_SPACE[data]
-    before = np.empty_like(word)
+    word = (data - np.uint8(9) > 4) & (data != 32)
+    before, after = np.empty_like(word), np.empty_like(word)
     before[0], before[1:] = False, word[:-1]
+    after[-1], after[:-1] = False, word[1:]
     begins = offsets[:-1][(offsets[:-1] < len(data))]
-    before[begins] = False
+    before[begins], after[begins[begins > 0] - 1] = False, False
     start = np.flatnonzero(word & ~before)
-    if not len(start):
-        return start, np.empty(0, np.uint64)
-    up, down = powers(len(data))
-    total = np.add.reduceat(_LETTER[data] * up[: len(data)], start)
-    return start, mix(total * down[start], _M3) | np.uint64(1)
+    size = np.flatnonzero(word & ~after) + 1 - start
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data),), "<u8", padded, strides=(1,))
+    h = mix((eight[start] & _FIRST_BYTES[np.minimum(size, 8)]) + size.astype(np.uint64) * _M1, _M3)
+    for done in range(8, LONG_WORD, 8):
+        more = np.flatnonzero(size > done)
+        if not len(more):
+            break
+        h[more] = mix(h[more] ^ eight[start[more] + done] & _FIRST_BYTES[np.minimum(size[more] - done, 8)], _M3)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(padded[start[i] : start[i] + size[i]])
+    return start, h | np.uint64(1)
 
 
 class LineTokens:
@@ -105,53 +108,63 @@ class LineTokens:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE):
         start, w = word_hashes(data, offsets) if len(data) else (np.empty(0, np.int64), np.empty(0, np.uint64))
         breaks = np.flatnonzero(data == 10)
-        text = np.searchsorted(offsets, start, "right") - 1
-        line = np.searchsorted(breaks, start) - np.searchsorted(breaks, offsets[text])
-        fresh = np.r_[True, (text[1:] != text[:-1]) | (line[1:] != line[:-1])] if len(w) else np.empty(0, bool)
-        head = np.flatnonzero(fresh)
-        self.text, self.line = text[head], line[head]
-        counts = np.diff(np.r_[head, len(w)])
+        begin = np.unique(np.concatenate([offsets[:-1], breaks + 1]))  # of lines; no word runs past one
+        first = np.searchsorted(start, begin)
+        counts = np.diff(first, append=len(start))
+        begin, head, counts = begin[counts > 0], first[counts > 0], counts[counts > 0]
+        self.text = np.searchsorted(offsets, begin, "right") - 1
+        self.line = np.searchsorted(breaks, begin) - np.searchsorted(breaks, offsets[self.text])
         pad = size - 1  # after each line, so that no shingle runs into the next
         padded = np.zeros(len(w) + pad * len(head), np.uint64)
-        padded[np.arange(len(w)) + pad * (np.cumsum(fresh) - 1)] = w
+        padded[np.arange(len(w)) + np.repeat(pad * np.arange(len(head)), counts)] = w
         shingles = np.maximum(counts - pad, 1)
         at = np.repeat(head + pad * np.arange(len(head)) - (np.cumsum(shingles) - shingles), shingles) + np.arange(shingles.sum())
-        token = np.zeros(len(at), np.uint64)
-        for i in range(size):
-            token += padded[at + i] * _PLACES[i]
-        token = mix(token, _M3)
+        token = padded[: len(padded) - pad] * _PLACES[0]
+        for i in range(1, size):
+            token += padded[i : len(padded) - pad + i] * _PLACES[i]
+        token = mix(token[at], _M3)
         owner = np.repeat(np.arange(len(head)), shingles)
         bits = max(1, len(head).bit_length())
         packed = np.sort(owner.astype(np.uint64) << np.uint64(64 - bits) | token >> np.uint64(bits))
+        self.n = shingles
         if (packed[1:] == packed[:-1]).any():  # most pieces have no line with a shingle twice
             token, owner = _sorted_by(token, token, owner)
             keep = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]
             token, owner = token[keep], owner[keep]
+            self.n = np.bincount(owner, minlength=len(head))
         self.token, self.owner = token, owner
-        self.n = np.bincount(self.owner, minlength=len(head))
         self.start = np.cumsum(self.n) - self.n
-        if len(head):
-            self.k1 = np.add.reduceat(mix(self.token, _M2), self.start) + self.n.astype(np.uint64)
-            self.k2 = np.add.reduceat(mix(self.token, _M3), self.start)
-        else:
-            self.k1 = self.k2 = np.empty(0, np.uint64)
+        self.k1 = np.add.reduceat(mix(token, _M2), self.start) + self.n.astype(np.uint64) if len(head) else np.empty(0, np.uint64)
+
+    @functools.cached_property
+    def k2(self) -> np.ndarray:
+        return np.add.reduceat(mix(self.token, _M3), self.start) if len(self.start) else np.empty(0, np.uint64)
+
+    def by_rarity(self, rank: np.ndarray) -> None:
+        """Order each line's tokens by the rank of their bucket, then by themselves."""
+        key = rank[bucket_of(self.token)] << np.uint64(64 - SKETCH_BITS) | self.token & np.uint64((1 << 64 - SKETCH_BITS) - 1)
+        self.token, _ = _sorted_by(key, self.token, self.owner)
 
-    def by_rarity(self, sketch: np.ndarray) -> None:
-        """Order each line's tokens by the count of their bucket, then by themselves."""
-        rare = np.minimum(sketch[bucket_of(self.token)], (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | self.token >> np.uint64(24)
-        self.token, _ = _sorted_by(rare, self.token, self.owner)
+
+def ranks(sketch: np.ndarray) -> np.ndarray:
+    """The place of each bucket by its count, then by its number."""
+    out = np.empty(len(sketch), np.uint64)
+    out[np.argsort(sketch, kind="stable")] = np.arange(len(sketch), dtype=np.uint64)
+    return out
 
 
 def _sorted_by(key: np.ndarray, token: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens by owner, key and token: one sort of a packed word, and a full one where that leaves ties open."""
-    bits = max(1, int(owner[-1]).bit_length()) if len(owner) else 1
-    packed = owner.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits)
-    order = np.argsort(packed)
-    packed, sorted_ = packed[order], token[order]
-    if ((packed[1:] == packed[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
-        order = np.lexsort((token, key, owner))
-        sorted_ = token[order]
-    return sorted_, owner[order]
+    """Tokens by owner and key: one sort of packed words that end in the place, and a full one of what that leaves open."""
+    bits, low = (max(1, int(x).bit_length()) for x in ((owner[-1], len(owner)) if len(owner) else (0, 0)))
+    places = np.uint64(low)
+    packed = np.sort(owner.astype(np.uint64) << np.uint64(64 - bits) | key >> np.uint64(bits + low) << places | np.arange(len(owner), dtype=np.uint64))
+    order = (packed & np.uint64((1 << low) - 1)).astype(np.int64)
+    packed >>= places
+    same = packed[1:] == packed[:-1]
+    if same.any():
+        open_at = np.flatnonzero(np.r_[same, False] | np.r_[False, same])
+        order[open_at] = order[open_at][np.lexsort((key[order[open_at]], packed[open_at]))]
+    return token[order], owner[order]
 
 
 def parts_of(column: pa.Array):
@@ -328,7 +341,7 @@ def _open_run(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64), np.frombuffer(data, np.uint64, n, 8 * n)
 
 
-def _prefixes(sketch, blocks: int, threshold: float):
+def _prefixes(rank, blocks: int, threshold: float):
     def run(batches):
         tokens, lines, held = [], [], 0
 
@@ -342,7 +355,7 @@ def _prefixes(sketch, blocks: int, threshold: float):
         for b in batches:
             for _, data, offsets, _ in parts_of(b.column(0)):
                 found = LineTokens(data, offsets)
-                found.by_rarity(sketch.value)
+                found.by_rarity(rank.value)
                 p = prefix_length(found.n, threshold)
                 at = np.repeat(found.start - (np.cumsum(p) - p), p) + np.arange(p.sum())
                 tokens.append(found.token[at])
@@ -395,7 +408,7 @@ def _cut_lines(text: bytes, numbers: list[int]) -> list[bytes]:
     return out
 
 
-def _token_sets(sketch):
+def _token_sets(rank):
     """Rows (k1, k2, ord, h, line, n, tokens) of the wanted lines of compressed texts, a piece of lines at a time."""
 
     def run(batches):
@@ -403,7 +416,7 @@ def _token_sets(sketch):
 
         def flush(lines: list[bytes], places: list[tuple]):
             found = LineTokens(np.frombuffer(b"".join(lines), np.uint8), np.cumsum([0, *map(len, lines)]))
-            found.by_rarity(sketch.value)
+            found.by_rarity(rank.value)
             own = [places[i] for i in found.text.tolist()]
             short = np.ascontiguousarray(found.token.view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES])
             sets = [short[s : s + n].tobytes() for s, n in zip(found.start.tolist(), found.n.tolist())]
@@ -467,23 +480,95 @@ def similar_to_earlier(sets: list[np.ndarray], threshold: float = THRESHOLD) ->
     return out
 
 
-def _open_tokens(packed: bytes) -> np.ndarray:
+def _open_tokens(packed: np.ndarray) -> np.ndarray:
     out = np.zeros((len(packed) // TOKEN_BYTES, 8), np.uint8)
-    out[:, :TOKEN_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, TOKEN_BYTES)
+    out[:, :TOKEN_BYTES] = packed.reshape(-1, TOKEN_BYTES)
     return out.view(np.uint64).ravel()
 
 
+def _bitmaps(tokens: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each set a bit at its tokens' places; two sets differ in at least as many tokens as bits."""
+    out = []
+    ends, rows = np.cumsum(n), PAIRS // 8
+    for low in range(0, len(n), rows):
+        own = n[low : low + rows]
+        bits = np.zeros((len(own), BITMAP), bool)
+        bits[np.repeat(np.arange(len(own)), own), (tokens[ends[low] - n[low] : ends[low + len(own) - 1]] & np.uint64(BITMAP - 1)).astype(np.int64)] = True
+        out.append(np.packbits(bits, axis=1).view(np.uint64))
+    return np.concatenate(out)
+
+
+def _common(tokens: np.ndarray, start: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many tokens the sets of each pair share."""
+    out = np.zeros(len(a), np.int64)
+    ends = np.cumsum(n[a] + n[b])
+    low = 0
+    while low < len(a):
+        high = min(max(low + 1, int(np.searchsorted(ends, ends[low] + LEAF_TOKENS))), low + PAIRS, len(a))
+        sets = np.stack([a[low:high], b[low:high]], axis=1).ravel()
+        width = n[sets]
+        at = np.repeat(start[sets] - (np.cumsum(width) - width), width) + np.arange(width.sum())
+        key = np.sort(np.repeat((np.arange(len(sets)) // 2).astype(np.uint64) << np.uint64(8 * TOKEN_BYTES), width) | tokens[at])
+        same = (key[1:][key[1:] == key[:-1]] >> np.uint64(8 * TOKEN_BYTES)).astype(np.int64)
+        out[low:high] = np.bincount(same, minlength=high - low)
+        low = high
+    return out
+
+
+def similar_by_pairs(tokens: np.ndarray, n: np.ndarray, members: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """What ``similar_to_earlier`` gives, for many small groups at once: whether each set resembles an earlier one of its group.
+
+    ``members`` has the sizes of the groups, ``n`` of the sets. Pairs whose bitmaps differ in more bits than alike sets can differ in
+    tokens are not looked at; the others are counted in full, each set's most alike first, until one is alike enough.
+    """
+    start = np.cumsum(n) - n
+    place = np.arange(len(n)) - np.repeat(np.cumsum(members) - members, members)
+    maps = _bitmaps(tokens, n)
+    begin, kept = np.cumsum(place) - place, []
+    low = 0
+    while low < len(n):  # all pairs of a set and an earlier one, a bounded number at a time
+        high = max(low + 1, int(np.searchsorted(begin, begin[low] + PAIRS)))
+        j = np.repeat(np.arange(low, high), place[low:high])
+        i = np.arange(len(j)) + begin[low] - begin[j] + j - place[j]
+        near = np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]) - 1e-9
+        i, j = i[near], j[near]
+        apart = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
+        near = apart <= (n[i] + n[j]) * (1 - threshold) / (1 + threshold) + 1e-6
+        kept.append((i[near], j[near], apart[near]))
+        low = high
+    i, j, apart = (np.concatenate(c) for c in zip(*kept))
+    order = np.lexsort((apart, j))
+    i, j = i[order], j[order]
+    out = np.zeros(len(n), bool)
+    while len(j):
+        first = np.r_[True, j[1:] != j[:-1]]
+        a, b = i[first], j[first]
+        both = _common(tokens, start, n, a, b)
+        out[b[both >= threshold * (n[a] + n[b] - both) - 1e-9]] = True
+        left = ~first & ~out[j]
+        i, j = i[left], j[left]
+    return out
+
+
 def _compare(threshold: float, leaf: int):
     def run(batches):
         for table in whole_groups(batches, leaf, most_bytes=2 * TOKEN_BYTES * LEAF_TOKENS):
             group = table.column("grp").to_numpy()
             k1, k2 = (table.column(c).to_numpy() for c in ("k1", "k2"))
-            edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist()
-            hit: list[int] = []
-            for low, high in zip(edge, [*edge[1:], len(group)]):
-                own = np.arange(low, high)[np.r_[True, (k1[low + 1 : high] != k1[low : high - 1]) | (k2[low + 1 : high] != k2[low : high - 1])]]
-                tokens = [_open_tokens(t) for t in table.column("tokens").take(own).to_pylist()]
-                hit += own[similar_to_earlier(tokens, threshold)].tolist()
+            fresh = np.r_[True, (group[1:] != group[:-1]) | (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
+            table, group, k1, k2 = table.filter(pa.array(fresh)), group[fresh], k1[fresh], k2[fresh]
+            packed, ends = text_bytes(pa.concat_arrays(table.column("tokens").chunks))
+            tokens, ends = _open_tokens(packed), ends // TOKEN_BYTES
+            edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+            members, n = np.diff(edge), np.diff(ends)
+            few = (members <= ALL_PAIRS) & (np.maximum.reduceat(n, edge[:-1]) <= BITMAP)  # longer sets fill their bitmaps
+            hit = np.zeros(len(group), bool)
+            small = np.repeat(few, members)
+            if small.any():
+                hit[small] = similar_by_pairs(tokens[np.repeat(small, n)], n[small], members[few], threshold)
+            for low, high in zip(edge[:-1][~few].tolist(), edge[1:][~few].tolist()):
+                sets = [tokens[ends[i] : ends[i + 1]] for i in range(low, high)]
+                hit[low + np.array(similar_to_earlier(sets, threshold), np.int64)] = True
             yield from pa.table({"k1": k1[hit], "k2": k2[hit]}).to_batches()
 
     return run
@@ -505,7 +590,9 @@ def _squeeze(names: list[str], text: str):
     def run(batches):
         press = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            packed = pa.array([None if t is None else press.compress(t.encode("utf-8", "surrogatepass")) for t in b.column(b.schema.get_field_index(text)).to_pylist()], pa.binary())
+            whole = b.column(b.schema.get_field_index(text))
+            whole = whole.cast(pa.large_binary() if pa.types.is_large_string(whole.type) else pa.binary())
+            packed = pa.array([None if t is None else press.compress(t) for t in whole.to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([packed if n == text else b.column(i) for i, n in enumerate(names)], names=names)
 
     return run
@@ -522,7 +609,7 @@ def repeated_lines(df: DataFrame, text: str = "text", key: str = "doc_id", thres
     for r in counts:
         sketch[r["a"]] = r["n"]
     blocks = max(tasks, math.ceil(sketch.sum() / 4 / BLOCK))
-    shared = spark.sparkContext.broadcast(sketch)
+    shared = spark.sparkContext.broadcast(ranks(sketch))
     runs = map_rows(docs.select("text"), _prefixes(shared, blocks, threshold), "block long, run binary")
     posted = stash(runs.groupBy("block").applyInArrow(_postings, "s1 long, s2 long, line_key long").distinct(), "postings")
     postings = posted.df
@@ -571,12 +658,11 @@ def _finish(text: str, names: list[str], at: dict[str, str]):
             total, gone, out = [], [], []
             for packed, r in zip(b.column(b.schema.get_field_index(at["text"])).to_pylist(), removed):
                 data = None if packed is None else opened.decompress(packed)
-                own, r = (data.split(b"\n") if data else []), set(r or ())
-                total.append(len(own))
+                r = set(r or ())
+                total.append(data.count(b"\n") + 1 if data else 0)
                 gone.append(len(r))
-                kept = b"\n".join(x for i, x in enumerate(own) if i not in r) if r else data
-                out.append(None if kept is None else kept.decode("utf-8", "surrogatepass"))
-            columns = {text: pa.array(out, pa.string()), "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
+                out.append(b"\n".join(x for i, x in enumerate(data.split(b"\n")) if i not in r) if r else data)
+            columns = {text: pa.array(out, pa.binary()).view(pa.string()), "n_lines": pa.array(total, pa.int64()), "n_removed": pa.array(gone, pa.int64())}
             yield pa.RecordBatch.from_arrays([columns[n] if n == text else b.column(i) for i, n in enumerate(names)] + [columns["n_lines"], columns["n_removed"]], names=[*names, "n_lines", "n_removed"])
 
     return run

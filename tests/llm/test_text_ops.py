@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -233,6 +236,77 @@ def test_lines(spark):
     assert lines.deduplicate(frame(spark, [])).count() == 0
 
 
+def test_words_of_any_length():
+    """Hashes of words of a few bytes, of several times eight and of many, at the ends of texts and with zero bytes."""
+    rng = random.Random(8)
+    words = [bytes(rng.choice(b"\0ab\x1f\x85\xa0") for _ in range(n)) for n in [*range(1, 42), 100, 1000] for _ in range(4)]
+    rng.shuffle(words)
+    texts = [b"", words[0], words[0], b" ", *(rng.choice([b"", b" ", b"\t"]) + b"".join(w + rng.choice([b" ", b"\n", b"\r\n", b"\v\f"]) for w in words) for _ in range(2)), words[1], b""]
+    got = lines.word_hashes(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    want = [w for t in texts for w in t.split()]
+    at = [len(b"".join(texts[:i])) + m.start() for i, t in enumerate(texts) for m in re.finditer(rb"[^ \t-\r]+", t)]
+    assert got[0].tolist() == at and len(set(got[1].tolist())) == len(set(want)) == len(set(zip(want, got[1].tolist())))
+
+
+def families(rng, sizes, length):
+    """Groups of sets, (sizes of groups, sets): copies of a few sets with some tokens replaced."""
+    sets = []
+    for size in sizes:
+        base = [rng.sample(range(1 << 47), length()) for _ in range(max(1, size // 5))]
+        for _ in range(size):
+            own = list(rng.choice(base))
+            for _ in range(rng.choice([0, 1, len(own) // 10, len(own) // 9, len(own) // 8, len(own) // 4])):
+                own[rng.randrange(len(own))] = rng.randrange(1 << 47)
+            sets.append(np.array(sorted(set(own[: rng.choice([len(own), len(own) * 8 // 10 + 1])])), np.uint64))
+    return sizes, sets
+
+
+@pytest.mark.parametrize("threshold,most,all_pairs", [(0.8, 1 << 15, 512), (0.8, 16, 7), (0.5, 40, 512)])
+def test_groups_are_compared_exactly(monkeypatch, threshold, most, all_pairs):
+    rng = random.Random(5)
+    sizes, sets = families(rng, [1, 2, 2, 30, 3, 1, 12, 7, 8, 25, 1], lambda: rng.choice([4, 5, 9, 10, 30, 100, 900, 1500]))
+    want, low = [], 0
+    for size in sizes:
+        own = [set(x.tolist()) for x in sets[low : low + size]]
+        want += [any(len(a & b) >= threshold * len(a | b) - 1e-9 for a in own[:j]) for j, b in enumerate(own)]
+        low += size
+    monkeypatch.setattr(lines, "PAIRS", most)
+    monkeypatch.setattr(lines, "ALL_PAIRS", all_pairs)
+    n = np.array([len(x) for x in sets])
+    assert lines.similar_by_pairs(np.concatenate(sets), n, np.array(sizes), threshold).tolist() == want and 0 < sum(want) < len(want) - len(sizes)
+    packed = [x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in sets]
+    place = list(range(len(sets)))
+    table = pa.table({"grp": np.repeat(np.arange(len(sizes)), sizes), "k1": place, "k2": place, "tokens": packed})
+    # a row that comes twice is passed over
+    table = table.take(pa.array(sorted([*place, 3, 40])))
+    for rows in (10, 1000):
+        got = [k for b in lines._compare(threshold, rows)(table.to_batches(max_chunksize=9)) for k in b.column(0).to_pylist()]
+        assert sorted(got) == [i for i in place if want[i]]
+
+
+def test_small_groups_take_little_time():
+    """Most tokens are of two or three lines; a group at a time, numpy's calls would cost more than the comparison."""
+    rng = random.Random(6)
+    sizes, sets = families(rng, [2, 3] * 600, lambda: rng.randrange(40, 120))
+    packed = [x.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in sets]
+    table = pa.table({"grp": np.repeat(np.arange(len(sizes)), sizes), "k1": range(len(sets)), "k2": range(len(sets)), "tokens": packed})
+
+    def one_by_one():
+        edge = np.cumsum([0, *sizes]).tolist()
+        return [low + i for low, high in zip(edge, edge[1:]) for i in lines.similar_to_earlier(sets[low:high])]
+
+    def at_once():
+        return sorted(k for b in lines._compare(0.8, 4000)(table.to_batches()) for k in b.column(0).to_pylist())
+
+    def seconds(run):
+        began = time.process_time()
+        assert run() == one
+        return time.process_time() - began
+
+    one = one_by_one()
+    assert min(seconds(at_once) for _ in range(3)) < min(seconds(one_by_one) for _ in range(3)) / 2
+
+
 # --- fingerprints
 
 
