@@ -8,7 +8,9 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from kinlink.llm import compression, langid, lines, mixing, packing, simhash, suffixes, urls, vectors
@@ -72,6 +74,34 @@ def test_op2(spark, data, documents):
     assert (got.repeats == (got.n_removed > 0)).all() and [sum(s["end"] - s["start"] for s in x) for x in got.spans] == got.n_removed.tolist()
 
 
+def test_op2_text(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    words = lambda n: " ".join("".join(rng.choice(list("abcdeé"), 7)) for _ in range(n))
+    long, short = [words(60) for _ in range(3)], " ".join("".join(rng.choice(list("abcde"), 6)) for _ in range(51))
+    texts = [None, "", "x" * 300] + [words(200) for _ in range(4)] + [words(20) + " " + p + " " + words(30) for p in long * 3] + [f"{words(9)} {short} {words(9)}" for _ in range(2)]
+    texts += [words(9) + " " + long[0] + "é" + words(5), words(9) + " " + long[0] + "è" + words(5)]  # their first byte is shared
+    pd.DataFrame({"doc_id": range(len(texts)), "text": texts}).to_parquet(f"{tmp_path}/documents.parquet")
+    got = suffixes.op2_suffix_array_dedup(spark, str(tmp_path)).toPandas().sort_values("doc_id")
+    assert list(zip(got.n_bytes, got.n_removed, got.n_spans, got.kept_sha256)) == brute_repeats(texts, 400)
+    assert not any(p in t for p in long for t in got.text)
+    for text, left, spans, sha in zip(texts, got.text, got.spans, got.kept_sha256):
+        data, at, kept = (text or "").encode(), 0, b""
+        for s in spans:
+            kept, at = kept + data[at : s["start"]], s["end"]
+        kept += data[at:]
+        assert hashlib.sha256(kept).hexdigest() == sha and left.replace("\ufffd", "") == kept.decode(errors="ignore")
+    whole = [i for i, t in enumerate(texts) if not any(p in (t or "") for p in long)]
+    assert got.text.iloc[whole].tolist() == [texts[i] or "" for i in whole] and (got.n_removed.to_numpy() > 0).sum() == len(texts) - len(whole) == 11
+    assert got.text.str.contains("\ufffd").sum() == 2
+
+
+def test_opened_texts_leave_in_small_batches():
+    pack = zstandard.ZstdCompressor().compress
+    given = pa.RecordBatch.from_arrays([pa.array([bytes([i]) for i in range(6)]), pa.array([pack(bytes(3 << 20))] * 6), pa.nulls(6, pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())])))], names=["digest", "packed", "marks"])
+    got = list(suffixes._judge(400, True)([given]))
+    assert [b.num_rows for b in got] == [2, 2, 2, 0] and pa.Table.from_batches(got).column("digest").to_pylist() == [bytes([i]) for i in range(6)]
+
+
 def test_op5(spark, data):
     pages, labels = pd.read_parquet(f"{data}/pages.parquet"), pd.read_parquet(f"{data}/labels.parquet")
     quality = dict(zip(labels.doc_id, labels.quality))
