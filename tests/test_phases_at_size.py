@@ -112,3 +112,34 @@ def test_training_pairs_of_one_large_block(spark):
     apart = [j for j in range(1, 30) if j % 5][:20]
     assert [(r["z_zid"], r["z_z_zid"]) for r in found] == [(0, j) for j in apart]
     assert time.time() - start < 60
+
+
+def test_bounds_of_edited_texts(spark):
+    """Bounds from sketches, of texts that share most of their letters, hold on either side."""
+    dice, rows = random.Random(3), []
+    for _ in range(1500):
+        text = [dice.choice("abdtgjmn12 é,.") for _ in range(dice.randrange(1, 14))]
+        other = [dice.choice("abdtgj1 ") if dice.random() < 0.2 else c for c in text if dice.random() < 0.9] + text[: dice.randrange(4)]
+        rows.append(("".join(text), "".join(other)))
+    pairs = spark.createDataFrame(rows, "name string, z_name string")
+    for side in ("", "z_"):
+        pairs = pairs.withColumn(f"{side}__lanes_name", sketches.SKETCHES["lanes"](F.col(f"{side}name")))
+        pairs = pairs.withColumns({side + c: F.get(sketches.SKETCHES[kind](F.col(f"{side}name")), F.lit(i)) for kind in ("same", "near") for i, c in enumerate(sketches.sketch_columns("name", kind))})
+    name = "AffineGapSimilarityFunction"
+    scores = [c.alias(n) for n, c in (("low", sketches.lowest(name, "name", "z_")), ("score", registry.rule(name)(F.col("name"), F.col("z_name"))), ("high", sketches.highest(name, "name", "z_")))]
+    found = stash(pairs, "given").df.select(*scores).collect()
+    assert all(r["low"] <= r["score"] + 1e-12 and r["score"] <= r["high"] + 1e-12 for r in found)
+    assert sum(r["low"] > 0.5 for r in found) > 100 and sum(r["high"] < 0.8 for r in found) > 100
+
+
+def test_match_of_blocks_as_at_sixty_copies(spark):
+    """5.3 million pairs in blocks of some 590 records, most of which other matches connect."""
+    code = F.concat(F.lit("abc"), F.substring(F.md5(F.floor(F.col("id") / 2).cast("string")), 1, 5), F.lit(" red ring"), F.when(F.col("id") % 2 == 0, "").otherwise("x"))
+    truth = F.floor(F.col("id") / 2)
+    rows = spark.range(18_000).select(F.col("id").alias("z_zid"), F.concat(F.lpad((truth % 30).cast("string"), 2, "0"), code).alias("name"), F.concat(F.lit("b"), truth % 25).alias("brand"), (truth % 50).cast("int").alias("size"))
+    config = Config([Field("name"), Field("brand", "exact"), Field("size", "fuzzy", "int")])
+    fitted = model.MatchModel([f"sim_{i}" for i in range(4)], [3.12, 3.8, 2.8, -1.23], -3.98, 0.4, degree=1)
+    given = stash(rows, "given").df
+    start = time.time()
+    found = phases.match(given, config, fitted, blocking.Node("first2Chars", "name")).groupBy(F.floor(F.col("z_zid") / 2).alias("truth")).agg(F.count_distinct("z_cluster").alias("n"), F.count("*").alias("records"))
+    assert found.where("n = 1 AND records = 2").count() == 9_000 and time.time() - start < 60
